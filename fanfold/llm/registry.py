@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, pii, url_filter
+from . import byte_bpe, mixing, pii, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -49,6 +49,10 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parts
 """
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     ids = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -64,6 +68,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op6_url_filter": op6_url_filter,
+    "op8_mix_sources": op8_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {"op6_url_filter": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_url_filter": OP6_SQL, "op8_mix_sources": mixing.MIX_SQL}
