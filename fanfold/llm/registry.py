@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, pii, url_filter
+from . import byte_bpe, mixing, pii, quality, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -17,6 +17,10 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 PII_BASE = ("email", "ip", "card", "phone")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read(spark, sf_dir, "documents"))
     n = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -66,9 +70,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
     "op6_url_filter": op6_url_filter,
     "op8_mix_sources": op8_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {"op6_url_filter": OP6_SQL, "op8_mix_sources": mixing.MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.JUDGE_SQL, "op6_url_filter": OP6_SQL, "op8_mix_sources": mixing.MIX_SQL}
