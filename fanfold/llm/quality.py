@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, let, words
+from .common import SPACE_CHARS, let, stored, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -26,7 +26,9 @@ MIN_WORDS_LEFT, MIN_SHARE_LEFT = 5, 0.3
 
 
 def without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+    for c in chars:  # one scan of the bytes each, much faster than a look-up per character
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
 
 def duplicate_lines(lines: Column) -> Column:
@@ -35,17 +37,26 @@ def duplicate_lines(lines: Column) -> Column:
     return let(full, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def repeated_words(w: Column, n: int = WINDOW) -> Column:
-    """``w``: a bound array of hashed words.  Number of words inside ``n``-word windows that it holds twice or
-    more: hash the windows, sort (hash, place), keep places with an equal neighbour,
-    and add up what the places in order cover."""
-    places = lambda h: F.sort_array(F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(F.xxhash64(*(F.get(h, i + k) for k in range(n))).alias("h"), i.alias("i"))))
+def window_hashes(h: Column) -> Column:
+    """Hashes of the five-element windows of a bound array of hashed words, by way
+    of windows of two and of four."""
+    pair = lambda a, b: F.xxhash64(a, b)
+    joined = lambda x, y, by, body: let(F.zip_with(F.slice(x, 1, F.size(y) - by), F.slice(y, by + 1, F.size(y)), pair), body)
+    two = lambda body: joined(h, h, 1, body)
+    return two(lambda x: joined(x, x, 2, lambda y: F.zip_with(F.slice(y, 1, F.size(h) - 4), F.slice(h, 5, F.size(h)), pair)))
+
+
+def repeated_words(h: Column) -> Column:
+    """``h``: a bound array of hashed words.  Number of words inside five-word windows
+    that it holds twice or more.  Where windows repeat at all, sort (hash, place), keep
+    the places with an equal neighbour, and add up what they cover in order."""
+    places = lambda w: F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     shared = lambda s: F.filter(
         F.transform(s, lambda x, i: F.when((F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]), x["i"])), lambda x: x.isNotNull()
     )
-    covered = lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(p, i + 1) - x, F.lit(n)))), F.lit(0), lambda a, x: a + x)
-    counted = let(let(places(w), lambda s: F.sort_array(shared(s))), covered)
-    return F.when(F.size(w) > n, counted).otherwise(0)
+    covered = lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
+    repeated = lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(let(let(places(w), lambda s: F.sort_array(shared(s))), lambda p: covered(p)))
+    return F.when(F.size(h) > WINDOW, let(window_hashes(h), repeated)).otherwise(0)
 
 
 def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -68,8 +79,8 @@ def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def normal_line(line: Column) -> Column:
-    """Lower case, runs of white space as one space, digits as 0."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "), "[0-9]+", "0"))
+    """Lower case, runs of white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
@@ -77,7 +88,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Dat
     its number of words; ``doc`` is the digest of the whole text."""
     t = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.transform(F.split(t, "\n"), normal_line), lambda x: x != "")
-    hashed = F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("line"), F.regexp_count(x, F.lit("[^ ]+")).alias("n"), i.alias("pos")))
+    hashed = F.transform(lines, lambda x, i: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n"), i.alias("pos")))
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("doc"), F.xxhash64(host_col).alias("host"), F.explode(hashed).alias("l"))
     return base.select("id", "doc", "host", "l.line", "l.n", "l.pos")
 
@@ -85,7 +96,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Dat
 def words_in_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """``(id, doc, lost)``: words of each text that stand in lines held by more than
     ``max_docs`` distinct texts of its host; texts that lose none are left out."""
-    rows = line_rows(docs, id_col, text_col, host_col)
+    rows = stored(line_rows(docs, id_col, text_col, host_col), "lines")
     # one row for each (host, line, text), then one for each (host, line): copies count once
     frequent = rows.select("host", "line", "doc").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "line")
     met = rows.join(frequent, ["host", "line"]).select("id", "doc", "pos", "n")
@@ -119,7 +130,7 @@ rep AS (SELECT rid, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n FROM (SELEC
 raw AS (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d),
 full_lines AS (SELECT rid, x FROM raw WHERE translate(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') <> ''),
 dl AS (SELECT rid, (count(*) - count(DISTINCT x))::BIGINT AS n FROM full_lines GROUP BY rid),
-norm AS (SELECT rid, trim(regexp_replace(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), ' ') AS x FROM raw),
+norm AS (SELECT rid, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS x FROM raw),
 lines AS (SELECT rid, source, t, x, len(regexp_extract_all(x, '[^ ]+')) AS n FROM norm JOIN d USING (rid) WHERE x <> ''),
 freq AS (SELECT source, x FROM lines GROUP BY source, x HAVING count(DISTINCT t) > 10),
 lost AS (SELECT rid, sum(n)::BIGINT AS n FROM lines l JOIN freq f ON l.x = f.x AND l.source IS NOT DISTINCT FROM f.source GROUP BY rid),
