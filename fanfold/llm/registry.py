@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, pii, quality, url_filter
+from . import byte_bpe, mixing, pii, quality, secrets, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -69,11 +69,22 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]),
+        F.sha2(secrets.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
     "op6_url_filter": op6_url_filter,
     "op8_mix_sources": op8_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_secrets": op10_secrets,
 }
 ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.JUDGE_SQL, "op6_url_filter": OP6_SQL, "op8_mix_sources": mixing.MIX_SQL}
