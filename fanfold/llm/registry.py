@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, mixing, pii, quality, secrets, url_filter
+from . import byte_bpe, fingerprints, jaccard, mixing, pii, quality, secrets, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,10 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parts
 """
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op5_i_match": op5_i_match,
     "op6_url_filter": op6_url_filter,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_mix_sources": op8_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secrets": op10_secrets,
