@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, jaccard, mixing, pii, quality, secrets, url_filter
+from . import byte_bpe, fingerprints, jaccard, mixing, pii, quality, secrets, substring_dedup, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +32,12 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_i_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
@@ -90,6 +96,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_i_match": op5_i_match,
     "op6_url_filter": op6_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
