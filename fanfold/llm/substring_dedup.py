@@ -217,7 +217,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
     found = scan(text.select("key", "bytes"))
     apart = F.when(F.col("copy"), F.xxhash64("key", "start")).otherwise(F.lit(0))
-    of_anchor, of_segment = Window.partitionBy("anchor", apart), Window.partitionBy("anchor", apart, "digest")
+    found = found.withColumn("apart", apart)
+    of_anchor, of_segment = Window.partitionBy("anchor", "apart"), Window.partitionBy("anchor", "apart", "digest")
     place = F.struct("key", "start")
     met = (
         found.withColumn("first", F.min(place).over(of_segment))
