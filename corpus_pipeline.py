@@ -1,5 +1,88 @@
-"""placeholder"""
-STAGES = []
+"""Five stages over ``documents``: language, near copies, secrets, mix, tokens.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as
+Parquet and read again as the next one's ``docs``.  All but the last return the columns
+of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fanfold.llm import byte_bpe, jaccard, language_id, mixing, secrets
+from fanfold.llm.common import stored
+from fanfold.llm.registry import RANK_FILE
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _digest(text: str = "text"):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _met(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
+    """``docs`` with the rows of ``verdicts(v_id, v_doc, ...)`` of the same id and text."""
+    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("v_id")) & (_digest() == F.col("v_doc")), how)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is known; ``lang`` becomes the language found."""
+    model = language_id.fit(docs, "doc_id", "text", "lang")
+    found = language_id.identify(docs, model).where("kept").select(F.col("doc_id").alias("v_id"), F.col("doc").alias("v_doc"), "language").distinct()
+    return _met(docs, found, "inner").withColumn("lang", F.col("language")).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays."""
+    groups = stored(jaccard.near_duplicates(docs), "groups")
+    stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("id")).distinct()
+    left = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    if groups.count() != groups.select("doc_id").distinct().count():
+        left = left.dropDuplicates(["doc_id"])  # repeated rows of one document
+    return left.select(*COLUMNS)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; no document goes."""
+    found = secrets.find_secrets(docs).where("size(found) > 0").select(F.col("doc_id").alias("v_id"), F.col("doc").alias("v_doc"), "found").dropDuplicates(["v_id", "v_doc"])
+    met = _met(docs, found, "left").withColumn("text", F.when(F.col("found").isNotNull(), secrets.masked(F.col("text"), F.col("found"))).otherwise(F.col("text")))
+    return met.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: once for each time that at least half of
+    the words are taken."""
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), _digest().cast("string"))
+    taken = mixing.mix(docs.select(key.alias("doc_id"), "text", "source")).where("taken > 0").select(F.col("doc_id").alias("key"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).where("times > 0").groupBy("key").agg(F.max("times").alias("times"))
+    met = docs.withColumn("k", key).join(taken, F.col("k") == F.col("key"))
+    return met.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)``: packed token ids, and the
+    digest of what they decode to."""
+    path = public_tokenizers.path(RANK_FILE)
+    ids = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
+    return ids.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("secret scans", without_secrets),
+    ("mixing sources to target weights", mixed_sources),
+    ("byte-level BPE encoding and decoding", tokens),
+]
+#: SQL can't express the language model or the token merges.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, "stage")
+    return docs

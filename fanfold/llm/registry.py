@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, jaccard, mixing, pii, quality, secrets, substring_dedup, url_filter
+from . import byte_bpe, fingerprints, jaccard, language_id, mixing, pii, quality, secrets, substring_dedup, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +32,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs, "doc_id", "text", "lang")).drop("doc")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -96,6 +101,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
+    "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_i_match": op5_i_match,
     "op6_url_filter": op6_url_filter,
