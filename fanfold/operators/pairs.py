@@ -32,7 +32,7 @@ def scatter_env(items: DataFrame, env: DataFrame) -> DataFrame:
 
 def transpose(cells: DataFrame, row: str = "r", column: str = "c") -> DataFrame:
     """Rows and columns of ``(row, column, value)`` cells swapped."""
-    return cells.withColumnsRenamed({row: column, column: row}).select(*cells.columns)
+    return cells.select(F.col(column).alias(row), F.col(row).alias(column), *(c for c in cells.columns if c not in (row, column)))
 
 
 def check_rectangular(cells: DataFrame, row: str = "r") -> DataFrame:
