@@ -16,7 +16,7 @@ def read_lines(spark: SparkSession, path, numbered: bool = False) -> DataFrame:
     reads each file whole, so files must fit a task."""
     if not numbered:
         return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r?\n$", "").alias("t"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r?\n$", "").alias("t"))
     return whole.select("file", F.posexplode(F.split("t", r"\r?\n")).alias("line_no", "line"))
 
 
@@ -27,7 +27,7 @@ def read_tsv(spark: SparkSession, path) -> DataFrame:
 
 def read_scalar(spark: SparkSession, path, kind: str) -> DataFrame:
     """``(file, value)`` of one-value files, without a trailing newline."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.col("_metadata.file_path").alias("file"), coerce(F.regexp_replace("value", r"\n$", ""), kind).alias("value"))
 
 
