@@ -53,10 +53,11 @@ def lexicon(docs: DataFrame, text_col: str = "text", n_docs: int | None = None)
 def fingerprints(rows: DataFrame, keys: list[str], text_cols: list[str], lex: DataFrame, lex_size: int) -> DataFrame:
     """``keys`` and ``which`` (place in ``text_cols``) with ``parts``: the SUBSETS + 1
     hashes of a fingerprint; 0 where a subset has none of the terms."""
-    every = F.array(*(F.struct(F.lit(i).alias("which"), terms(F.col(c)).alias("terms")) for i, c in enumerate(text_cols)))
-    texts = rows.select(*keys, F.explode(every).alias("e")).select(*keys, "e.which", F.concat(F.array(F.lit(0).cast("long")), "e.terms").alias("terms"))
-    whole = F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
-    long = texts.select(*keys, "which", F.coalesce(whole, F.lit(0).cast("long")).alias("whole"), F.explode("terms").alias("term"))
+    # the hash of all terms is made before the terms become rows: behind the generator Spark would make it for each
+    xor = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
+    text = lambda i, c: let(terms(F.col(c)), lambda x: F.struct(F.lit(i).alias("which"), F.concat(F.array(F.lit(0).cast("long")), x).alias("terms"), xor(x).alias("whole")))
+    texts = rows.select(*keys, F.explode(F.array(*(text(i, c) for i, c in enumerate(text_cols)))).alias("e"))
+    long = texts.select(*keys, "e.which", "e.whole", F.explode("e.terms").alias("term"))
     met = long.join(F.broadcast(lex) if lex_size <= BROADCAST_TERMS else lex, "term")
     xor = lambda j: F.expr(f"coalesce(bit_xor(CASE WHEN (subsets & {1 << j}L) <> 0 THEN term END), 0L)").alias(f"p{j}")
     hashed = met.groupBy(*keys, "which", "whole").agg(*(xor(j) for j in range(SUBSETS)))
