@@ -114,8 +114,8 @@ def expr_basics(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS done_by, CASE WHEN o_totalprice > 95000 THEN 'large' END AS size,
-  coalesce(CASE WHEN o_totalprice > 95000 THEN 'large' END, CASE WHEN o_orderstatus = 'F' THEN 'done' END, 'open') AS label FROM orders""")
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS done_by, CASE WHEN o_totalprice > 100000 THEN 'large' END AS size,
+  coalesce(CASE WHEN o_totalprice > 100000 THEN 'large' END, CASE WHEN o_orderstatus = 'F' THEN 'done' END, 'open') AS label FROM orders""")
 def branch_null(spark, sf_dir):
     o = t(spark, sf_dir, "orders")
     o = exprs.bool_if(o, F.col("o_orderstatus") == "F", {"done_by": F.col("o_custkey"), "done": F.lit("done")})
@@ -597,7 +597,7 @@ def pipe_task(spark, sf_dir):
     return tasks.pipe_task(t(spark, sf_dir, "conversations"), "sed s/$/!/", "role")
 
 
-@query("SELECT o_orderkey, o_totalprice > 950 AS over FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_totalprice > 1000 AS over FROM orders WHERE o_orderstatus = 'F'")
 def sub_flow(spark, sf_dir):
     flow = lambda d, status="F", bar=0: d.where(F.col("o_orderstatus") == status).select("o_orderkey", (F.col("o_totalprice") > bar).alias("over"))
     return pairs.sub_flow(t(spark, sf_dir, "orders"), flow, bar=1000)
