@@ -18,7 +18,10 @@ A bucket of the index (classes with one signature) isn't expanded into pairs.  F
 every member is verified against the bucket's least; members that link are in one
 component with it.  Where a bucket then still spans several components, its members of
 different components are verified against each other; that settles every bucket, so
-components are exact.  Members that meet within one input batch are reduced to their
+components are exact.  Pairs first meet as sizes and parity sketches, which rule out most
+that aren't alike and none that is; the texts of the rest are fetched and compared.
+
+Members that meet within one input batch are reduced to their
 least there, so a signature that a third of all documents share reaches the shuffle as
 one row for each batch.
 """
@@ -39,6 +42,8 @@ PERCENT = 80
 #: documents; so at most (mean set size / FREQUENT_SHARE) tokens are frequent.
 FREQUENT, FREQUENT_SHARE = 64, 0.001
 GROUP_TOKENS = 4
+#: Numbers of 64 bits in a parity sketch.
+SKETCH = 16
 BAND = math.log(100 / PERCENT)
 
 
@@ -100,12 +105,24 @@ def set_id(tokens) -> int:
     return int(mixed(total ^ mixed(np.bitwise_xor.reduce(mixed(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)), initial=np.uint64(0), keepdims=True)))[0].astype(np.int64))
 
 
+def sketch(tokens):
+    """64 * SKETCH parities: each token turns over one bit.  The bits in which two sketches
+    differ are at most the tokens that only one of the sets has."""
+    import numpy as np
+
+    from .shingles import mixed
+
+    bit = (mixed(tokens) >> np.uint64(32)) % np.uint64(64 * SKETCH)
+    odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts.  Rows of kind 0 are documents: ``id``, set size ``n``, set
-    digest ``key``.  Rows of kind 1 are tokens that several sets of one input batch hold:
+    digest ``key`` and ``sketch``.  Rows of kind 1 are tokens that several sets of one input batch hold:
     ``key``, and their number ``n``; a token of more sets than there are batches is
     bound to be among them."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, names = docs.schema[id_col].dataType.simpleString(), ["kind", "id", "n", "key", "sketch"]
 
     def run(batches):
         import numpy as np
@@ -120,10 +137,10 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             once = np.unique(ids, return_index=True)[1]
             token, times = np.unique(np.concatenate([found[i] for i in once] or [np.empty(0, dtype=np.uint64)]), return_counts=True)
             token, times = token[times > 1], times[times > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(ids)], ["kind", "id", "n", "key"])
-            yield pa.RecordBatch.from_arrays([pa.array([1] * len(token), pa.int32()), pa.nulls(len(token), batch.column(0).type), pa.array(times, pa.int64()), pa.array(token.view(np.int64))], ["kind", "id", "n", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(ids), pa.array([sketch(s) for s in found], pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array([1] * len(token), pa.int32()), pa.nulls(len(token), batch.column(0).type), pa.array(times, pa.int64()), pa.array(token.view(np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"kind int, id {kind}, n long, key long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"kind int, id {kind}, n long, key long, sketch array<long>")
 
 
 def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
@@ -164,6 +181,16 @@ def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
     return docs.select(F.col(text_col).alias("t")).mapInArrow(run, "sig long, parent long, node long, n long, members long")
 
 
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` that sizes and sketches don't rule out.  Sets of which one
+    has ``d`` tokens that the other lacks, both ways counted, are alike only if
+    (100 + t) * d <= (100 - t) * (sum of their sizes), with t in percent."""
+    left, right = sketches.toDF("a", "na", "sa"), sketches.toDF("b", "nb", "sb")
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    near = (100 + PERCENT) * F.greatest(apart, F.abs(F.col("na") - F.col("nb"))) <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets are alike; ``texts(node, t)`` has their texts."""
 
@@ -206,17 +233,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # a row that isn't its batch's least for a signature goes to a partition of its own
     apart = F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node"))
-    bucket = Window.partitionBy("sig", apart)
-    indexed = index_rows(docs, frequent, text_col)
+    bucket = Window.partitionBy("sig", "apart")
+    indexed = index_rows(docs, frequent, text_col).withColumn("apart", apart)
     met = indexed.withColumn("least", F.min("node").over(bucket)).withColumn("total", F.sum("members").over(bucket)).where("members = 0 OR total > 1")
     buckets = stored(met.select("sig", "node", "n", F.when(F.col("members") > 0, F.col("least")).otherwise(F.col("parent")).alias("parent")), "buckets")
 
-    needed = buckets.select("node").distinct()
-    sources = needed.join(classes, needed["node"] == classes["key"]).select("node", "first")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(sources, F.col("id").eqNullSafe(F.col("first")))
-    texts = stored(texts.select("node", "t"), "texts")
+    firsts = buckets.select("node").distinct().join(classes, F.col("node") == F.col("key")).select("node", "first")
+    own = (F.col("id").eqNullSafe(F.col("first"))) & (F.col("node") == F.col("key"))
+    sketches = stored(scanned.where("kind = 0").join(firsts, own).select("node", "n", "sketch").dropDuplicates(["node"]), "sketches")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+
+    def alike(candidates):
+        left = stored(possible(candidates, sketches), "pairs")
+        nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
+        texts = source.join(nodes, F.col("id").eqNullSafe(F.col("first"))).select("node", "t")
+        return stored(verified(left, stored(texts, "texts")), "links")
+
     pairs = buckets.where("parent <> node").select(F.col("parent").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(verified(pairs, texts), "links")
+    links = alike(pairs)
     roots = components(links)
 
     # buckets whose members are still in several components
@@ -228,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = (PERCENT * F.greatest("n", "n2") <= 100 * F.least("n", "n2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2"))
     rest = open_.join(other, "sig").where(sized).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(rest, texts), "links")
+    more = alike(rest)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
