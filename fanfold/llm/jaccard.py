@@ -33,7 +33,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import let, stored
 from .components import components
 
 #: Similarity of 80 %, in whole numbers as the contract states it.
@@ -42,8 +42,10 @@ PERCENT = 80
 #: documents; so at most (mean set size / FREQUENT_SHARE) tokens are frequent.
 FREQUENT, FREQUENT_SHARE = 64, 0.001
 GROUP_TOKENS = 4
-#: Numbers of 64 bits in a parity sketch.
+#: A parity sketch has at least this many numbers of 64 bits, and two bits for each token.
 SKETCH = 16
+#: Ids of texts to fetch are broadcast up to this number of rows (16 bytes each).
+BROADCAST_ROWS = 1_000_000
 BAND = math.log(100 / PERCENT)
 
 
@@ -106,14 +108,16 @@ def set_id(tokens) -> int:
 
 
 def sketch(tokens):
-    """64 * SKETCH parities: each token turns over one bit.  The bits in which two sketches
-    differ are at most the tokens that only one of the sets has."""
+    """Parities, in a power of two of 64-bit numbers: each token turns over one bit.  The bits
+    in which two sketches of one length differ are at most the tokens that only one of the
+    sets has; a sketch folds to half its length by exclusive or of its halves."""
     import numpy as np
 
     from .shingles import mixed
 
-    bit = (mixed(tokens) >> np.uint64(32)) % np.uint64(64 * SKETCH)
-    odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    bits = 64 * max(SKETCH, 1 << max(0, (len(tokens) - 1) // 32).bit_length())
+    bit = (mixed(tokens) >> np.uint64(32)) % np.uint64(bits)
+    odd = (np.bincount(bit.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
@@ -186,7 +190,10 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     has ``d`` tokens that the other lacks, both ways counted, are alike only if
     (100 + t) * d <= (100 - t) * (sum of their sizes), with t in percent."""
     left, right = sketches.toDF("a", "na", "sa"), sketches.toDF("b", "nb", "sb")
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    half = lambda x: let(F.size(x) / 2, lambda h: F.zip_with(F.slice(x, 1, h.cast("int")), F.slice(x, h.cast("int") + 1, h.cast("int")), lambda p, q: p.bitwiseXOR(q)))
+    short = lambda x, y: F.when(F.size(x) > F.size(y), half(x)).otherwise(x)
+    # sketches still of unequal length belong to sizes too far apart: the sum is null, the pair goes
+    apart = F.aggregate(F.zip_with(short(F.col("sa"), F.col("sb")), short(F.col("sb"), F.col("sa")), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     near = (100 + PERCENT) * F.greatest(apart, F.abs(F.col("na") - F.col("nb"))) <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
@@ -245,7 +252,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def alike(candidates):
         left = stored(possible(candidates, sketches), "pairs")
-        nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
+        nodes = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node"), "nodes")
+        nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
         texts = source.join(nodes, F.col("id").eqNullSafe(F.col("first"))).select("node", "t")
         return stored(verified(left, stored(texts, "texts")), "links")
 
