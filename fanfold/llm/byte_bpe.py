@@ -17,10 +17,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Texts of more characters than this are cut at safe places first.
 LONG_TEXT = 8192
 _SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
-#: About this many characters of text are encoded between two output batches.
+#: About this many bytes of text are encoded between two output batches.
 BATCH_CHARS = 1 << 21
 
 
@@ -68,7 +70,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
         enc = encoder(ranks_path, pattern)
         for batch in batches:
-            for part in _slices(batch, 1):
+            for part in slices(batch, 1, BATCH_CHARS):
                 out = [np.asarray(encode_text(enc, t or ""), dtype="<u4").tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], ["key", "ids"])
 
@@ -86,18 +88,3 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", o
         return pd.Series([enc.decode_bytes(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in ids], dtype=object)
 
     return df.withColumn(out_col, F.pandas_udf(bytes_of, "binary")(F.col(ids_col)))
-
-
-def _slices(batch, column: int):
-    """Parts of an Arrow batch with about BATCH_CHARS bytes of text each."""
-    import pyarrow.compute as pc
-
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-    start = total = 0
-    for i, n in enumerate(sizes):
-        if total and total + n > BATCH_CHARS:
-            yield batch.slice(start, i - start)
-            start, total = i, 0
-        total += n
-    if start < batch.num_rows or not batch.num_rows:
-        yield batch.slice(start)

@@ -58,3 +58,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def slices(batch, column: int, size: int):
+    """Parts of an Arrow batch with about ``size`` bytes of text in a column each."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if total and total + n > size:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < batch.num_rows or not batch.num_rows:
+        yield batch.slice(start)

@@ -16,9 +16,10 @@ at most 1 / t, so each set is indexed under its own size band and the one below.
 
 A bucket of the index (classes with one signature) isn't expanded into pairs.  First
 every member is verified against the bucket's least; members that link are in one
-component with it.  Where a bucket then still spans several components, its members of
-different components are verified against each other; that settles every bucket, so
-components are exact.  Pairs first meet as sizes and parity sketches, which rule out most
+component with it.  Where a bucket then still spans several components, one member of each
+is verified against one of the first, others in every bucket and round; at last the
+members of components that are still apart are verified against each other, which
+settles every bucket, so components are exact.  Pairs first meet as sizes and parity sketches, which rule out most
 that aren't alike and none that is; the texts of the rest are fetched and compared.
 
 Members that meet within one input batch are reduced to their
@@ -33,19 +34,23 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import let, slices, stored
 from .components import components
 
 #: Similarity of 80 %, in whole numbers as the contract states it.
 PERCENT = 80
 #: A token is frequent in more classes than FREQUENT and than this share of all
 #: documents; so at most (mean set size / FREQUENT_SHARE) tokens are frequent.
-FREQUENT, FREQUENT_SHARE = 64, 0.001
+FREQUENT, FREQUENT_SHARE = 8, 0.0001
 GROUP_TOKENS = 4
 #: A parity sketch has at least this many numbers of 64 bits, and two bits for each token.
 SKETCH = 16
 #: Ids of texts to fetch are broadcast up to this number of rows (16 bytes each).
 BROADCAST_ROWS = 1_000_000
+#: Rounds of star verification before members meet pair by pair; they only save work.
+STAR_ROUNDS = 4
+#: Texts that are hashed at once: bounds the memory of a Python worker.
+SLICE_BYTES = 12 << 20
 BAND = math.log(100 / PERCENT)
 
 
@@ -134,7 +139,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         from .shingles import sets
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             found = sets(batch.column(1).to_pylist())
             n = len(found)
             ids = np.array([set_id(s) for s in found], dtype=np.int64)
@@ -159,7 +164,7 @@ def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
         from .shingles import sets
 
         known = frequent.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
             sig, node, size = [], [], []
             done = set()
             for s in sets(batch.column(0).to_pylist()):
@@ -261,16 +266,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = alike(pairs)
     roots = components(links)
 
-    # buckets whose members are still in several components
-    member = buckets.select("sig", "node", "n").distinct().join(roots, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
-    member = stored(member, "members")
-    mixed = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    open_ = member.join(mixed, "sig")
+    tried = pairs
+    for turn in range(STAR_ROUNDS):
+        # buckets whose members are still in several components: one member of each component,
+        # another in each bucket and round, meets that of the first, as long as that brings links
+        member = buckets.select("sig", "node", "n").distinct().join(roots, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
+        mixed = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
+        open_ = stored(member.join(mixed, "sig"), "open")
+        heads = open_.groupBy("sig", "root").agg(F.min_by("node", F.xxhash64("node", "sig", F.lit(turn))).alias("head"))
+        centre = heads.groupBy("sig").agg(F.min_by("head", "root").alias("centre"))
+        stars = heads.join(centre, "sig").where("head <> centre").select(F.least("head", "centre").alias("a"), F.greatest("head", "centre").alias("b")).distinct()
+        stars = stored(stars.join(tried, ["a", "b"], "left_anti"), "stars")
+        tried = tried.unionByName(stars)
+        more = alike(stars)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        roots = components(links)
+
+    # what is left in such buckets meets pair by pair
     other = open_.toDF("sig", "node2", "n2", "root2")
     sized = (PERCENT * F.greatest("n", "n2") <= 100 * F.least("n", "n2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2"))
     rest = open_.join(other, "sig").where(sized).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = alike(rest)
+    more = alike(rest.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
