@@ -31,6 +31,8 @@ SPREAD = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
 BUFFER_BYTES = 1 << 20
 HOT = 4096
+#: Ids that have several texts are broadcast up to this many.
+BROADCAST_ROWS = 100_000
 LAST_ID = (1 << 63) - 1
 
 
@@ -90,17 +92,18 @@ def segments(texts: list[bytes]):
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``(anchor, digest, key, start, windows, copy)`` from ``docs(key, bytes)``; ``copy``:
-    the same segment starts earlier in the same input batch."""
+    """``(anchor, digest, key, doc, start, windows, copy)`` from ``docs(key, doc, bytes)``;
+    ``copy``: the same segment starts earlier in the same input batch.  Repeated rows of one
+    document give its segments once a batch."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            keys, docs_ = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             found, part, size, base = [], [], 0, 0
-            for i, t in enumerate([*batch.column(1).to_pylist(), None]):
+            for i, t in enumerate([*batch.column(2).to_pylist(), None]):
                 if part and (t is None or size + len(t) > BUFFER_BYTES):
                     own, *rest = segments(part)
                     found.append((own + base, *rest))
@@ -111,19 +114,21 @@ def scan(docs: DataFrame) -> DataFrame:
             if not found:
                 continue
             own, start, windows, anchor, digest = (np.concatenate(c) for c in zip(*found, strict=True))
-            key = keys[own]
-            order = np.lexsort((start, key, digest, anchor))
-            a, d = anchor[order], digest[order]
+            key, doc = keys[own], docs_[own]
+            order = np.lexsort((start, doc, key, digest, anchor))
+            anchor, digest, key, doc, start, windows = (c[order] for c in (anchor, digest, key, doc, start, windows))
             copy = np.zeros(len(order), dtype=bool)
-            copy[order[1:]] = (a[1:] == a[:-1]) & (d[1:] == d[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, digest, key, start.astype(np.int32), windows.astype(np.int32), copy)], ["anchor", "digest", "key", "start", "windows", "copy"])
+            copy[1:] = (anchor[1:] == anchor[:-1]) & (digest[1:] == digest[:-1])
+            again = np.zeros(len(order), dtype=bool)
+            again[1:] = copy[1:] & (key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c[~again]) for c in (anchor, digest, key, doc, start.astype(np.int32), windows.astype(np.int32), copy)], ["anchor", "digest", "key", "doc", "start", "windows", "copy"])
 
-    return docs.mapInArrow(run, "anchor long, digest long, key long, start int, windows int, copy boolean")
+    return docs.mapInArrow(run, "anchor long, digest long, key long, doc long, start int, windows int, copy boolean")
 
 
 def cut_out(texts: DataFrame, n_blocks: int) -> DataFrame:
-    """``(block, key, start, part)``: the bytes of the segments that are to be sorted, by
-    block; ``texts`` has ``(key, bytes, todo)``."""
+    """``(block, key, doc, start, part)``: the bytes of the segments that are to be sorted,
+    by block; ``texts`` has ``(key, doc, bytes, todo)``."""
 
     def run(batches):
         import pyarrow as pa
@@ -131,24 +136,24 @@ def cut_out(texts: DataFrame, n_blocks: int) -> DataFrame:
 
         for batch in batches:
             out = []
-            for key, raw, todo in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for key, doc, raw, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 for s in todo:
                     a, n = s["start"], s["windows"]
                     if s["hot"]:
                         for i in range(a, a + n):
                             w = raw[i : i + LENGTH]
-                            out.append((xxhash.xxh64_intdigest(w) % n_blocks, key, i, w))
+                            out.append((xxhash.xxh64_intdigest(w) % n_blocks, key, doc, i, w))
                     else:
-                        out.append((s["anchor"] % n_blocks, key, a, raw[a : a + n - 1 + LENGTH]))
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["block", "key", "start", "part"])
+                        out.append((s["anchor"] % n_blocks, key, doc, a, raw[a : a + n - 1 + LENGTH]))
+            columns = list(zip(*out, strict=True)) or [(), (), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["block", "key", "doc", "start", "part"])
 
-    return texts.select("key", "bytes", "todo").mapInArrow(run, "block long, key long, start int, part binary")
+    return texts.select("key", "doc", "bytes", "todo").mapInArrow(run, "block long, key long, doc long, start int, part binary")
 
 
-def covered_windows(parts: list[bytes], key, start):
-    """(key, start, windows): runs of the windows of ``parts`` that also start earlier,
-    by the order of (key, start); found by sorting all suffixes of the parts."""
+def covered_windows(parts: list[bytes], key, doc, start):
+    """(key, doc, start, windows): runs of the windows of ``parts`` that also start earlier,
+    by the order of (key, doc, start); found by sorting all suffixes of the parts."""
     import numpy as np
 
     from .suffix_sort import common_prefixes, joined, suffix_array
@@ -161,30 +166,30 @@ def covered_windows(parts: list[bytes], key, start):
     whole = inside <= sizes[part] - LENGTH
     order, part, inside = order[whole], part[whole], inside[whole]
     string = np.cumsum(common_prefixes(order, text, LENGTH) < LENGTH)
-    k, at = key[part], start[part] + inside
-    by = np.lexsort((at, k, string))
-    string, k, at, part, inside = (x[by] for x in (string, k, at, part, inside))
+    k, d, at = key[part], doc[part], start[part] + inside
+    by = np.lexsort((at, d, k, string))
+    string, k, d, at, part, inside = (x[by] for x in (string, k, d, at, part, inside))
     head = np.flatnonzero(np.diff(string, prepend=-1))
     own = np.repeat(head, np.diff(head, append=len(string)))
-    later = (k != k[own]) | (at != at[own])
+    later = (k != k[own]) | (d != d[own]) | (at != at[own])
     part, inside = part[later], inside[later]
     by = np.lexsort((inside, part))
     part, inside = part[by], inside[by]
     head = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(inside, prepend=-9) != 1))
-    return key[part[head]], start[part[head]] + inside[head], np.diff(head, append=len(part))
+    return key[part[head]], doc[part[head]], start[part[head]] + inside[head], np.diff(head, append=len(part))
 
 
 def sorted_blocks(cut: DataFrame) -> DataFrame:
-    """``(key, start, windows)``: covered windows of the cut segments, block by block."""
+    """``(key, doc, start, windows)``: covered windows of the cut segments, block by block."""
 
     def run(table):
         import numpy as np
         import pyarrow as pa
 
-        key, start, n = covered_windows(table["part"].to_pylist(), table["key"].to_numpy(), table["start"].to_numpy().astype(np.int64))
-        return pa.table({"key": pa.array(key, pa.int64()), "start": pa.array(start, pa.int32()), "windows": pa.array(n, pa.int32())})
+        key, doc, start, n = covered_windows(table["part"].to_pylist(), table["key"].to_numpy(), table["doc"].to_numpy(), table["start"].to_numpy().astype(np.int64))
+        return pa.table({"key": pa.array(key, pa.int64()), "doc": pa.array(doc, pa.int64()), "start": pa.array(start, pa.int32()), "windows": pa.array(n, pa.int32())})
 
-    return cut.groupBy("block").applyInArrow(run, "key long, start int, windows int")
+    return cut.groupBy("block").applyInArrow(run, "key long, doc long, start int, windows int")
 
 
 def _merged(windows):
@@ -207,19 +212,34 @@ def _without(raw, spans):
     return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(raw, acc["at"] + 1, F.length(raw))))
 
 
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, key, doc, bytes)`` per row; (key, doc) names a document.  ``doc`` is the
+    text's digest where the id is null or has several texts, else 0, which shuffles well."""
+    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
+    digest = F.xxhash64("bytes")
+    shared = stored(text.where("id IS NOT NULL").select("key", digest.alias("d")).groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi").select("key"), "shared")
+    n = shared.count()
+    if not n:
+        return text.withColumn("doc", F.when(F.col("id").isNull(), digest).otherwise(F.lit(0).cast("long")))
+    shared = F.broadcast(shared) if n <= BROADCAST_ROWS else shared
+    own = F.col("id").isNull() | F.col("several")
+    return text.join(shared.withColumn("several", F.lit(True)), "key", "left").withColumn("doc", F.when(own, digest).otherwise(F.lit(0).cast("long")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, spans, kept)`` per row of ``docs``: the maximal covered spans of
     the text's UTF-8 bytes and the bytes that remain.
 
-    Ids are whole numbers and name documents: smaller ids are earlier, null ids are one
-    document that comes last.  Repeated rows are the same document and get the same
-    spans; a null text has no bytes, and one of under LENGTH bytes keeps all."""
-    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
-    found = scan(text.select("key", "bytes"))
-    apart = F.when(F.col("copy"), F.xxhash64("key", "start")).otherwise(F.lit(0))
+    Ids are whole numbers, and smaller ids are earlier.  Rows of one id and text are one
+    document and get the same spans.  Different texts of one id are documents of their own,
+    by their digests; so are the texts without an id, which come last.  A null text has no
+    bytes, and one of under LENGTH bytes keeps all."""
+    text = _documents(docs, id_col, text_col)
+    found = scan(text.select("key", "doc", "bytes"))
+    apart = F.when(F.col("copy"), F.xxhash64("key", "doc", "start")).otherwise(F.lit(0))
     found = found.withColumn("apart", apart)
     of_anchor, of_segment = Window.partitionBy("anchor", "apart"), Window.partitionBy("anchor", "apart", "digest")
-    place = F.struct("key", "start")
+    place = F.struct("key", "doc", "start")
     met = (
         found.withColumn("first", F.min(place).over(of_segment))
         .withColumn("n", F.count("*").over(of_anchor))
@@ -227,16 +247,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("copy OR n > 1")
         .withColumn("covered", F.col("copy") | (F.col("first") != place))
         .where("covered OR several")
-        .select("key", "start", "windows", "anchor", "covered", (F.col("n") > HOT).alias("hot"))
+        .select("key", "doc", "start", "windows", "anchor", "covered", (F.col("n") > HOT).alias("hot"))
     )
     marks = stored(met, "marks")
     size = marks.where("NOT covered").agg(F.sum(F.when(F.col("hot"), F.col("windows") * LENGTH).otherwise(F.col("windows") + LENGTH))).first()[0] or 0
-    todo = marks.where("NOT covered").groupBy("key").agg(F.collect_set(F.struct("anchor", "start", "windows", "hot")).alias("todo"))
-    texts = text.select("key", "bytes", "id")
-    more = sorted_blocks(cut_out(texts.join(todo, "key"), 1 + size // BLOCK_BYTES))
-    every = marks.where("covered").select("key", "start", "windows").unionByName(more)
-    by_doc = every.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "windows"))).alias("runs"))
+    todo = marks.where("NOT covered").groupBy("key", "doc").agg(F.collect_set(F.struct("anchor", "start", "windows", "hot")).alias("todo"))
+    texts = text.select("key", "doc", "bytes", "id")
+    more = sorted_blocks(cut_out(texts.join(todo, ["key", "doc"]), 1 + size // BLOCK_BYTES))
+    every = marks.where("covered").select("key", "doc", "start", "windows").unionByName(more)
+    by_doc = every.groupBy("key", "doc").agg(F.sort_array(F.collect_set(F.struct("start", "windows"))).alias("runs"))
     spans = F.when(F.col("runs").isNull(), F.array().cast("array<struct<start:int,end:int>>")).otherwise(_merged(F.col("runs")))
-    done = texts.join(by_doc, "key", "left").select("id", "bytes", spans.alias("spans"))
+    done = texts.join(by_doc, ["key", "doc"], "left").select("id", "bytes", spans.alias("spans"))
     kept = F.when(F.size("spans") == 0, F.col("bytes")).otherwise(_without(F.col("bytes"), F.col("spans")))
     return done.select(F.col("id").alias(id_col), F.octet_length("bytes").cast("long").alias("n_bytes"), "spans", kept.alias("kept"))

@@ -179,6 +179,21 @@ def test_repeats_equal_brute_force(spark, monkeypatch, hot, block):
     assert got == covered(rows)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_rows_and_null_ids_are_documents(spark, parts):
+    random.seed(9)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage, twice = word(260), word(400)
+    rows = [(1, twice), (1, twice), (1, twice), (2, word(90) + passage + word(150)), (3, word(500)), (3, word(120) + passage)]
+    rows += [(None, word(130) + passage + word(140)) for _ in range(4)] + [(None, twice)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    digest = {r.text: r.d for r in df.select("text", F.xxhash64(F.col("text").cast("binary")).alias("d")).collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, digest[r[1]]))
+    want = covered([(k, t) for k, (_, t) in enumerate(order)])
+    got = substring_dedup.remove_repeats(df.repartition(parts) if parts > 1 else df.coalesce(1)).collect()
+    assert sorted((str(r[0]), r[1], [tuple(x) for x in r[2]], bytes(r[3])) for r in got) == sorted((str(i), *want[order.index((i, t))]) for i, t in rows)
+
+
 # op5
 
 
