@@ -13,9 +13,13 @@ Exact for every string of ``LENGTH`` bytes, without bringing texts together:
    share LENGTH bytes are one string, and all but its first start are covered.
 
 Equal segments that meet in one input batch are reduced to their earliest there, so a
-passage that a third of all documents holds reaches the shuffle as one row a batch.  An
-anchor with more than HOT different segments is sorted by single windows, which are
-dealt to blocks by their own digests.
+passage that a third of all documents holds reaches the shuffle as one row a batch.
+Where such a passage begins or ends, segments hold bytes of each document's own and all
+differ.  So a first scan counts the different segments of each anchor and input batch;
+anchors that reach more than HOT are hot.  Their segments are split into single windows,
+whose own digests take the anchor's place: equal windows meet in one group, reduced to
+one row a batch as well, and are settled without sorting.  An anchor that escapes the
+count, as it has one segment in most batches, has about sqrt(HOT * batches) of them.
 """
 
 from __future__ import annotations
@@ -54,8 +58,9 @@ def _grams(buffer):
     return mixed(total)
 
 
-def segments(texts: list[bytes]):
-    """(text, start, windows, anchor hash, digest) as arrays: the segments of texts."""
+def segments(texts: list[bytes], hot=None):
+    """(text, start, windows, anchor hash, digest) as arrays: the segments of texts.  Those
+    of ``hot`` anchors, a sorted array, are split into windows."""
     import numpy as np
 
     from .shingles import mixed
@@ -81,20 +86,69 @@ def segments(texts: list[bytes]):
     place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = place + (ends - sizes)[owner]
     own = anchor[at]
-    head = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+    first = (np.diff(own, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0)
+    head = np.flatnonzero(first)
     windows = np.diff(head, append=len(own))
+    single = np.zeros(len(head), dtype=bool)
+    if hot is not None and len(hot):
+        names = gram[own[head]].view(np.int64)
+        single = hot[np.minimum(np.searchsorted(hot, names), len(hot) - 1)] == names
+        split = np.repeat(single, windows)
+        head = np.flatnonzero(first | split)
+        single, windows = split[head], np.diff(head, append=len(own))
     start, mark = at[head], own[head]
     last = start + windows - 1 + LENGTH - GRAM
     digest = mixed(windows.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + (mark - start).astype(np.uint64)) + gram[last]
     for k in range(0, LENGTH + SPREAD, GRAM):
         digest = mixed(digest * np.uint64(0xE7037ED1A0B428DB) + gram[np.minimum(start + k, last)])
-    return owner[head], place[head], windows, gram[mark].view(np.int64), digest.view(np.int64)
+    anchor = np.where(single, mixed(gram[mark] ^ digest), gram[mark])
+    return owner[head], place[head], windows, anchor.view(np.int64), digest.view(np.int64)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def _segments_of(texts: list[bytes], hot=None):
+    """``segments`` of the texts of a batch, a slice of BUFFER_BYTES at a time."""
+    import numpy as np
+
+    found, part, size, base = [], [], 0, 0
+    for i, t in enumerate([*texts, None]):
+        if part and (t is None or size + len(t) > BUFFER_BYTES):
+            own, *rest = segments(part, hot)
+            found.append((own + base, *rest))
+            part, size, base = [], 0, i
+        if t is not None:
+            part.append(t)
+            size += len(t)
+    return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+
+def hot_anchors(docs: DataFrame):
+    """Sorted array of the anchors with more than HOT segments, as far as several different
+    ones meet in an input batch; at most one for HOT segments of the corpus."""
+    import numpy as np
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, _, _, anchor, digest = _segments_of(batch.column(0).to_pylist())
+            order = np.lexsort((digest, anchor))
+            anchor, digest = anchor[order], digest[order]
+            new = np.ones(len(anchor), dtype=bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1])
+            anchor, n = np.unique(anchor[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[n > 1]), pa.array(n[n > 1])], ["anchor", "n"])
+
+    counts = docs.select("bytes").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    return np.sort(counts.where(F.col("n") > HOT).select("anchor").toPandas()["anchor"].to_numpy(dtype=np.int64))
+
+
+def scan(docs: DataFrame, hot) -> DataFrame:
     """``(anchor, digest, key, doc, start, windows, copy)`` from ``docs(key, doc, bytes)``;
     ``copy``: the same segment starts earlier in the same input batch.  Repeated rows of one
-    document give its segments once a batch."""
+    document give its segments once a batch; copies in a row are one row.  ``hot`` is a
+    broadcast of ``hot_anchors``."""
 
     def run(batches):
         import numpy as np
@@ -102,18 +156,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             keys, docs_ = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            found, part, size, base = [], [], 0, 0
-            for i, t in enumerate([*batch.column(2).to_pylist(), None]):
-                if part and (t is None or size + len(t) > BUFFER_BYTES):
-                    own, *rest = segments(part)
-                    found.append((own + base, *rest))
-                    part, size, base = [], 0, i
-                if t is not None:
-                    part.append(t)
-                    size += len(t)
-            if not found:
+            if not len(keys):
                 continue
-            own, start, windows, anchor, digest = (np.concatenate(c) for c in zip(*found, strict=True))
+            own, start, windows, anchor, digest = _segments_of(batch.column(2).to_pylist(), hot.value)
             key, doc = keys[own], docs_[own]
             order = np.lexsort((start, doc, key, digest, anchor))
             anchor, digest, key, doc, start, windows = (c[order] for c in (anchor, digest, key, doc, start, windows))
@@ -121,7 +166,20 @@ def scan(docs: DataFrame) -> DataFrame:
             copy[1:] = (anchor[1:] == anchor[:-1]) & (digest[1:] == digest[:-1])
             again = np.zeros(len(order), dtype=bool)
             again[1:] = copy[1:] & (key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c[~again]) for c in (anchor, digest, key, doc, start.astype(np.int32), windows.astype(np.int32), copy)], ["anchor", "digest", "key", "doc", "start", "windows", "copy"])
+            columns = [c[~again] for c in (anchor, digest, key, doc, start, windows)]
+            copy = copy[~again]
+            one = [c[~copy] for c in columns]
+            # copies in a row are one run
+            anchor, digest, key, doc, start, windows = (c[copy] for c in columns)
+            order = np.lexsort((start, doc, key))
+            anchor, digest, key, doc, start, windows = (c[order] for c in (anchor, digest, key, doc, start, windows))
+            head = np.ones(len(order), dtype=bool)
+            head[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + windows[:-1])
+            head = np.flatnonzero(head)
+            runs = [*(c[head] for c in (anchor, digest, key, doc, start)), np.add.reduceat(windows, head) if len(head) else windows]
+            columns = [np.concatenate(c) for c in zip(one, runs, strict=True)]
+            copy = np.repeat([False, True], [len(one[0]), len(head)])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns[:4], columns[4].astype(np.int32), columns[5].astype(np.int32), copy)], ["anchor", "digest", "key", "doc", "start", "windows", "copy"])
 
     return docs.mapInArrow(run, "anchor long, digest long, key long, doc long, start int, windows int, copy boolean")
 
@@ -132,19 +190,13 @@ def cut_out(texts: DataFrame, n_blocks: int) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
             out = []
             for key, doc, raw, todo in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 for s in todo:
                     a, n = s["start"], s["windows"]
-                    if s["hot"]:
-                        for i in range(a, a + n):
-                            w = raw[i : i + LENGTH]
-                            out.append((xxhash.xxh64_intdigest(w) % n_blocks, key, doc, i, w))
-                    else:
-                        out.append((s["anchor"] % n_blocks, key, doc, a, raw[a : a + n - 1 + LENGTH]))
+                    out.append((s["anchor"] % n_blocks, key, doc, a, raw[a : a + n - 1 + LENGTH]))
             columns = list(zip(*out, strict=True)) or [(), (), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["block", "key", "doc", "start", "part"])
 
@@ -235,7 +287,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by their digests; so are the texts without an id, which come last.  A null text has no
     bytes, and one of under LENGTH bytes keeps all."""
     text = _documents(docs, id_col, text_col)
-    found = scan(text.select("key", "doc", "bytes"))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(text))
+    found = scan(text.select("key", "doc", "bytes"), hot)
     apart = F.when(F.col("copy"), F.xxhash64("key", "doc", "start")).otherwise(F.lit(0))
     found = found.withColumn("apart", apart)
     of_anchor, of_segment = Window.partitionBy("anchor", "apart"), Window.partitionBy("anchor", "apart", "digest")
@@ -247,13 +300,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("copy OR n > 1")
         .withColumn("covered", F.col("copy") | (F.col("first") != place))
         .where("covered OR several")
-        .select("key", "doc", "start", "windows", "anchor", "covered", (F.col("n") > HOT).alias("hot"))
+        .select("key", "doc", "start", "windows", "anchor", "covered")
     )
     marks = stored(met, "marks")
-    size = marks.where("NOT covered").agg(F.sum(F.when(F.col("hot"), F.col("windows") * LENGTH).otherwise(F.col("windows") + LENGTH))).first()[0] or 0
-    todo = marks.where("NOT covered").groupBy("key", "doc").agg(F.collect_set(F.struct("anchor", "start", "windows", "hot")).alias("todo"))
+    size = marks.where("NOT covered").agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
+    todo = marks.where("NOT covered").groupBy("key", "doc").agg(F.collect_set(F.struct("anchor", "start", "windows")).alias("todo"))
     texts = text.select("key", "doc", "bytes", "id")
-    more = sorted_blocks(cut_out(texts.join(todo, ["key", "doc"]), 1 + size // BLOCK_BYTES))
+    more = sorted_blocks(cut_out(texts.join(todo, ["key", "doc"]).dropDuplicates(["key", "doc"]), 1 + size // BLOCK_BYTES))
     every = marks.where("covered").select("key", "doc", "start", "windows").unionByName(more)
     by_doc = every.groupBy("key", "doc").agg(F.sort_array(F.collect_set(F.struct("start", "windows"))).alias("runs"))
     spans = F.when(F.col("runs").isNull(), F.array().cast("array<struct<start:int,end:int>>")).otherwise(_merged(F.col("runs")))

@@ -194,6 +194,21 @@ def test_repeated_rows_and_null_ids_are_documents(spark, parts):
     assert sorted((str(r[0]), r[1], [tuple(x) for x in r[2]], bytes(r[3])) for r in got) == sorted((str(i), *want[order.index((i, t))]) for i, t in rows)
 
 
+def test_a_passage_of_many_documents_is_not_one_group(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 20)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 4000)
+    sizes, plain = [], substring_dedup.sorted_blocks
+    monkeypatch.setattr(substring_dedup, "sorted_blocks", lambda cut: sizes.extend(cut.groupBy("block").agg(F.sum(F.length("part"))).collect()) or plain(cut))
+    random.seed(10)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage = word(300)
+    rows = [(i, word(120) + passage + word(120)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: (r[1], [tuple(x) for x in r[2]], bytes(r[3])) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == covered(rows)
+    assert max((n for _, n in sizes), default=0) < 10 * 4000
+
+
 # op5
 
 
