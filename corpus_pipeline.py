@@ -35,12 +35,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
-    groups = stored(jaccard.near_duplicates(docs), "groups")
-    stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("id")).distinct()
-    left = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    if groups.count() != groups.select("doc_id").distinct().count():
-        left = left.dropDuplicates(["doc_id"])  # repeated rows of one document
+    """Of each group of near copies one row stays, that with the least id, nulls last, then
+    the least text digest; of a text without words one row for each id."""
+    groups = stored(jaccard.grouped(docs), "groups")
+    alone = lambda c: F.when(F.col("root").isNull(), F.col(c))
+    least = F.min(F.struct(F.col("id").isNull(), "id", "doc")).alias("row")
+    stay = groups.groupBy("root", alone("id"), alone("doc")).agg(least).select(F.col("row.id").alias("v_id"), F.col("row.doc").alias("v_doc"))
+    left = _met(docs, stay, "left_semi")
+    if groups.count() != groups.select("id", "doc").distinct().count():
+        left = left.withColumn("doc", _digest()).dropDuplicates(["doc_id", "doc"])  # repeated rows of one document
     return left.select(*COLUMNS)
 
 

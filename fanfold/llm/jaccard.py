@@ -126,12 +126,16 @@ def sketch(tokens):
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def text_digest(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One pass over the texts.  Rows of kind 0 are documents: ``id``, set size ``n``, set
-    digest ``key`` and ``sketch``.  Rows of kind 1 are tokens that several sets of one input batch hold:
+    """One pass over the texts.  Rows of kind 0 are documents: ``id``, text digest
+    ``doc``, set size ``n``, set digest ``key`` and ``sketch``.  Rows of kind 1 are tokens that several sets of one input batch hold:
     ``key``, and their number ``n``; a token of more sets than there are batches is
     bound to be among them."""
-    kind, names = docs.schema[id_col].dataType.simpleString(), ["kind", "id", "n", "key", "sketch"]
+    kind, names = docs.schema[id_col].dataType.simpleString(), ["kind", "id", "doc", "n", "key", "sketch"]
 
     def run(batches):
         import numpy as np
@@ -146,10 +150,10 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             once = np.unique(ids, return_index=True)[1]
             token, times = np.unique(np.concatenate([found[i] for i in once] or [np.empty(0, dtype=np.uint64)]), return_counts=True)
             token, times = token[times > 1], times[times > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(ids), pa.array([sketch(s) for s in found], pa.list_(pa.int64()))], names)
-            yield pa.RecordBatch.from_arrays([pa.array([1] * len(token), pa.int32()), pa.nulls(len(token), batch.column(0).type), pa.array(times, pa.int64()), pa.array(token.view(np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), batch.column(2), pa.array([len(s) for s in found], pa.int64()), pa.array(ids), pa.array([sketch(s) for s in found], pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array([1] * len(token), pa.int32()), pa.nulls(len(token), batch.column(0).type), pa.nulls(len(token), pa.int64()), pa.array(times, pa.int64()), pa.array(token.view(np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"kind int, id {kind}, n long, key long, sketch array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), text_digest(text_col).alias("doc")).mapInArrow(run, f"kind int, id {kind}, doc long, n long, key long, sketch array<long>")
 
 
 def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
@@ -234,14 +238,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A null text, or one without words, has no shingles and links with nothing; repeated
     rows stay; a component in which all ids are null has a null id."""
+    out = grouped(docs, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, doc, n, root, component)`` per row of ``docs``: text digest, set size, the
+    least class of the row's component and its least id; without shingles both are null."""
     spark = docs.sparkSession
     scanned = stored(scan(docs, id_col, text_col), "scan")
-    rows = scanned.where("kind = 0").select("id", "n", "key")
+    rows = scanned.where("kind = 0").select("id", "doc", "n", "key")
     least = max(FREQUENT, int(FREQUENT_SHARE * rows.count()))
     # its size is bounded by the mean set size, see FREQUENT_SHARE
     tokens = scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > least).select("key").toPandas()["key"].to_numpy()
     frequent = spark.sparkContext.broadcast(_sorted_unsigned(tokens))
-    classes = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("first"))
+    # of each class the row with the least id, nulls last, then the least text digest
+    least_row = F.min(F.struct(F.col("id").isNull(), "id", "doc")).alias("row")
+    classes = rows.where("n > 0").groupBy("key").agg(least_row).select("key", F.col("row.id").alias("first"), F.col("row.doc").alias("first_doc"))
 
     # a row that isn't its batch's least for a signature goes to a partition of its own
     apart = F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node"))
@@ -250,17 +263,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = indexed.withColumn("least", F.min("node").over(bucket)).withColumn("total", F.sum("members").over(bucket)).where("members = 0 OR total > 1")
     buckets = stored(met.select("sig", "node", "n", F.when(F.col("members") > 0, F.col("least")).otherwise(F.col("parent")).alias("parent")), "buckets")
 
-    firsts = buckets.select("node").distinct().join(classes, F.col("node") == F.col("key")).select("node", "first")
+    firsts = buckets.select("node").distinct().join(classes, F.col("node") == F.col("key")).select("node", "first", "first_doc")
     own = (F.col("id").eqNullSafe(F.col("first"))) & (F.col("node") == F.col("key"))
     sketches = stored(scanned.where("kind = 0").join(firsts, own).select("node", "n", "sketch").dropDuplicates(["node"]), "sketches")
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), text_digest(text_col).alias("doc"))
 
     def alike(candidates):
         left = stored(possible(candidates, sketches), "pairs")
         nodes = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node"), "nodes")
-        nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
-        texts = source.join(nodes, F.col("id").eqNullSafe(F.col("first"))).select("node", "t")
-        return stored(verified(left, stored(texts, "texts")), "links")
+        n = nodes.count()
+        nodes = F.broadcast(nodes) if n <= BROADCAST_ROWS else nodes
+        texts = stored(source.join(nodes, F.col("id").eqNullSafe(F.col("first")) & (F.col("doc") == F.col("first_doc"))).select("node", "t"), "texts")
+        if texts.count() > n:  # repeated rows
+            texts = stored(texts.dropDuplicates(["node"]), "texts")
+        return stored(verified(left, texts), "links")
 
     pairs = buckets.where("parent <> node").select(F.col("parent").alias("a"), F.col("node").alias("b")).distinct()
     links = alike(pairs)
@@ -294,9 +310,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labelled = classes.join(roots, classes["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component"))
-    by_class = labelled.join(smallest, "root").select(F.col("key").alias("k"), "component")
+    by_class = labelled.join(smallest, "root").select(F.col("key").alias("k"), "root", "component")
     out = rows.join(by_class, (rows["key"] == F.col("k")) & (rows["n"] > 0), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+    return out.select("id", "doc", "n", "root", "component")
 
 
 def _sorted_unsigned(values):

@@ -26,6 +26,21 @@ def test_groups_leave_one_and_repeats_go(spark, sf_dir):
     assert sorted(r.doc_id for r in left.collect()) == sorted(want)
 
 
+def test_rows_of_null_and_shared_ids_are_kept_by_their_texts(spark, sf_dir, monkeypatch):
+    from fanfold.llm import jaccard
+
+    copies, plain = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, texts: copies.append(texts.count() - texts.select("node").distinct().count()) or plain(pairs, texts))
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (None, text("a") + " more"), (None, text("b")), (None, text("c")), (None, text("c")), (2, text("d")), (2, text("e")), (2, text("e"))]
+    rows += [(None, text("f")), (None, text("f") + " more"), (3, " "), (3, " "), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r.doc_id, r.text.removesuffix(" more")) for r in corpus_pipeline.one_of_each_group(spark, docs, sf_dir).collect()]
+    want = {(1, text("a")), (None, text("b")), (None, text("c")), (2, text("d")), (2, text("e")), (None, text("f")), (3, " "), (None, "")}
+    assert len(left) == len(want) and set(left) == want
+    assert not any(copies)
+
+
 def test_secrets_are_masked_and_documents_stay(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = corpus_pipeline.without_secrets(spark, docs, sf_dir).collect()
