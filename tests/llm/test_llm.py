@@ -110,6 +110,15 @@ def test_pii_checksums_and_context():
     assert kinds("call 030 1234 567") == ["local_phone"] and kinds("sizes 030 1234 567") == []
 
 
+def test_accounts_end_where_their_country_says():
+    spans = lambda t: [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    assert spans(f"IBAN {german} BIC COBADEFFXXX") == [german] and spans(f"{british} THANK YOU") == [british]
+    assert spans("DE89370400440532013000 100 EUR") == ["DE89370400440532013000"]
+    assert spans(f"{german} {british}") == [german, british] and spans(f"AB12 {german} 7") == [german]
+    assert spans(f"{german}X") == spans("DE89 3704 0044 0532 0130 01 BIC") == []
+
+
 # op3
 
 
