@@ -8,7 +8,8 @@ the text decisions: a host is smoothed towards its address suffix, a suffix towa
 documents.
 
 The likelihoods are fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, by
-hash of the id) and at most ``MAX_LANGUAGES`` labels; priors count every document.
+hash of the id); priors count every document.  Labels and declarations are compared by
+their primary part: ``en-US`` and ``EN`` are ``en``.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from .common import stored
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 20_000
-MAX_LANGUAGES = 200
 TEXT_WEIGHT = 200.0
 DECLARED_RIGHT = 0.9
 #: Documents that a suffix's or the global distribution counts as in a prior.
@@ -55,14 +55,33 @@ class Model:
     logs: np.ndarray
 
 
+def primary(label: Column) -> Column:
+    """The primary part of a language label, in lower case; null if it has none."""
+    part = F.lower(F.trim(F.substring_index(F.translate(label.cast("string"), "_", "-"), "-", 1)))
+    return F.when(part != "", part)
+
+
+def pages_as_documents(pages: DataFrame) -> DataFrame:
+    """``(page_id, text, lang, source)`` of ``pages(page_id, url, html)``: the visible text,
+    the language that ``<html lang=...>`` declares, and the host of the url."""
+    hidden = r"(?is)<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;"
+    found = lambda c, pattern: F.when(F.regexp_extract(c, pattern, 1) != "", F.regexp_extract(c, pattern, 1))
+    return pages.select(
+        "page_id",
+        F.regexp_replace("html", hidden, " ").alias("text"),
+        found("html", r"(?is)<html\b[^>]*?\slang\s*=\s*[\x22\x27]?([a-z0-9_-]+)").alias("lang"),
+        F.lower(found("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")).alias("source"),
+    )
+
+
 def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
     """Fit the likelihoods by counting trigrams of a bounded sample of labelled rows.
     What reaches the driver is one number per language and bucket."""
-    rows = labelled.where(F.col(label_col).isNotNull())
-    counts = rows.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(MAX_LANGUAGES).collect()
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), primary(F.col(label_col)).alias("label")).where("label IS NOT NULL")
+    counts = rows.groupBy("label").count().collect()
     languages = sorted(r[0] for r in counts)
     share = min(1.0, SAMPLE_ROWS / max(1, sum(r[1] for r in counts)))
-    chosen = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).where(F.col(label_col).isin(languages) if languages else F.lit(False))
+    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def run(batches):
         import pyarrow as pa
@@ -76,7 +95,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str) -> Mode
                 at = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays([pa.array([label] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["label", "bucket", "n"])
 
-    pairs = chosen.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("t")).mapInArrow(run, "label string, bucket long, n long")
+    pairs = chosen.select("label", "t").mapInArrow(run, "label string, bucket long, n long")
     table = pairs.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     n = np.full((len(languages), BUCKETS), 0.5)
     row = {x: i for i, x in enumerate(languages)}
@@ -109,20 +128,21 @@ def _best(values: Column, languages: Column) -> Column:
 def host_priors(scored: DataFrame, n_languages: int) -> DataFrame:
     """``(host, suffix, prior)`` from ``scored(host, suffix, text_logs, grams)``: smoothed
     shares of the languages among the documents of each host, from the text alone.
-    Counts are partial sums per task first, so a host of any size is one row a task."""
-    share = lambda i: F.sum((F.array_position("text_logs", F.array_max("text_logs")) == i + 1).cast("double")).alias(f"n{i}")
-    texts = scored.where("grams > 0")
-    hosts = stored(texts.groupBy("host", "suffix").agg(*(share(i) for i in range(n_languages))), "hosts")
-    n = [f"n{i}" for i in range(n_languages)]
-    total = lambda names: sum((F.col(c) for c in names), F.lit(0.0))
-    suffixes = hosts.groupBy("suffix").agg(*(F.sum(c).alias(c.replace("n", "s")) for c in n))
-    whole = hosts.agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c.replace("n", "g")) for c in n))
-    s, g = [c.replace("n", "s") for c in n], [c.replace("n", "g") for c in n]
-    both = hosts.withColumnRenamed("suffix", "sfx").join(suffixes.crossJoin(F.broadcast(whole)), F.col("sfx").eqNullSafe(F.col("suffix")))
-    world = [(F.col(c) + 1.0) / (total(g) + n_languages) for c in g]
-    near = [(F.col(c) + STRENGTH * w) / (total(s) + STRENGTH) for c, w in zip(s, world, strict=True)]
-    own = [(F.col(c) + STRENGTH * w) / (total(n) + STRENGTH) for c, w in zip(n, near, strict=True)]
-    return both.select(F.col("host").alias("p_host"), F.col("sfx").alias("p_suffix"), F.array(*own).alias("prior"))
+    Counts are partial sums per task first, so a host of any size is one row a task for
+    each language."""
+    found = scored.where("grams > 0").withColumn("l", (F.array_position("text_logs", F.array_max("text_logs")) - 1).cast("int"))
+    counts = stored(found.groupBy("host", "suffix", "l").agg(F.count("*").cast("double").alias("n")), "hosts")
+    by_language = lambda name: (F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias(name), F.sum("n").alias(f"{name}_all"))
+    hosts = counts.groupBy("host", "suffix").agg(*by_language("own"))
+    near = counts.groupBy("suffix", "l").agg(F.sum("n").alias("n")).groupBy("suffix").agg(*by_language("near")).withColumnRenamed("suffix", "sfx")
+    whole = {r.l: r.n for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
+    total = sum(whole.values())
+    world = F.array(*(F.lit((whole.get(i, 0.0) + 1.0) / (total + n_languages)) for i in range(n_languages)))
+    n = lambda name, i: F.coalesce(F.element_at(name, i), F.lit(0.0))
+    smooth = lambda name, i, prior: (n(name, i) + STRENGTH * prior) / (F.col(f"{name}_all") + STRENGTH)
+    both = hosts.join(near, F.col("suffix").eqNullSafe(F.col("sfx")))
+    prior = F.transform(world, lambda w, i: smooth("own", i, smooth("near", i, w)))
+    return both.select(F.col("host").alias("p_host"), F.col("suffix").alias("p_suffix"), prior.alias("prior"))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", host_col: str = "source") -> DataFrame:
@@ -134,7 +154,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     null hosts are one host; repeated rows stay; without any labelled row nothing is
     known: language null, posterior 0, not kept."""
     k = len(model.languages)
-    declared = F.lower(F.substring_index(F.col(declared_col), "-", 1)) if declared_col else F.lit(None).cast("string")
+    declared = primary(F.col(declared_col)) if declared_col else F.lit(None).cast("string")
     host = F.col(host_col)
     base = docs.select(
         F.col(id_col).alias("id"),

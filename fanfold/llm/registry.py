@@ -37,6 +37,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs, "doc_id", "text", "lang")).drop("doc")
 
 
+def op3_language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(read(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return language_id.identify(language_id.pages_as_documents(read(spark, sf_dir, "pages")), model, "page_id").drop("doc")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -110,4 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secrets": op10_secrets,
 }
+#: Queries that read further tables; op3 finds hosts with suffixes and declarations only in ``pages``.
+FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_language_of_pages": op3_language_of_pages}
 ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.JUDGE_SQL, "op6_url_filter": OP6_SQL, "op8_mix_sources": mixing.MIX_SQL}

@@ -139,6 +139,49 @@ def test_language_evidence_adds_up(spark, docs):
     assert out[11].language == "de" and not out[11].kept  # no letters
 
 
+def test_posteriors_equal_brute_force(spark, sf_dir, docs):
+    import math
+
+    model = language_id.fit(docs, "doc_id", "text", "lang")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    plain = language_id.pages_as_documents(pages.unionByName(spark.createDataFrame([(-1, "HTTP://u@A.B.fr:8/x", "<p>the and</p>"), (-2, None, None)], pages.schema)))
+    rows = {r.id: r for r in language_id.text_evidence(plain.select(F.col("page_id").alias("id"), "text", "lang", "source"), model, "text").collect()}
+    html = {r.page_id: r for r in pages.collect()}
+    assert all(r.lang == re.search(r'<html lang="(\w+)"', html[i].html)[1] and f"//{r.source}/" in html[i].url and "track(" not in r.text for i, r in rows.items() if i >= 0)
+    assert (rows[-1].source, rows[-1].lang, rows[-2].source) == ("a.b.fr", None, None)
+    k, names = len(model.languages), model.languages
+    suffix = {i: r.source and r.source.rsplit(".", 1)[-1] for i, r in rows.items()}
+    best = {i: max(range(k), key=lambda x: r.text_logs[x]) for i, r in rows.items() if r.grams}
+    share = lambda ids, x, prior: (sum(best[i] == x for i in ids) + 20 * prior) / (len(ids) + 20)
+    out = {r.page_id: r for r in language_id.identify(plain, model, "page_id").collect()}
+    assert len(out) == len(rows) and len(set(suffix.values())) > 2
+    for i, r in rows.items():
+        near, own = [j for j in best if suffix[j] == suffix[i]], [j for j in best if rows[j].source == r.source]
+        logs = []
+        for x in range(k):
+            world = (sum(b == x for b in best.values()) + 1) / (len(best) + k)
+            prior = share(own, x, share(near, x, world)) if own else 1 / k
+            said = 0 if r.lang not in names else math.log(0.9 if r.lang == names[x] else 0.1 / (k - 1))
+            logs.append(r.text_logs[x] + math.log(prior) + said)
+        assert out[i].posterior == pytest.approx(1 / sum(math.exp(x - max(logs)) for x in logs)), i
+        assert out[i].language == names[logs.index(max(logs))]
+
+
+def test_labels_are_compared_by_their_primary_part(spark):
+    names = ["x" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(230)]
+    rows = [(i, f"{x} " * 9, f"{x.upper()}-XX") for i, x in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("h.org"))
+    model = language_id.fit(df, "doc_id", "text", "lang")
+    assert model.languages == names
+    assert {r.doc_id: r.language for r in language_id.identify(df, model).collect()} == dict(enumerate(names))
+
+
+def test_pages_are_registered(spark, sf_dir):
+    import __spark_entry__ as e
+
+    assert e.queries()["op3_language_of_pages"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+
+
 # op4
 
 
