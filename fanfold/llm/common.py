@@ -41,10 +41,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Where that is unset (a local session, as in tests) a folder under the
-    session's warehouse takes its place."""
+    Where that is unset, a local session (as in tests) uses a folder under its
+    warehouse; on a cluster that folder may be each machine's own, so there it fails."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
@@ -57,7 +59,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def removed(*frames: DataFrame) -> None:
+    """Delete the folders of stored frames that nothing reads any more."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def slices(batch, column: int, size: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import removed, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.where("a <> b").select("a", "b").distinct(), "edges")
     seen = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, stored(_small_star(_large_star(edges)), "edges")
+        removed(last)
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

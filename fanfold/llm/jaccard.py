@@ -2,29 +2,35 @@
 
 Equal sets are one class; the join runs on classes, and copies never meet in pairs.
 Candidates come from token-combination prefixes.  A class orders its tokens (shingle
-hashes): rare ones first, frequent ones last.  Rare tokens are indexed singly; frequent
-ones are dealt to groups, and the pairs of a group are indexed.  A prefix is long
-enough when
-
-    rare tokens + sum over groups of (tokens - 1)  >=  floor((1 - t) * size) + 1,
-
-for then two sets with Jaccard similarity t or more, of which at most floor((1 - t) *
-size) tokens of one are missing in the other, share a rare token or a pair of one
-group within both prefixes.  Groups grow with the size of the set, so that a group
-holds about five prefix tokens and the index stays linear in the text; sizes differ by
-at most 1 / t, so each set is indexed under its own size band and the one below.
-
-A bucket of the index (classes with one signature) isn't expanded into pairs.  First
-every member is verified against the bucket's least; members that link are in one
-component with it.  Where a bucket then still spans several components, one member of each
-is verified against one of the first, others in every bucket and round; at last the
-members of components that are still apart are verified against each other, which
-settles every bucket, so components are exact.  Pairs first meet as sizes and parity sketches, which rule out most
-that aren't alike and none that is; the texts of the rest are fetched and compared.
-
-Members that meet within one input batch are reduced to their
-least there, so a signature that a third of all documents share reaches the shuffle as
-one row for each batch.
+hashes): rare ones first, frequent ones next, very frequent ones last.  Rare tokens are
+indexed singly; the others are dealt to groups, and the pairs of frequent and the triples
+of very frequent tokens of a group are indexed.  A prefix is long enough when
+
+    rare tokens + sum over groups of (tokens - (k - 1))  >=  floor((1 - t) * size) + 1,
+
+with k = 2 or 3, for then two sets with Jaccard similarity t or more, of which at most
+floor((1 - t) * size) tokens of one are missing in the other, share a rare token or k
+tokens of one group within both prefixes.  Groups grow with the size of the set, so that a
+group holds five or six prefix tokens and the index stays linear in the text; sizes differ
+by at most 1 / t, so each set is indexed under its own size band and the one below.
+
+Each entry of the index knows the greatest size that a partner may have: where two sets
+share the token at place i of a prefix and none before, they share at most n - i tokens;
+where they share a combination and no rare token, at most n less the rare tokens.  Pairs
+that share an earlier or a rare token meet there, so this loses none.
+
+A small bucket of the index (classes with one signature) gives the pairs that may be
+partners.  A large one is not expanded: every member is verified against the bucket's
+first; where it then still spans several components, one member of each is verified
+against one of the first, others in every round.  What members of different components
+are then left, and may be partners, are verified against each other, so components are
+exact.  Pairs first meet as sizes and parity sketches, which rule out most that aren't
+alike and none that is; texts are fetched and compared for the rest, first for one pair of
+each class, then for those that are still apart.
+
+Members of a large bucket that meet within one input batch are reduced to their first
+there, so a signature that a third of all documents share reaches its bucket as one row
+for each batch.
 """
 
 from __future__ import annotations
@@ -34,23 +40,30 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, slices, stored
+from .common import let, removed, slices, stored
 from .components import components
 
 #: Similarity of 80 %, in whole numbers as the contract states it.
 PERCENT = 80
 #: A token is frequent in more classes than FREQUENT and than this share of all
-#: documents; so at most (mean set size / FREQUENT_SHARE) tokens are frequent.
+#: documents, and very frequent in more than VERY_FREQUENT and its share.
 FREQUENT, FREQUENT_SHARE = 8, 0.0001
+VERY_FREQUENT, VERY_FREQUENT_SHARE = 64, 0.01
+#: So many frequent tokens are broadcast at most (9 bytes each); more raise the limit above.
+MAX_FREQUENT = 2_000_000
 GROUP_TOKENS = 4
+#: Buckets of up to so many classes give their pairs at once.
+SMALL = 6
+#: Members of a signature that are reduced to their first when more meet in one batch.
+HOT_BATCH = 16
 #: A parity sketch has at least this many numbers of 64 bits, and two bits for each token.
 SKETCH = 16
 #: Ids of texts to fetch are broadcast up to this number of rows (16 bytes each).
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 #: Rounds of star verification before members meet pair by pair; they only save work.
 STAR_ROUNDS = 4
 #: Texts that are hashed at once: bounds the memory of a Python worker.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 BAND = math.log(100 / PERCENT)
 
 
@@ -62,54 +75,87 @@ def _groups(band: int) -> int:
     return max(1, int(0.01 * (100 - PERCENT) * (100 / PERCENT) ** band) // GROUP_TOKENS)
 
 
-def signatures(tokens, frequent):
-    """The distinct signatures of one set: ``tokens`` sorted and distinct, ``frequent``
-    the sorted frequent tokens.  Sets of fewer than four tokens link with equal ones only."""
+def _partner(n: int, shared):
+    """The greatest size of a set alike to one of ``n`` tokens that shares ``shared`` at most."""
+    return (100 + PERCENT) * shared // PERCENT - n
+
+
+def signatures(tokens, frequent, level):
+    """``(signatures, greatest partner sizes)`` of one set: ``tokens`` sorted and distinct,
+    ``frequent`` the sorted frequent tokens and ``level`` how many of each make a
+    combination.  Sets of fewer than four tokens link with equal ones only."""
     import numpy as np
 
     from .shingles import mixed
 
     n = len(tokens)
     if n < 4:
-        return tokens[:0]
+        return tokens[:0], np.empty(0, dtype=np.int64)
     need = _missing(n) + 1
-    common = np.zeros(n, dtype=bool)
+    k = np.ones(n, dtype=np.int64)
     if len(frequent):
         at = np.searchsorted(frequent, tokens)
         at[at == len(frequent)] = 0
-        common = frequent[at] == tokens
-    rare = tokens[~common][:need]
+        hit = frequent[at] == tokens
+        k[hit] = level[at[hit]]
+    rare = tokens[k == 1][:need]
+    sigs, sizes = [rare], [_partner(n, n - np.arange(len(rare)))]
     if len(rare) == need:
-        return rare
-    out, last = [rare], tokens[common]
+        return rare, sizes[0]
+    order = np.argsort(k, kind="stable")[len(rare) :]
+    last, k = tokens[order], k[order]
     need -= len(rare)
     own = int(math.log(n) / BAND)
     for band in {own, own - 1}:
         groups = _groups(band)
-        group = (mixed(last) % np.uint64(groups)).astype(np.int64)
-        # tokens that aren't the first of their group, counted along the order
-        first = np.zeros(len(last), dtype=bool)
-        first[np.unique(group, return_index=True)[1]] = True
-        stop = int(np.searchsorted(np.cumsum(~first), need)) + 1
-        order = np.argsort(group[:stop], kind="stable")
-        token, where = last[:stop][order], group[:stop][order]
-        for gap in range(1, stop):
-            same = where[gap:] == where[:-gap]
+        group = (mixed(last) % np.uint64(groups)).astype(np.int64) + (k - 2) * groups
+        # the k-1 first tokens of a group add nothing
+        by_group = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.diff(group[by_group], prepend=-1))
+        rank = np.empty(len(last), dtype=np.int64)
+        rank[by_group] = np.arange(len(last)) - np.repeat(starts, np.diff(starts, append=len(last)))
+        stop = int(np.searchsorted(np.cumsum(rank >= k - 1), need)) + 1
+        by_group = by_group[by_group < stop]
+        sigs += _combinations(last[by_group], group[by_group], k[by_group], band)
+    sizes += [np.full(len(s), _partner(n, n - len(rare)), dtype=np.int64) for s in sigs[1:]]
+    sig, first = np.unique(np.concatenate(sigs), return_index=True)
+    return sig, np.concatenate(sizes)[first]
+
+
+def _combinations(token, group, k, band):
+    """Hashes of the pairs and triples of tokens of one group; rows are ordered by group."""
+    import numpy as np
+
+    from .shingles import mixed
+
+    out, n = [], len(token)
+    for gap in range(1, n):
+        at = np.flatnonzero(group[gap:] == group[:-gap])
+        if not len(at):
+            break
+        pair = mixed(token[at] * np.uint64(3) + mixed(token[at + gap] + np.uint64(band)))
+        out.append(pair[k[at] == 2])
+        at, pair = at[k[at] == 3], pair[k[at] == 3]
+        for third in range(gap + 1, n):
+            inside = at + third < n
+            at, pair = at[inside], pair[inside]
+            same = group[at + third] == group[at]
             if not same.any():
                 break
-            a, b = token[:-gap][same], token[gap:][same]
-            out.append(mixed(a * np.uint64(3) + mixed(b + np.uint64(band))))
-    return np.unique(np.concatenate(out))
+            out.append(mixed(pair[same] * np.uint64(5) + mixed(token[at[same] + third])))
+    return out
 
 
-def set_id(tokens) -> int:
-    """A 64-bit digest of a set."""
+def set_ids(tokens) -> tuple[int, int]:
+    """Two 64-bit digests of a set."""
     import numpy as np
 
     from .shingles import mixed
 
     total = np.array([len(tokens)], dtype=np.uint64) + tokens.sum(dtype=np.uint64)
-    return int(mixed(total ^ mixed(np.bitwise_xor.reduce(mixed(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)), initial=np.uint64(0), keepdims=True)))[0].astype(np.int64))
+    folds = [np.bitwise_xor.reduce(mixed(tokens ^ np.uint64(salt)), initial=np.uint64(0), keepdims=True) for salt in (0xA5A5A5A5A5A5A5A5, 0x3C3C3C3C3C3C3C3C)]
+    key, check = (int(mixed(total ^ mixed(x))[0].astype(np.int64)) for x in folds)
+    return key, check
 
 
 def sketch(tokens):
@@ -132,10 +178,10 @@ def text_digest(text_col: str):
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts.  Rows of kind 0 are documents: ``id``, text digest
-    ``doc``, set size ``n``, set digest ``key`` and ``sketch``.  Rows of kind 1 are tokens that several sets of one input batch hold:
-    ``key``, and their number ``n``; a token of more sets than there are batches is
-    bound to be among them."""
-    kind, names = docs.schema[id_col].dataType.simpleString(), ["kind", "id", "doc", "n", "key", "sketch"]
+    ``doc``, set size ``n``, set digests ``key`` and ``check``, and ``sketch``.  Rows of
+    kind 1 are tokens that several sets of one input batch hold: ``key``, and their number
+    ``n``; a token of more sets than there are batches is bound to be among them."""
+    kind, names = docs.schema[id_col].dataType.simpleString(), ["kind", "id", "doc", "n", "key", "check", "sketch"]
 
     def run(batches):
         import numpy as np
@@ -146,20 +192,25 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             found = sets(batch.column(1).to_pylist())
             n = len(found)
-            ids = np.array([set_id(s) for s in found], dtype=np.int64)
-            once = np.unique(ids, return_index=True)[1]
+            ids = np.array([set_ids(s) for s in found], dtype=np.int64).reshape(n, 2)
+            once = np.unique(ids[:, 0], return_index=True)[1]
             token, times = np.unique(np.concatenate([found[i] for i in once] or [np.empty(0, dtype=np.uint64)]), return_counts=True)
             token, times = token[times > 1], times[times > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), batch.column(2), pa.array([len(s) for s in found], pa.int64()), pa.array(ids), pa.array([sketch(s) for s in found], pa.list_(pa.int64()))], names)
-            yield pa.RecordBatch.from_arrays([pa.array([1] * len(token), pa.int32()), pa.nulls(len(token), batch.column(0).type), pa.nulls(len(token), pa.int64()), pa.array(times, pa.int64()), pa.array(token.view(np.int64)), pa.nulls(len(token), pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0), batch.column(2), pa.array([len(s) for s in found], pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array([sketch(s) for s in found], pa.list_(pa.int64()))], names)
+            m = len(token)
+            yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int64()), pa.array(times, pa.int64()), pa.array(token.view(np.int64)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64()))], names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), text_digest(text_col).alias("doc")).mapInArrow(run, f"kind int, id {kind}, doc long, n long, key long, sketch array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), text_digest(text_col).alias("doc")).mapInArrow(run, f"kind int, id {kind}, doc long, n long, key long, check long, sketch array<long>")
 
 
-def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
-    """``(sig, parent, node, n, members)``: a class under each of its signatures.  Where
-    classes of one input batch share one, the least is its parent; only rows that are
-    their own parent have ``members``, the number of classes that they stand for."""
+def index_rows(docs: DataFrame, known, text_col: str) -> DataFrame:
+    """``(sig, node, n, most, score, parent, members)``: a class under each of its
+    signatures, the greatest size ``most`` of its partners there, and a ``score``, the
+    lower the more partners it may have.  Where more than HOT_BATCH classes of one input
+    batch share a signature, only the first by score stands for them with ``members``, and
+    the others have it as ``parent``.  ``known`` broadcasts the frequent tokens, their
+    levels, and set digests that several sets have: these go by their second digest."""
+    names = ["sig", "node", "n", "most", "score", "parent", "members"]
 
     def run(batches):
         import numpy as np
@@ -167,31 +218,52 @@ def index_rows(docs: DataFrame, frequent, text_col: str) -> DataFrame:
 
         from .shingles import sets
 
-        known = frequent.value
+        frequent, level, clash = known.value
         for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
-            sig, node, size = [], [], []
-            done = set()
+            out, done = [], set()
             for s in sets(batch.column(0).to_pylist()):
-                key = set_id(s)
+                key, check = set_ids(s)
+                key = check if key in clash else key
                 if key in done:
                     continue
                 done.add(key)
-                x = signatures(s, known)
-                sig.append(x)
-                node.append(np.full(len(x), key, dtype=np.int64))
-                size.append(np.full(len(x), len(s), dtype=np.int64))
-            if not sig:
+                x, most = signatures(s, frequent, level)
+                rows = np.empty((4, len(x)), dtype=np.int64)
+                rows[0], rows[1], rows[2], rows[3] = x.view(np.int64), key, len(s), most
+                out.append(rows)
+            if not out:
                 continue
-            sig, node, size = np.concatenate(sig).view(np.int64), np.concatenate(node), np.concatenate(size)
-            order = np.lexsort((node, sig))
-            sig, node, size = sig[order], node[order], size[order]
+            sig, node, size, most = np.concatenate(out, axis=1)
+            del out
+            score = -(1000 * most) // np.maximum(size, 1)
+            order = np.lexsort((node, score, sig))
+            sig, node, size, most, score = (c[order] for c in (sig, node, size, most, score))
             head = np.flatnonzero(np.diff(sig, prepend=sig[:1] - 1)) if len(sig) else np.empty(0, dtype=np.int64)
             counts = np.diff(head, append=len(sig))
-            members = np.zeros(len(sig), dtype=np.int64)
-            members[head] = counts
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, np.repeat(node[head], counts), node, size, members)], ["sig", "parent", "node", "n", "members"])
-
-    return docs.select(F.col(text_col).alias("t")).mapInArrow(run, "sig long, parent long, node long, n long, members long")
+            hot = np.repeat(counts > HOT_BATCH, counts)
+            members = np.where(hot, 0, 1)
+            members[head] = np.where(counts > HOT_BATCH, counts, 1)
+            parent = pa.array(np.repeat(node[head], counts), mask=members > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), *(pa.array(c.astype(np.int32)) for c in (size, most, score)), parent, pa.array(members.astype(np.int32))], names)
+
+    return docs.select(F.col(text_col).alias("t")).mapInArrow(run, "sig long, node long, n int, most int, score int, parent long, members int")
+
+
+def buckets(index: DataFrame) -> DataFrame:
+    """``(sig, node, n, most, score, head, partners, large)`` of the rows that meet others:
+    in small buckets ``partners`` are the earlier members that may be alike, in large ones
+    ``head`` is the first member."""
+    # a row that isn't its batch's first for a signature goes to a partition of its own
+    bucket = Window.partitionBy("sig", F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node"))).orderBy("score", "node")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = index.withColumn("total", F.sum("members").over(whole)).withColumn("first", F.first("node").over(whole))
+    earlier = [F.lag(F.struct("node", "n", "most"), i).over(bucket).alias(f"e{i}") for i in range(1, SMALL)]
+    rows = rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))
+    rows = rows.select("*", *earlier).where("members <> 1 OR lo <> hi")
+    large = (F.col("members") == 0) | (F.col("total") > SMALL)  # copies in several batches count anew
+    fits = F.filter(F.array(*(f"e{i}" for i in range(1, SMALL))), lambda p: p.isNotNull() & (p["n"] <= F.col("most")) & (F.col("n") <= p["most"]) & (p["node"] != F.col("node")))
+    partners = F.when(~large, F.transform(fits, lambda p: p["node"]))
+    return rows.select("sig", "node", "n", "most", "score", F.coalesce("parent", "first").alias("head"), partners.alias("partners"), large.alias("large")).where("large OR size(partners) > 0")
 
 
 def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -217,7 +289,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         from .shingles import common, sets
 
-        one = lru_cache(maxsize=256)(lambda t: sets([t])[0])
+        one = lru_cache(maxsize=32)(lambda t: sets([t])[0])
         for batch in batches:
             alike = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -236,86 +308,113 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(id, n_shingles, component_id)`` per row of ``docs``: the set size, and the
     least id that links reach, the row's own included.
 
-    A null text, or one without words, has no shingles and links with nothing; repeated
-    rows stay; a component in which all ids are null has a null id."""
+    A null text, an empty one, or one without words has no shingles and links with
+    nothing; texts of any length are hashed whole, in slices of a batch; repeated rows
+    stay, as rows of one class; rows of one id and different texts are compared each by
+    its text; a component in which all ids are null has a null id.  Further columns are
+    not read, and an empty table gives an empty result."""
     out = grouped(docs, id_col, text_col)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
 
 
+def _frequent(scanned: DataFrame, n_docs: int):
+    """The sorted frequent tokens and the number of them in a combination: at most
+    MAX_FREQUENT, whatever the input.  They decide the order of tokens, never a link."""
+    import numpy as np
+
+    counts = stored(scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")), "tokens")
+    least = max(FREQUENT, int(FREQUENT_SHARE * n_docs))
+    while counts.where(F.col("n") > least).count() > MAX_FREQUENT:
+        least *= 2
+    very = max(VERY_FREQUENT, int(VERY_FREQUENT_SHARE * n_docs))
+    found = counts.where(F.col("n") > least).select("key", (F.col("n") > very).alias("very")).toPandas()
+    removed(counts)
+    token = found["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(token)
+    return token[order], np.where(found["very"].to_numpy(dtype=bool), 3, 2)[order].astype(np.int8)
+
+
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, doc, n, root, component)`` per row of ``docs``: text digest, set size, the
     least class of the row's component and its least id; without shingles both are null."""
     spark = docs.sparkSession
     scanned = stored(scan(docs, id_col, text_col), "scan")
-    rows = scanned.where("kind = 0").select("id", "doc", "n", "key")
-    least = max(FREQUENT, int(FREQUENT_SHARE * rows.count()))
-    # its size is bounded by the mean set size, see FREQUENT_SHARE
-    tokens = scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > least).select("key").toPandas()["key"].to_numpy()
-    frequent = spark.sparkContext.broadcast(_sorted_unsigned(tokens))
+    rows = scanned.where("kind = 0").select("id", "doc", "n", "key", "check", "sketch")
+    # digests of two sets: some n * n / 2**65 of n sets
+    clash = [r.key for r in rows.where("n > 0").groupBy("key").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo <> hi").select("key").collect()]
+    if clash:
+        rows = rows.withColumn("key", F.when(F.col("key").isin(clash), F.col("check")).otherwise(F.col("key")))
+    known = spark.sparkContext.broadcast((*_frequent(scanned, rows.count()), set(clash)))
     # of each class the row with the least id, nulls last, then the least text digest
     least_row = F.min(F.struct(F.col("id").isNull(), "id", "doc")).alias("row")
     classes = rows.where("n > 0").groupBy("key").agg(least_row).select("key", F.col("row.id").alias("first"), F.col("row.doc").alias("first_doc"))
 
-    # a row that isn't its batch's least for a signature goes to a partition of its own
-    apart = F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node"))
-    bucket = Window.partitionBy("sig", "apart")
-    indexed = index_rows(docs, frequent, text_col).withColumn("apart", apart)
-    met = indexed.withColumn("least", F.min("node").over(bucket)).withColumn("total", F.sum("members").over(bucket)).where("members = 0 OR total > 1")
-    buckets = stored(met.select("sig", "node", "n", F.when(F.col("members") > 0, F.col("least")).otherwise(F.col("parent")).alias("parent")), "buckets")
+    met = stored(buckets(index_rows(docs, known, text_col)), "buckets")
+    small = met.where("NOT large").select("node", F.explode("partners").alias("other"))
+    large = met.where("large").select("sig", "node", "n", "most", "score", "head")
+    pairs = small.union(large.where("head <> node").select("node", "head")).toDF("x", "y")
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    firsts = buckets.select("node").distinct().join(classes, F.col("node") == F.col("key")).select("node", "first", "first_doc")
-    own = (F.col("id").eqNullSafe(F.col("first"))) & (F.col("node") == F.col("key"))
-    sketches = stored(scanned.where("kind = 0").join(firsts, own).select("node", "n", "sketch").dropDuplicates(["node"]), "sketches")
+    nodes = met.select("node").union(met.where("NOT large").select(F.explode("partners"))).distinct()
+    firsts = nodes.join(classes, F.col("node") == F.col("key")).select("node", "first", "first_doc")
+    own = (F.col("id").eqNullSafe(F.col("first"))) & (F.col("doc") == F.col("first_doc")) & (F.col("node") == F.col("key"))
+    sketches = stored(rows.join(firsts, own).groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("first").alias("first"), F.first("first_doc").alias("first_doc")), "sketches")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), text_digest(text_col).alias("doc"))
 
-    def alike(candidates):
-        left = stored(possible(candidates, sketches), "pairs")
-        nodes = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node"), "nodes")
+    def alike(left):
+        nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = stored(sketches.select("node", "first", "first_doc").join(nodes, "node", "left_semi"), "nodes")
         n = nodes.count()
-        nodes = F.broadcast(nodes) if n <= BROADCAST_ROWS else nodes
-        texts = stored(source.join(nodes, F.col("id").eqNullSafe(F.col("first")) & (F.col("doc") == F.col("first_doc"))).select("node", "t"), "texts")
-        if texts.count() > n:  # repeated rows
-            texts = stored(texts.dropDuplicates(["node"]), "texts")
-        return stored(verified(left, texts), "links")
-
-    pairs = buckets.where("parent <> node").select(F.col("parent").alias("a"), F.col("node").alias("b")).distinct()
-    links = alike(pairs)
+        few = F.broadcast(nodes) if n <= BROADCAST_ROWS else nodes
+        texts = stored(source.join(few, F.col("id").eqNullSafe(F.col("first")) & (F.col("doc") == F.col("first_doc"))).select("node", "t"), "texts")
+        once = texts.dropDuplicates(["node"]) if texts.count() > n else texts  # repeated rows
+        links = stored(verified(left, once), "links")
+        removed(nodes, texts)
+        return links
+
+    left = stored(possible(pairs, sketches.select("node", "n", "sketch")), "pairs")
+    # one pair of each class first; most of the others are then of one component
+    links = alike(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     roots = components(links)
+    apart = lambda x: x.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").where("ra IS NULL OR rb IS NULL OR ra <> rb").select("a", "b")
+    more = alike(apart(left).join(links, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        links, roots = links.unionByName(more), components(links.unionByName(more))
 
-    tried = pairs
-    for turn in range(STAR_ROUNDS):
-        # buckets whose members are still in several components: one member of each component,
-        # another in each bucket and round, meets that of the first, as long as that brings links
-        member = buckets.select("sig", "node", "n").distinct().join(roots, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-        open_ = stored(member.join(mixed, "sig"), "open")
-        heads = open_.groupBy("sig", "root").agg(F.min_by("node", F.xxhash64("node", "sig", F.lit(turn))).alias("head"))
-        centre = heads.groupBy("sig").agg(F.min_by("head", "root").alias("centre"))
-        stars = heads.join(centre, "sig").where("head <> centre").select(F.least("head", "centre").alias("a"), F.greatest("head", "centre").alias("b")).distinct()
-        stars = stored(stars.join(tried, ["a", "b"], "left_anti"), "stars")
-        tried = tried.unionByName(stars)
-        more = alike(stars)
-        if more.isEmpty():
+    tried = left
+    for turn in range(STAR_ROUNDS + 1):
+        open_ = stored(_open(large, roots), "open")
+        if open_.isEmpty():
             break
-        links = links.unionByName(more)
-        roots = components(links)
-
-    # what is left in such buckets meets pair by pair
-    other = open_.toDF("sig", "node2", "n2", "root2")
-    sized = (PERCENT * F.greatest("n", "n2") <= 100 * F.least("n", "n2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2"))
-    rest = open_.join(other, "sig").where(sized).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-    more = alike(rest.join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        if turn < STAR_ROUNDS:
+            # one member of each component, another in each bucket and round, meets one of the first
+            best = F.col("score") if turn == 0 else F.xxhash64("node", "sig", F.lit(turn))
+            heads = open_.groupBy("sig", "root").agg(F.min(F.struct(best.alias("order"), "node", "n", "most")).alias("h"))
+            centre = heads.groupBy("sig").agg(F.min("h").alias("c"))
+            met_again = heads.join(centre, "sig").where("h.node <> c.node AND h.n <= c.most AND c.n <= h.most").select(F.col("h.node").alias("x"), F.col("c.node").alias("y"))
+        else:
+            # what is left meets pair by pair
+            other = open_.toDF("sig", "y", "n2", "most2", "score2", "root2")
+            met_again = open_.join(other, "sig").where("node < y AND root <> root2 AND n <= most2 AND n2 <= most").select(F.col("node").alias("x"), "y")
+        new = stored(met_again.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "new")
+        more = alike(stored(possible(new, sketches.select("node", "n", "sketch")), "pairs"))
+        removed(open_)
+        tried = tried.unionByName(new)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links)
 
     labelled = classes.join(roots, classes["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component"))
-    by_class = labelled.join(smallest, "root").select(F.col("key").alias("k"), "root", "component")
+    by_class = stored(labelled.join(smallest, "root").select(F.col("key").alias("k"), "root", "component"), "labels")
+    removed(met, sketches, left)
     out = rows.join(by_class, (rows["key"] == F.col("k")) & (rows["n"] > 0), "left")
     return out.select("id", "doc", "n", "root", "component")
 
 
-def _sorted_unsigned(values):
-    import numpy as np
-
-    return np.sort(values.astype(np.int64).view(np.uint64))
+def _open(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(sig, node, n, most, score, root)`` of the members of large buckets that span several
+    components and hold some partner for them by size."""
+    member = large.select("sig", "node", "n", "most", "score").join(roots, "node", "left").select("sig", "node", "n", "most", "score", F.coalesce("root", "node").alias("root"))
+    span = member.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("low"), F.max("most").alias("high")).where("lo <> hi").select("sig", "low", "high")
+    return member.join(span, "sig").where("low <= most AND n <= high").select("sig", "node", "n", "most", "score", "root").distinct()

@@ -324,9 +324,10 @@ def groups(rows):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("frequent", [64, 6])
-def test_groups_equal_brute_force(spark, docs, monkeypatch, frequent):
-    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+@pytest.mark.parametrize(("frequent", "very", "small", "hot"), [(64, 64, 6, 16), (6, 64, 6, 2), (4, 12, 3, 4), (2, 2, 2, 2)])
+def test_groups_equal_brute_force(spark, docs, monkeypatch, frequent, very, small, hot):
+    for name, value in (("FREQUENT", frequent), ("VERY_FREQUENT", very), ("VERY_FREQUENT_SHARE", 0), ("SMALL", small), ("HOT_BATCH", hot)):
+        monkeypatch.setattr(jaccard, name, value)
     random.seed(5)
     base = [[f"w{random.randrange(10**6)}" for _ in range(n)] for n in (6, 9, 12, 40, 150, 300)]
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
