@@ -254,12 +254,12 @@ def buckets(index: DataFrame) -> DataFrame:
     in small buckets ``partners`` are the earlier members that may be alike, in large ones
     ``head`` is the first member."""
     # a row that isn't its batch's first for a signature goes to a partition of its own
-    bucket = Window.partitionBy("sig", F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node"))).orderBy("score", "node")
+    index = index.withColumn("apart", F.when(F.col("members") > 0, F.lit(0)).otherwise(F.col("node")))
+    bucket = Window.partitionBy("sig", "apart").orderBy("score", "node")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = index.withColumn("total", F.sum("members").over(whole)).withColumn("first", F.first("node").over(whole))
     earlier = [F.lag(F.struct("node", "n", "most"), i).over(bucket).alias(f"e{i}") for i in range(1, SMALL)]
-    rows = rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))
-    rows = rows.select("*", *earlier).where("members <> 1 OR lo <> hi")
+    about = [F.sum("members").over(whole).alias("total"), F.first("node").over(whole).alias("first"), F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi")]
+    rows = index.select("*", *about, *earlier).where("members <> 1 OR lo <> hi")
     large = (F.col("members") == 0) | (F.col("total") > SMALL)  # copies in several batches count anew
     fits = F.filter(F.array(*(f"e{i}" for i in range(1, SMALL))), lambda p: p.isNotNull() & (p["n"] <= F.col("most")) & (F.col("n") <= p["most"]) & (p["node"] != F.col("node")))
     partners = F.when(~large, F.transform(fits, lambda p: p["node"]))
@@ -381,28 +381,34 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if not more.isEmpty():
         links, roots = links.unionByName(more), components(links.unionByName(more))
 
-    tried = left
-    for turn in range(STAR_ROUNDS + 1):
-        open_ = stored(_open(large, roots), "open")
-        if open_.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            # one member of each component, another in each bucket and round, meets one of the first
-            best = F.col("score") if turn == 0 else F.xxhash64("node", "sig", F.lit(turn))
-            heads = open_.groupBy("sig", "root").agg(F.min(F.struct(best.alias("order"), "node", "n", "most")).alias("h"))
-            centre = heads.groupBy("sig").agg(F.min("h").alias("c"))
-            met_again = heads.join(centre, "sig").where("h.node <> c.node AND h.n <= c.most AND c.n <= h.most").select(F.col("h.node").alias("x"), F.col("c.node").alias("y"))
-        else:
-            # what is left meets pair by pair
-            other = open_.toDF("sig", "y", "n2", "most2", "score2", "root2")
-            met_again = open_.join(other, "sig").where("node < y AND root <> root2 AND n <= most2 AND n2 <= most").select(F.col("node").alias("x"), "y")
+    def tested(met_again, tried):
+        """Links of the pairs that haven't been tried, and these pairs."""
         new = stored(met_again.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "new")
-        more = alike(stored(possible(new, sketches.select("node", "n", "sketch")), "pairs"))
-        removed(open_)
-        tried = tried.unionByName(new)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links)
+        may = stored(possible(new, sketches.select("node", "n", "sketch")), "pairs")
+        return (None if may.isEmpty() else alike(may)), new
+
+    tried, turn = left, 0
+    open_ = stored(_open(large, roots), "open")
+    while turn < STAR_ROUNDS and not open_.isEmpty():
+        # one member of each component, another in each bucket and round, meets one of the first
+        best = F.col("score") if turn == 0 else F.xxhash64("node", "sig", F.lit(turn))
+        heads = open_.groupBy("sig", "root").agg(F.min(F.struct(best.alias("order"), "node", "n", "most")).alias("h"))
+        centre = heads.groupBy("sig").agg(F.min("h").alias("c"))
+        star = heads.join(centre, "sig").where("h.node <> c.node AND h.n <= c.most AND c.n <= h.most").select(F.col("h.node").alias("x"), F.col("c.node").alias("y"))
+        more, new = tested(star, tried)
+        tried, turn = tried.unionByName(new), turn + 1
+        if more is None or more.isEmpty():
+            break
+        links = links.unionByName(more)
+        roots = components(links)
+        open_ = stored(_open(large, roots), "open")
+    if not open_.isEmpty():
+        # what is left meets pair by pair
+        other = open_.toDF("sig", "y", "n2", "most2", "score2", "root2")
+        rest = open_.join(other, "sig").where("node < y AND root <> root2 AND n <= most2 AND n2 <= most").select(F.col("node").alias("x"), "y")
+        more, _ = tested(rest, tried)
+        if more is not None and not more.isEmpty():
+            roots = components(links.unionByName(more))
 
     labelled = classes.join(roots, classes["key"] == roots["node"], "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component"))
