@@ -14,10 +14,10 @@ tokens of one group within both prefixes.  Groups grow with the size of the set,
 group holds five or six prefix tokens and the index stays linear in the text; sizes differ
 by at most 1 / t, so each set is indexed under its own size band and the one below.
 
-Each entry of the index knows the greatest size that a partner may have: where two sets
-share the token at place i of a prefix and none before, they share at most n - i tokens;
-where they share a combination and no rare token, at most n less the rare tokens.  Pairs
-that share an earlier or a rare token meet there, so this loses none.
+Each entry of the index knows the greatest size that a partner may have.  A pair that is
+alike shares some entry within prefixes only as long as its own two sizes ask for; so an
+entry that ends where the sum above is u serves pairs that share n - u + 1 tokens or more,
+which bounds the partner's size, and loses none.
 
 A small bucket of the index (classes with one signature) gives the pairs that may be
 partners.  A large one is not expanded: every member is verified against the bucket's
@@ -114,16 +114,18 @@ def signatures(tokens, frequent, level):
         starts = np.flatnonzero(np.diff(group[by_group], prepend=-1))
         rank = np.empty(len(last), dtype=np.int64)
         rank[by_group] = np.arange(len(last)) - np.repeat(starts, np.diff(starts, append=len(last)))
-        stop = int(np.searchsorted(np.cumsum(rank >= k - 1), need)) + 1
-        by_group = by_group[by_group < stop]
-        sigs += _combinations(last[by_group], group[by_group], k[by_group], band)
-    sizes += [np.full(len(s), _partner(n, n - len(rare)), dtype=np.int64) for s in sigs[1:]]
+        spent = np.cumsum(rank >= k - 1)
+        by_group = by_group[by_group <= np.searchsorted(spent, need)]
+        for sig, where in _combinations(last[by_group], group[by_group], k[by_group], band):
+            sigs.append(sig)
+            sizes.append(_partner(n, n - len(rare) - spent[by_group[where]] + 1))
     sig, first = np.unique(np.concatenate(sigs), return_index=True)
     return sig, np.concatenate(sizes)[first]
 
 
 def _combinations(token, group, k, band):
-    """Hashes of the pairs and triples of tokens of one group; rows are ordered by group."""
+    """Hashes of the pairs and triples of tokens of one group, and where their last tokens
+    are; rows are ordered by group."""
     import numpy as np
 
     from .shingles import mixed
@@ -134,7 +136,7 @@ def _combinations(token, group, k, band):
         if not len(at):
             break
         pair = mixed(token[at] * np.uint64(3) + mixed(token[at + gap] + np.uint64(band)))
-        out.append(pair[k[at] == 2])
+        out.append((pair[k[at] == 2], at[k[at] == 2] + gap))
         at, pair = at[k[at] == 3], pair[k[at] == 3]
         for third in range(gap + 1, n):
             inside = at + third < n
@@ -142,7 +144,7 @@ def _combinations(token, group, k, band):
             same = group[at + third] == group[at]
             if not same.any():
                 break
-            out.append(mixed(pair[same] * np.uint64(5) + mixed(token[at[same] + third])))
+            out.append((mixed(pair[same] * np.uint64(5) + mixed(token[at[same] + third])), at[same] + third))
     return out
 
 
