@@ -24,7 +24,9 @@ ASSIGN_VALUE = 12
 #: The runs of these are maximal, so asking for their least length in the pattern
 #: finds what dropping short matches afterwards would leave.
 ACCESS, HEX, WEAK = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/_=-]{20,}"
-ENDPOINT = r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com"
+#: A run of host characters is tried once, at its start, and never given back: a long run
+#: costs neither stack nor squared time.
+ENDPOINT = r"https?://[A-Za-z0-9.-]++(?::[0-9]++)?|(?<![a-z0-9.-])[a-z0-9.-]++(?<=[a-z0-9-]\.amazonaws\.com)"
 SCOPE = REACH = 200
 SPAN = "struct<start:int,rank:int,end:int>"
 #: Spans gathered before they are set aside: lists never grow one by one for long.
@@ -75,7 +77,9 @@ def text_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def linked_parts(parts: DataFrame) -> DataFrame:
     """``(id, doc, linked)``: the weak secrets and endpoints of each text that link to
-    a complementary part, as spans in order; texts without links are left out."""
+    a complementary part, as spans in order; texts without links are left out.  Repeated
+    rows are one text here."""
+    parts = parts.dropDuplicates(["id", "doc"])
     touches = lambda by: F.explode(F.sequence(F.floor((F.col("s.start") - by) / SCOPE), F.floor((F.col("s.end") + by) / SCOPE)))
     rows = lambda array, by: parts.select("id", "doc", F.explode(array).alias("s")).withColumn("scope", touches(by))
     access = F.filter("base", lambda s: s["rank"] == KINDS.index("access"))
@@ -92,7 +96,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, doc, base, found)`` per row of ``docs``: the base spans, and with them the
     linked parts that no base span overlaps, both by start, then kind.
 
-    A null or empty text has none; repeated rows and null ids each get their spans.
+    A null or empty text has none; texts of any length are read whole; repeated rows and
+    null ids each get their spans; of spans that start together the kind named first
+    comes first; further columns are not read; an empty table gives an empty result.
     The text is read once: its spans are stored and the links are made from them."""
     parts = stored(text_parts(docs, id_col, text_col), "parts")
     linked = linked_parts(parts.where("size(endpoint) > 0 OR exists(base, s -> s.rank = 1)")).withColumnsRenamed({"id": "l_id", "doc": "l_doc"})
