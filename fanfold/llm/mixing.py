@@ -1,11 +1,14 @@
 """Mix sources to target weights by a low-discrepancy schedule.
 
 Each source's documents are shuffled (by digest of the id) into one token stream,
-repeated as often as its target asks, and cut into blocks of equal token counts.
+repeated as often as its slots ask, and cut into blocks of equal token counts.
 A schedule of slots names the source of each block: slot ``n`` takes the golden
 ratio point ``frac((n + 1) * phi)``, which falls into one interval of the
-cumulated weights.  The slots of a source are ranked, and slot ``r`` meets block
-``r`` in a join.  Sources stay evenly interleaved at every length of the mix.
+cumulated weights.  The slots of a source are ranked, and the slot of rank ``r`` meets
+block ``r`` in a join.  The schedule alone decides how many blocks a source gives and
+where they stand: sources stay evenly interleaved at every length of the mix, each
+within a few blocks of its share (the discrepancy of the points grows with the
+logarithm of their number).
 
 Running counts never gather a source in one task: they are summed per digest
 bucket (documents) or per run of slots (schedule), the few sums are accumulated,
@@ -22,15 +25,14 @@ from pyspark.sql import functions as F
 
 from .common import WORD, stored
 
-BLOCK_TOKENS = 1024
+#: A block has this many tokens, or fewer so that the mix has MIN_SLOTS slots at least.
+BLOCK_TOKENS, MIN_SLOTS = 1024, 1 << 18
 #: Documents of a source are dealt to 16**BUCKET_HEX digest buckets.
 BUCKET_HEX = 3
 #: Slots whose ranks are counted together.
 RUN = 1 << 16
 #: Equal cells of [0, 1) in which a slot looks for its interval.
 CELLS = 1024
-#: Share of slots drawn beyond the number of blocks asked for.
-SLACK = 0.02
 GOLDEN = (math.sqrt(5) - 1) / 2
 
 
@@ -66,7 +68,7 @@ def token_stream(sized: DataFrame, sources: DataFrame) -> DataFrame:
     source; ``sized`` has ``(doc_id, source, size)``.  ``(sid, bucket, rn)`` tells
     rows apart, also repeated ones."""
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = sized.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "sid", "source_size", "target", digest.alias("digest"))
+    rows = sized.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "sid", "source_size", "target", "until", digest.alias("digest"))
     rows = rows.withColumn("bucket", F.substring("digest", 1, BUCKET_HEX))
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -75,11 +77,8 @@ def token_stream(sized: DataFrame, sources: DataFrame) -> DataFrame:
     return placed.join(sums.select("sid", "bucket", before.alias("base")), ["sid", "bucket"]).withColumn("a", F.col("base") + F.col("inner")).drop("base", "inner", "digest")
 
 
-def schedule(sources: DataFrame, n_slots: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``(slot, sid, rank)``: the source of each slot and the slot's rank in it.
-
-    A source keeps as many slots as its target has blocks; one that the first
-    ``n_slots`` points leave short gets the missing slots at the end."""
+def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
+    """``(slot, sid, rank)``: the source of each slot and the slot's rank in it."""
     spark = sources.sparkSession
     order = Window.orderBy("sid")
     share = F.col("target") / F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -89,46 +88,59 @@ def schedule(sources: DataFrame, n_slots: int, block_tokens: int = BLOCK_TOKENS)
         .withColumn("hi", F.sum("share").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0.0)))
         .withColumn("hi", F.when(F.lead("sid").over(order).isNull(), 2.0).otherwise(F.col("hi")))
-        .withColumn("blocks", F.ceil(F.floor("target") / block_tokens).cast("long"))
-        .select("sid", "lo", "hi", "blocks")
+        .select("sid", "lo", "hi")
     )
     cell = lambda x: F.least(F.lit(CELLS - 1), F.floor(x * CELLS)).cast("int")
     cells = bounds.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
     point = (F.col("slot") + 1) * F.lit(GOLDEN)
     slots = spark.range(n_slots).withColumnRenamed("id", "slot").withColumn("u", point - F.floor(point)).withColumn("cell", cell(F.col("u")))
-    drawn = slots.join(cells, "cell").where("lo <= u AND u < hi").select("slot", "sid", "blocks", F.floor(F.col("slot") / RUN).alias("run"))
+    drawn = slots.join(cells, "cell").where("lo <= u AND u < hi").select("slot", "sid", F.floor(F.col("slot") / RUN).alias("run"))
     counts = drawn.groupBy("sid", "run").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inner = F.row_number().over(Window.partitionBy("sid", "run").orderBy("slot")) - 1
-    ranked = drawn.withColumn("inner", inner).join(counts.select("sid", "run", before.alias("base")), ["sid", "run"]).withColumn("rank", F.col("base") + F.col("inner")).where("rank < blocks").select("slot", "sid", "rank")
-    short = (
-        bounds.join(counts.groupBy("sid").agg(F.sum("n").alias("n")), "sid", "left")
-        .where("coalesce(n, 0) < blocks")
-        .withColumn("rank", F.explode(F.sequence(F.coalesce("n", F.lit(0)), F.col("blocks") - 1)))
-        .select((F.lit(n_slots) + F.col("rank")).alias("slot"), "sid", "rank")
-    )
-    return ranked.unionByName(short)
-
+    ranked = drawn.withColumn("inner", inner).join(counts.select("sid", "run", before.alias("base")), ["sid", "run"])
+    return ranked.select("slot", "sid", (F.col("base") + F.col("inner")).alias("rank"))
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``(doc_id, size, source_size, target, taken)`` per row of ``docs(doc_id, text,
-    source)``: ``taken`` counts the words that the mix takes of the document.
 
-    Null texts have size 0 and are never taken; null sources are a source of their
-    own, the last; repeated rows each have their own place.  An empty table gives an
-    empty result.  Runs agree, as the shuffle is a digest order."""
+def pieces(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int | None = None) -> DataFrame:
+    """``(sid, bucket, rn, doc_id, size, source_size, target, pass, slot, start, end)``: the
+    mix, a row for each document's part in a slot, with the words ``[start, end)`` of the
+    document; ``pass`` counts how often its source's stream has been repeated.  Rows that
+    the mix takes nothing of stay once, with null ``slot``; ``(sid, bucket, rn)`` tells
+    rows of ``docs(doc_id, text, source)`` apart.  A source ends at ``cap`` times its size,
+    should its slots ask for more."""
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     sources = stored(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
-    blocks = sources.agg(F.sum(F.ceil(F.floor("target") / block_tokens))).first()[0] or 0
-    slots = schedule(sources, int(blocks * (1 + SLACK)) + 64, block_tokens)
-    rows = token_stream(sized, sources).withColumn("until", F.floor("target").cast("long"))
+    total = sources.agg(F.sum("target")).first()[0] or 0
+    block = block_tokens or max(1, min(BLOCK_TOKENS, int(total / MIN_SLOTS)))
+    slots = stored(schedule(sources, math.ceil(total / block)), "slots")
+    given = slots.groupBy("sid").agg(F.count("*").alias("blocks"))
+    until = F.least(F.coalesce("blocks", F.lit(0)) * block, F.floor(cap * F.col("source_size"))).cast("long").alias("until")
+    sources = sources.join(given, "sid", "left").select("sid", "source", "source_size", "target", until)
+    rows = token_stream(sized, sources)
     passes = F.when((F.col("until") > 0) & (F.col("size") > 0), F.sequence(F.lit(0).cast("long"), F.expr("(until - 1) div source_size")))
-    pieces = rows.withColumn("pass", F.explode_outer(passes)).withColumn("from", F.col("a") + F.col("pass") * F.col("source_size")).withColumn("to", F.least(F.col("from") + F.col("size"), F.col("until")))
-    hit = F.when(F.col("from") < F.col("to"), F.sequence(F.expr(f"`from` div {block_tokens}"), F.expr(f"(`to` - 1) div {block_tokens}")))
-    pieces = pieces.withColumn("rank", F.explode_outer(hit))
-    met = pieces.join(slots, ["sid", "rank"], "left")
-    words = F.when(F.col("slot").isNotNull(), F.least(F.col("to"), (F.col("rank") + 1) * block_tokens) - F.greatest(F.col("from"), F.col("rank") * block_tokens))
-    return met.groupBy("sid", "bucket", "rn", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken")).drop("sid", "bucket", "rn")
+    rows = rows.withColumn("pass", F.explode_outer(passes)).withColumn("from", F.col("a") + F.col("pass") * F.col("source_size")).withColumn("to", F.least(F.col("from") + F.col("size"), F.col("until")))
+    hit = F.when(F.col("from") < F.col("to"), F.sequence(F.expr(f"`from` div {block}"), F.expr(f"(`to` - 1) div {block}")))
+    # a pass that its source's end cuts off leaves no row but the document's first
+    rows = rows.where("`pass` IS NULL OR `pass` = 0 OR `from` < `to`").withColumn("rank", F.explode_outer(hit))
+    met = rows.join(slots, ["sid", "rank"], "left")
+    start = F.greatest(F.col("from"), F.col("rank") * block) - F.col("from")
+    end = F.least(F.col("to"), (F.col("rank") + 1) * block) - F.col("from")
+    return met.select("sid", "bucket", "rn", "doc_id", "size", "source_size", "target", "pass", "slot", start.alias("start"), end.alias("end"))
+
+
+def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int | None = None) -> DataFrame:
+    """``(doc_id, size, source_size, target, taken, first_slot)`` per row of ``docs(doc_id,
+    text, source)``: ``taken`` counts the words that the mix takes of the document, and
+    ``first_slot`` is where the first of them stand.
+
+    Null and empty texts have size 0 and are never taken; texts of any length are counted
+    whole; null sources are a source of their own, the last; repeated rows each have their
+    own place, and ties in the shuffle are broken by id and size.  An empty table gives an
+    empty result.  Runs agree, as the shuffle is a digest order."""
+    words = F.when(F.col("slot").isNotNull(), F.col("end") - F.col("start"))
+    out = pieces(docs, weights, share, cap, block_tokens).groupBy("sid", "bucket", "rn", "doc_id", "size", "source_size", "target")
+    return out.agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.min("slot").alias("first_slot")).drop("sid", "bucket", "rn")
 
 
 MIX_SQL = r"""
@@ -142,11 +154,21 @@ levels AS (
       - coalesce(sum(most) OVER (ORDER BY ratio, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
       / sum(w) OVER (ORDER BY ratio, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
 targets AS (
-  SELECT source, source_size, least(most, w * (SELECT arg_min(level, (ratio, sid)) FROM levels WHERE level <= ratio)) AS target FROM levels),
+  SELECT sid, source, source_size, least(most, w * (SELECT arg_min(level, (ratio, sid)) FROM levels WHERE level <= ratio)) AS target FROM levels),
+whole AS (SELECT greatest(1, least(1024, floor(sum(target) / 262144)::BIGINT)) AS block, sum(target) AS total FROM targets),
+shares AS (SELECT sid, sum(target / (SELECT total FROM whole)) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) AS hi FROM targets WHERE target > 0),
+bounds AS (SELECT sid, coalesce(lag(hi) OVER (ORDER BY sid), 0.0) AS lo, CASE WHEN lead(sid) OVER (ORDER BY sid) IS NULL THEN 2.0 ELSE hi END AS hi FROM shares),
+points AS (
+  SELECT n AS slot, (n + 1) * 0.6180339887498949::DOUBLE - floor((n + 1) * 0.6180339887498949::DOUBLE) AS u
+  FROM (SELECT unnest(range(0, (SELECT ceil(total / block)::BIGINT FROM whole))) AS n)),
+slots AS (SELECT slot, sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM points JOIN bounds ON lo <= u AND u < hi),
+given AS (SELECT sid, count(*) AS blocks FROM slots GROUP BY sid),
 placed AS (
-  SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS until,
+  SELECT doc_id, size, t.sid, source_size, target, least(coalesce(blocks, 0) * (SELECT block FROM whole), 2 * source_size)::BIGINT AS until,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN given g ON g.sid = t.sid)
 SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
-  (until // source_size) * size + greatest(0, least(a + size, until % source_size) - a) END::BIGINT AS taken FROM placed
+    (until // source_size) * size + greatest(0, least(a + size, until % source_size) - a) END::BIGINT AS taken,
+  CASE WHEN size > 0 AND a < until THEN s.slot END AS first_slot
+FROM placed p LEFT JOIN slots s ON s.sid = p.sid AND s.rank = p.a // (SELECT block FROM whole)
 """

@@ -4,6 +4,7 @@ import hashlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_llm import base_spans, groups
 
 import corpus_pipeline
@@ -49,6 +50,28 @@ def test_secrets_are_masked_and_documents_stay(spark, sf_dir):
     assert all(r.text == clean[r.doc_id] for r in out if r.doc_id in clean)
 
 
+def test_the_mix_is_of_the_targets_and_in_slot_order(spark, sf_dir):
+    from fanfold.llm import mixing
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    twice = docs.unionByName(docs.where("doc_id < 9"))
+    out = [(r.doc_id, len((r.text or "").split()), r.text) for r in corpus_pipeline.mixed_sources(spark, twice, sf_dir).collect()]
+    pieces = mixing.pieces(twice.select(corpus_pipeline.row_key().alias("doc_id"), "text", "source")).where("slot IS NOT NULL").withColumn("doc_id", F.substring_index("doc_id", ":", 1).cast("long")).collect()
+    words, texts = {}, {r.doc_id: r.text for r in docs.collect()}
+    for p in pieces:
+        words[p.doc_id] = words.get(p.doc_id, 0) + p.end - p.start
+    got = {}
+    for i, n, text in out:
+        got[i] = got.get(i, 0) + n
+        assert text == texts[i] or texts[i].split()[:n] == text.split()
+    assert got == words
+    first = {}
+    for p in pieces:
+        first[p.doc_id] = min(first.get(p.doc_id, 1 << 60), p.slot)
+    seen = list(dict.fromkeys(i for i, _, _ in out))
+    assert [first[i] for i in seen] == sorted(first[i] for i in seen)
+
+
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir).collect()
     enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
@@ -62,7 +85,8 @@ def test_odd_rows_pass(spark, sf_dir, tmp_path):
     from test_llm import ODD, SCHEMA
 
     spark.createDataFrame(ODD, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out and {r.doc_id for r in out} <= {r[0] for r in ODD if (r[1] or "").strip()}
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/empty/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
 
