@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanfold.llm import byte_bpe, jaccard, language_id, mixing, secrets
-from fanfold.llm.common import stored
+from fanfold.llm.common import stored, words
 from fanfold.llm.registry import RANK_FILE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -54,13 +54,27 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return met.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
 
 
+def row_key():
+    """The id of a row with a digest of all its columns: equal for repeated rows only."""
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64(*COLUMNS).cast("string"))
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: once for each time that at least half of
-    the words are taken."""
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), _digest().cast("string"))
-    taken = mixing.mix(docs.select(key.alias("doc_id"), "text", "source")).where("taken > 0").select(F.col("doc_id").alias("key"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).where("times > 0").groupBy("key").agg(F.max("times").alias("times"))
-    met = docs.withColumn("k", key).join(taken, F.col("k") == F.col("key"))
-    return met.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    """The mix in the order of its slots: a row each time that the mix takes a document.
+
+    The words taken are those of the mix; a document that the end of its source's share
+    cuts short keeps its first words, joined by spaces.  Null and empty texts have no
+    words to take and go, as do documents beyond their source's share; repeated rows are
+    each taken in their own place."""
+    key = row_key()
+    mix = mixing.pieces(docs.select(key.alias("doc_id"), "text", "source")).where("slot IS NOT NULL")
+    taken = mix.groupBy("sid", "bucket", "rn", "pass", F.col("doc_id").alias("key"), "size").agg(F.min("slot").alias("slot"), F.sum(F.col("end") - F.col("start")).cast("int").alias("n"))
+    once = docs.withColumn("k", key).dropDuplicates(["k"])
+    met = once.join(taken, F.col("k") == F.col("key"))
+    cut = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("n")), " ")
+    met = met.withColumn("text", F.when(F.col("n") < F.col("size"), cut).otherwise(F.col("text")))
+    met = met.withColumn("n_chars", F.when(F.col("n") < F.col("size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return met.orderBy("slot", "k").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
