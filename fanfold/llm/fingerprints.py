@@ -3,10 +3,10 @@
 Terms count their documents in one grouped aggregation; those within a band of
 inverse document frequency form the lexicon.  Each lexicon term belongs to some of
 SUBSETS randomised subsets, told by a hash of the term and the subset.  A
-fingerprint holds, for each subset, a hash of the document's distinct terms in it
-(the terms' hashes joined by exclusive or, which gives what hashing them in sorted
-order is for: one value for one set, whatever the order of the text), and last a
-hash of all distinct terms, which alone speaks for texts without lexicon terms.
+fingerprint holds, for each subset, a hash of the sequence of the document's distinct
+terms in it, sorted, and last a hash of all distinct terms in order, which alone speaks
+for texts without lexicon terms.  Dense subsets tell near texts apart; sparse ones, which
+hold a term or two of a text, outlive large edits.
 
 The band is relative to the number of documents, so at most (mean distinct terms /
 least share) terms are in it at any corpus size; that bound is checked before the
@@ -22,9 +22,8 @@ from .common import let, stored, words
 
 #: Share of documents that hold a lexicon term: the band of document frequency.
 LEAST_SHARE, MOST_SHARE = 0.001, 0.1
-#: Share of the lexicon in each subset: dense ones tell near texts apart, sparse
-#: ones outlive large edits.
-RATES = (1 / 8,) * 8 + (1 / 16,) * 8 + (1 / 32,) * 8 + (1 / 64,) * 8
+#: Share of the lexicon in each subset.
+RATES = (1 / 8,) * 4 + (1 / 32,) * 4 + (1 / 64,) * 8 + (1 / 128,) * 8 + (1 / 256,) * 8
 SUBSETS = len(RATES)
 BROADCAST_TERMS = 2_000_000
 #: Ids are dealt to runs by this many quantiles, each cut into equal steps.
@@ -54,14 +53,16 @@ def fingerprints(rows: DataFrame, keys: list[str], text_cols: list[str], lex: Da
     """``keys`` and ``which`` (place in ``text_cols``) with ``parts``: the SUBSETS + 1
     hashes of a fingerprint; 0 where a subset has none of the terms."""
     # the hash of all terms is made before the terms become rows: behind the generator Spark would make it for each
-    xor = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
-    text = lambda i, c: let(terms(F.col(c)), lambda x: F.struct(F.lit(i).alias("which"), F.concat(F.array(F.lit(0).cast("long")), x).alias("terms"), xor(x).alias("whole")))
+    whole = lambda x: F.when(F.size(x) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(F.sort_array(x)))
+    text = lambda i, c: let(terms(F.col(c)), lambda x: F.struct(F.lit(i).alias("which"), F.concat(F.array(F.lit(0).cast("long")), x).alias("terms"), whole(x).alias("whole")))
     texts = rows.select(*keys, F.explode(F.array(*(text(i, c) for i, c in enumerate(text_cols)))).alias("e"))
     long = texts.select(*keys, "e.which", "e.whole", F.explode("e.terms").alias("term"))
     met = long.join(F.broadcast(lex) if lex_size <= BROADCAST_TERMS else lex, "term")
-    xor = lambda j: F.expr(f"coalesce(bit_xor(CASE WHEN (subsets & {1 << j}L) <> 0 THEN term END), 0L)").alias(f"p{j}")
-    hashed = met.groupBy(*keys, "which", "whole").agg(*(xor(j) for j in range(SUBSETS)))
-    return hashed.select(*keys, "which", F.array(*(f"p{j}" for j in range(SUBSETS)), "whole").alias("parts"))
+    # a text's own lexicon terms come together, no more than it has words
+    held = F.sort_array(F.collect_list(F.when(F.col("subsets") != 0, F.struct("term", "subsets")))).alias("held")
+    within = lambda j: F.filter("held", lambda x: x["subsets"].bitwiseAND(F.lit(1 << j).cast("long")) != 0)
+    hashed = lambda j: let(within(j), lambda x: F.when(F.size(x) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(x["term"])))
+    return met.groupBy(*keys, "which", "whole").agg(held).select(*keys, "which", F.array(*(hashed(j) for j in range(SUBSETS)), "whole").alias("parts"))
 
 
 def text_of(parts: Column) -> Column:
@@ -76,18 +77,21 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(full == 0, F.lit(1.0)).otherwise(same / full)
 
 
-def runs_of(ids: DataFrame, id_col: str, n_docs: int):
+def runs_of(ids: DataFrame, id_col: str, n_docs: int, n_null: int):
     """A Column that numbers runs of neighbouring ids: quantiles of the ids, each cut
-    into equal steps so that a run has about RUN_ROWS ids; null ids come last."""
+    into equal steps so that a run has about RUN_ROWS ids; null ids come last, cut by the
+    digest of their texts."""
     bounds = sorted(set(ids.approxQuantile(id_col, [i / QUANTILES for i in range(QUANTILES + 1)], 0.0005))) if n_docs else []
     steps = max(1, n_docs // (QUANTILES * RUN_ROWS))
+    last = (len(bounds) + 1) * steps
+    null_run = F.lit(last) + F.floor((F.shiftrightunsigned("digest", 16) / float(1 << 48)) * max(1, n_null // RUN_ROWS))
     if len(bounds) < 2:
-        return F.when(F.col(id_col).isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+        return F.when(F.col(id_col).isNull(), null_run).otherwise(F.lit(0)).cast("long")
     edges = F.array(*map(F.lit, bounds))
     cell = F.size(F.filter(edges, lambda b: b <= F.col(id_col)))
     low, high = F.get(edges, cell - 1), F.get(edges, cell)
     step = F.when(low.isNull() | high.isNull(), 0).otherwise(F.least(F.lit(steps - 1), F.floor((F.col(id_col) - low) / (high - low) * steps)))
-    return F.when(F.col(id_col).isNull(), F.lit((len(bounds) + 1) * steps)).otherwise(cell * steps + step).cast("long")
+    return F.when(F.col(id_col).isNull(), null_run).otherwise(cell * steps + step).cast("long")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -95,11 +99,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ascending id (equal ids by digest of the text, null ids last), after the last the
     first.  Runs are ordered apart from each other; a run's last row gets the first text
     of the next run, of which there is one for each run."""
-    n_docs = docs.count()
+    n_docs, n_null = docs.agg(F.count("*"), F.count_if(F.col(id_col).isNull())).first()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("run", runs_of(base.select("id"), "id", n_docs))
+    base = base.withColumn("digest", F.xxhash64("text"))
+    base = base.withColumn("run", runs_of(base.select("id"), "id", n_docs, n_null))
+    rows = base.withColumn("digest", F.shiftrightunsigned("digest", 1))
     order = Window.partitionBy("run").orderBy(F.col("id").asc_nulls_last(), "digest")
-    rows = base.withColumn("digest", F.xxhash64("text"))
     placed = rows.withColumn("rn", F.row_number().over(order)).withColumn("lead", F.lead("text").over(order)).drop("digest")
     heads = stored(base.select("run", "id").groupBy("run").agg(F.min("id").alias("head")), "heads")
     all_heads = Window.orderBy("run")
@@ -117,7 +122,10 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The edited text replaces the last floor(n_chars / 2) code points by the first as
     many of the next document.  Null texts are empty; texts without any word have a
-    fingerprint of zeros, and two such are alike (1.0).  Repeated rows follow each other."""
+    fingerprint of zeros, and two such are alike (1.0).  Texts of any length are hashed
+    whole.  Rows of one id are ordered by digest of the text, so repeated rows follow each
+    other; null ids come last.  Further columns are not read; an empty table gives an
+    empty result."""
     lex = stored(lexicon(docs, text_col), "lexicon")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
