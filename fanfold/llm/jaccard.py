@@ -63,7 +63,7 @@ BROADCAST_ROWS = 200_000
 #: Rounds of star verification before members meet pair by pair; they only save work.
 STAR_ROUNDS = 4
 #: Texts that are hashed at once: bounds the memory of a Python worker.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 BAND = math.log(100 / PERCENT)
 
 

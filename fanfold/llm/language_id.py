@@ -145,9 +145,10 @@ def host_priors(scored: DataFrame, n_languages: int) -> DataFrame:
     return both.select(F.col("host").alias("p_host"), F.col("suffix").alias("p_suffix"), prior.alias("prior"))
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", host_col: str = "source") -> DataFrame:
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", host_col: str = "source", with_rows: bool = False) -> DataFrame:
     """``(id, doc, language, posterior, text_language, kept)`` per row of ``docs``; ``doc``
-    is the digest of the text.
+    is the digest of the text.  ``with_rows`` adds the row itself as the struct ``row``, so
+    that a verdict needs no join to meet its text.
 
     A text without letters is not kept, nor one whose best posterior is under
     MIN_POSTERIOR.  A null declaration or one that the model doesn't know says nothing;
@@ -163,10 +164,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         declared.alias("declared"),
         host.alias("host"),
         F.when(host.contains("."), F.substring_index(host, ".", -1)).alias("suffix"),
+        *((F.struct(*docs.columns).alias("row"),) if with_rows else ()),
     )
+    row = ("row",) if with_rows else ()
     if not k:
         none = F.lit(None).cast("string")
-        return base.select(F.col("id").alias(id_col), "doc", none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("kept"))
+        return base.select(F.col("id").alias(id_col), "doc", none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("kept"), *row)
     scored = stored(text_evidence(base, model, "t").drop("t"), "evidence")
     priors = host_priors(scored, k)
     met = scored.join(priors, F.col("host").eqNullSafe(F.col("p_host")) & F.col("suffix").eqNullSafe(F.col("p_suffix")), "left")
@@ -177,5 +180,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     said = F.transform(names, lambda x: F.when(F.col("declared").isNull() | ~F.array_contains(names, F.col("declared")), 0.0).when(x == F.col("declared"), float(np.log(DECLARED_RIGHT))).otherwise(float(np.log(wrong or 1e-9))))
     out = met.withColumn("logs", F.zip_with(logs, said, lambda a, b: a + b)).withColumn("top", F.array_max("logs"))
     mass = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    out = out.select("id", "doc", _best(F.col("logs"), names).alias("language"), (1.0 / mass).alias("posterior"), F.when(F.col("grams") > 0, _best(F.col("text_logs"), names)).alias("text_language"), "grams")
-    return out.select(F.col("id").alias(id_col), "doc", "language", "posterior", "text_language", ((F.col("grams") > 0) & (F.col("posterior") >= MIN_POSTERIOR)).alias("kept"))
+    out = out.select("id", "doc", _best(F.col("logs"), names).alias("language"), (1.0 / mass).alias("posterior"), F.when(F.col("grams") > 0, _best(F.col("text_logs"), names)).alias("text_language"), "grams", *row)
+    return out.select(F.col("id").alias(id_col), "doc", "language", "posterior", "text_language", ((F.col("grams") > 0) & (F.col("posterior") >= MIN_POSTERIOR)).alias("kept"), *row)
