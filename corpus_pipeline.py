@@ -28,27 +28,40 @@ def _met(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is known; ``lang`` becomes the language found."""
+    """Keep documents whose language is known; ``lang`` becomes the language found.
+
+    Null and empty texts and texts without letters have no language and go; texts of any
+    length are scored whole; repeated rows each get their verdict; null labels and hosts
+    say nothing.  An empty table stays empty."""
     model = language_id.fit(docs, "doc_id", "text", "lang")
-    found = language_id.identify(docs, model).where("kept").select(F.col("doc_id").alias("v_id"), F.col("doc").alias("v_doc"), "language").distinct()
-    return _met(docs, found, "inner").withColumn("lang", F.col("language")).select(*COLUMNS)
+    found = language_id.identify(docs.select(*COLUMNS), model, with_rows=True).where("kept")
+    return found.select(*(F.col("language").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in COLUMNS))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays, that with the least id, nulls last, then
-    the least text digest; of a text without words one row for each id."""
+    the least text digest; of a text without words one row for each id.
+
+    Rows are told by id and text, so null ids and ids with several texts stay by their
+    texts; of repeated rows one stays.  An empty table stays empty."""
     groups = stored(jaccard.grouped(docs), "groups")
     alone = lambda c: F.when(F.col("root").isNull(), F.col(c))
     least = F.min(F.struct(F.col("id").isNull(), "id", "doc")).alias("row")
     stay = groups.groupBy("root", alone("id"), alone("doc")).agg(least).select(F.col("row.id").alias("v_id"), F.col("row.doc").alias("v_doc"))
-    left = _met(docs, stay, "left_semi")
+    gone = stored(groups.join(stay, F.col("id").eqNullSafe(F.col("v_id")) & (F.col("doc") == F.col("v_doc")), "left_anti").select(F.col("id").alias("v_id"), F.col("doc").alias("v_doc")).distinct(), "gone")
+    # what goes is a small part as a rule, and then the texts needn't be shuffled to meet it
+    left = _met(docs, F.broadcast(gone) if gone.count() <= jaccard.BROADCAST_ROWS else gone, "left_anti")
     if groups.count() != groups.select("id", "doc").distinct().count():
         left = left.withColumn("doc", _digest()).dropDuplicates(["doc_id", "doc"])  # repeated rows of one document
     return left.select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; no document goes."""
+    """Secrets are masked in the texts; no document goes.
+
+    Null and empty texts stay as they are; texts of any length are searched whole;
+    overlapping spans are masked once; repeated rows and null ids are masked by their
+    texts.  An empty table stays empty."""
     found = secrets.find_secrets(docs).where("size(found) > 0").select(F.col("doc_id").alias("v_id"), F.col("doc").alias("v_doc"), "found").dropDuplicates(["v_id", "v_doc"])
     met = _met(docs, found, "left").withColumn("text", F.when(F.col("found").isNotNull(), secrets.masked(F.col("text"), F.col("found"))).otherwise(F.col("text")))
     return met.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
@@ -79,7 +92,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)``: packed token ids, and the
-    digest of what they decode to."""
+    digest of what they decode to.  Null and empty texts have no tokens; texts of any
+    length are encoded whole; repeated rows and null ids stay, a row each."""
     path = public_tokenizers.path(RANK_FILE)
     ids = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
     return ids.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
