@@ -53,12 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Rows of an Arrow batch while a frame is stored: rows are texts, and Spark's own limit
+#: counts rows only, so that a batch of long ones would fill the memory beside the heap.
+BATCH_ROWS = 2000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there,
     and a lost executor costs no earlier stage again."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    rows = int(spark.conf.get(_BATCH_CONF))
+    spark.conf.set(_BATCH_CONF, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, str(rows))
     out = spark.read.schema(df.schema).parquet(path)
     out.folder = path
     return out

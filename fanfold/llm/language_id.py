@@ -28,6 +28,8 @@ TEXT_WEIGHT = 200.0
 DECLARED_RIGHT = 0.9
 #: Documents that a suffix's or the global distribution counts as in a prior.
 STRENGTH = 20.0
+#: Priors are broadcast up to this number of hosts (some 100 bytes each).
+BROADCAST_HOSTS = 200_000
 #: A document is kept if its language has at least this posterior.
 MIN_POSTERIOR = 0.5
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -171,7 +173,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         none = F.lit(None).cast("string")
         return base.select(F.col("id").alias(id_col), "doc", none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("kept"), *row)
     scored = stored(text_evidence(base, model, "t").drop("t"), "evidence")
-    priors = host_priors(scored, k)
+    priors = stored(host_priors(scored, k), "priors")
+    # hosts are few as a rule, and then the rows needn't be shuffled to meet them
+    priors = F.broadcast(priors) if priors.count() <= BROADCAST_HOSTS else priors
     met = scored.join(priors, F.col("host").eqNullSafe(F.col("p_host")) & F.col("suffix").eqNullSafe(F.col("p_suffix")), "left")
     names = F.array(*map(F.lit, model.languages))
     prior = F.coalesce("prior", F.array_repeat(F.lit(1.0 / k), k))
