@@ -3,8 +3,8 @@
 The ranks come from a local rank file whose path is a parameter; every executor
 loads the file once per Python worker.  Long texts are first cut where the split
 pattern is bound to begin a new match (before one space between two letters or
-digits), so no call handles an unbounded piece; decoding joins the raw bytes of
-the ids, whatever they are, and never goes through text.
+digits), so no call handles an unbounded piece; decoding gathers the raw bytes of
+the ids from one array of all tokens' bytes, and never goes through text.
 """
 
 from __future__ import annotations
@@ -26,14 +26,43 @@ _SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 BATCH_CHARS = 1 << 21
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str):
     """The tiktoken encoding of a rank file, without special tokens."""
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+
+@lru_cache(maxsize=4)
+def token_bytes(path: str):
+    """``(bytes, starts, sizes)`` of the tokens of a rank file by id; an id without a token
+    has the size -1."""
+    import numpy as np
+
+    by_id = {i: token for token, i in read_ranks(path).items()}
+    sizes = np.full(max(by_id, default=-1) + 1, -1, dtype=np.int64)
+    sizes[list(by_id)] = [len(x) for x in by_id.values()]
+    whole = np.frombuffer(b"".join(by_id[i] for i in sorted(by_id)), dtype=np.uint8)
+    return whole, np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0), sizes
+
+
+def decode_ids(table, packed: bytes | None) -> bytes:
+    """The bytes of packed ids; an id that the rank file doesn't have is an error."""
+    import numpy as np
+
+    whole, starts, sizes = table
+    ids = np.frombuffer(packed or b"", dtype="<u4").astype(np.int64)
+    n = sizes[ids]
+    if (n < 0).any():
+        raise KeyError(f"no token has the id {ids[n < 0][0]}")
+    place = np.arange(n.sum()) + np.repeat(starts[ids] - (np.cumsum(n) - n), n)
+    return whole[place].tobytes()
 
 
 def safe_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
@@ -60,8 +89,9 @@ def encode_text(enc, text: str) -> list[int]:
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row ``(id, ids)`` per row of ``df``: token ids packed as little-endian
-    unsigned 32-bit integers.  A null or empty text has no ids; repeated rows and
-    null keys stay as they are."""
+    unsigned 32-bit integers.  A null or empty text has no ids; a text of any length is
+    encoded whole; repeated rows and null keys stay as they are; further columns are not
+    read; an empty table gives an empty result."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -77,14 +107,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     return df.select(F.col(id_col).alias("key"), F.col(text_col).alias("t")).mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", id_col)
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """All columns of ``df`` and the raw bytes of the packed ids; null ids give no bytes."""
 
     def bytes_of(ids):
-        import numpy as np
         import pandas as pd
 
-        enc = encoder(ranks_path, pattern)
-        return pd.Series([enc.decode_bytes(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in ids], dtype=object)
+        table = token_bytes(ranks_path)
+        return pd.Series([decode_ids(table, x) for x in ids], dtype=object)
 
     return df.withColumn(out_col, F.pandas_udf(bytes_of, "binary")(F.col(ids_col)))

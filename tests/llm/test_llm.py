@@ -418,7 +418,22 @@ def test_the_schedule_decides(spark, docs, monkeypatch):
 # op9
 
 
+def test_query_gives_the_digests_of_tiktoken(spark, sf_dir, docs):
+    enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
+    out = {r.doc_id: r for r in registry.op9_byte_bpe(spark, sf_dir).collect()}
+    for i, t in docs.select("doc_id", "text").collect():
+        ids = enc.encode_ordinary(t or "")
+        packed = b"".join(x.to_bytes(4, "little") for x in ids)
+        want = (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        assert (out[i].n_tokens, out[i].ids_sha256, out[i].decoded_sha256) == want
+
+
 def test_bpe_round_trip_and_long_texts():
+    import numpy as np
+
+    table = byte_bpe.token_bytes(public_tokenizers.path(registry.RANK_FILE))
+    with pytest.raises((KeyError, IndexError)):
+        byte_bpe.decode_ids(table, np.asarray([2**31], dtype="<u4").tobytes())
     enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
     random.seed(9)
     letters = ["a", "é", " ", "  ", "\n", "'s", "1", "%", "語", "😀", "\x85", "\u2028", " b"]
@@ -426,12 +441,13 @@ def test_bpe_round_trip_and_long_texts():
     for t in texts:
         ids = byte_bpe.encode_text(enc, t)
         assert ids == enc.encode_ordinary(t) and enc.decode_bytes(ids) == t.encode()
+        assert byte_bpe.decode_ids(table, np.asarray(ids, dtype="<u4").tobytes()) == t.encode()
         assert "".join(byte_bpe.safe_pieces(t)) == t
 
 
 def test_bpe_operator(spark, odd):
     path = public_tokenizers.path(registry.RANK_FILE)
-    out = byte_bpe.decode(byte_bpe.encode(odd, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN).collect()
+    out = byte_bpe.decode(byte_bpe.encode(odd, path, public_tokenizers.PATTERN), path).collect()
     assert sorted(bytes(r.decoded) for r in out) == sorted((r[1] or "").encode() for r in ODD)
 
 
