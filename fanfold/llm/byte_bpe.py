@@ -87,9 +87,10 @@ def encode_text(enc, text: str) -> list[int]:
     return ids
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_decoded: bool = False) -> DataFrame:
     """One row ``(id, ids)`` per row of ``df``: token ids packed as little-endian
-    unsigned 32-bit integers.  A null or empty text has no ids; a text of any length is
+    unsigned 32-bit integers.  ``with_decoded`` adds ``decoded``, the bytes that the packed
+    ids stand for, in the same pass: one Python worker a task serves both ways.  A null or empty text has no ids; a text of any length is
     encoded whole; repeated rows and null keys stay as they are; further columns are not
     read; an empty table gives an empty result."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -98,13 +99,16 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         import numpy as np
         import pyarrow as pa
 
-        enc = encoder(ranks_path, pattern)
+        enc, table = encoder(ranks_path, pattern), token_bytes(ranks_path) if with_decoded else None
         for batch in batches:
             for part in slices(batch, 1, BATCH_CHARS):
                 out = [np.asarray(encode_text(enc, t or ""), dtype="<u4").tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], ["key", "ids"])
+                back = [pa.array([decode_ids(table, x) for x in out], pa.binary())] if with_decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary()), *back], names)
 
-    return df.select(F.col(id_col).alias("key"), F.col(text_col).alias("t")).mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", id_col)
+    names = ["key", "ids", "decoded"] if with_decoded else ["key", "ids"]
+    schema = f"key {kind}, ids binary" + (", decoded binary" if with_decoded else "")
+    return df.select(F.col(id_col).alias("key"), F.col(text_col).alias("t")).mapInArrow(run, schema).withColumnRenamed("key", id_col)
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

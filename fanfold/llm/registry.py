@@ -83,8 +83,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
-    ids = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    both = byte_bpe.decode(ids, path)
+    both = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_decoded=True)
     return both.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),

@@ -449,6 +449,8 @@ def test_bpe_operator(spark, odd):
     path = public_tokenizers.path(registry.RANK_FILE)
     out = byte_bpe.decode(byte_bpe.encode(odd, path, public_tokenizers.PATTERN), path).collect()
     assert sorted(bytes(r.decoded) for r in out) == sorted((r[1] or "").encode() for r in ODD)
+    at_once = byte_bpe.encode(odd, path, public_tokenizers.PATTERN, with_decoded=True).collect()
+    assert sorted(map(repr, at_once)) == sorted(map(repr, out))
 
 
 # op10
