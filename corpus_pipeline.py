@@ -95,7 +95,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     digest of what they decode to.  Null and empty texts have no tokens; texts of any
     length are encoded whole; repeated rows and null ids stay, a row each."""
     path = public_tokenizers.path(RANK_FILE)
-    ids = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    ids = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, with_decoded=True)
     return ids.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
