@@ -268,17 +268,21 @@ def buckets(index: DataFrame) -> DataFrame:
     return rows.select("sig", "node", "n", "most", "score", F.coalesce("parent", "first").alias("head"), partners.alias("partners"), large.alias("large")).where("large OR size(partners) > 0")
 
 
+def near(na: str, sa: str, nb: str, sb: str):
+    """Whether two sets may be alike by the columns of their sizes and sketches."""
+    half = lambda x: let(F.size(x) / 2, lambda h: F.zip_with(F.slice(x, 1, h.cast("int")), F.slice(x, h.cast("int") + 1, h.cast("int")), lambda p, q: p.bitwiseXOR(q)))
+    short = lambda x, y: F.when(F.size(x) > F.size(y), half(x)).otherwise(x)
+    # sketches still of unequal length belong to sizes too far apart: the sum is null, the pair goes
+    apart = F.aggregate(F.zip_with(short(F.col(sa), F.col(sb)), short(F.col(sb), F.col(sa)), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return (100 + PERCENT) * F.greatest(apart, F.abs(F.col(na) - F.col(nb))) <= (100 - PERCENT) * (F.col(na) + F.col(nb))
+
+
 def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` that sizes and sketches don't rule out.  Sets of which one
     has ``d`` tokens that the other lacks, both ways counted, are alike only if
     (100 + t) * d <= (100 - t) * (sum of their sizes), with t in percent."""
     left, right = sketches.toDF("a", "na", "sa"), sketches.toDF("b", "nb", "sb")
-    half = lambda x: let(F.size(x) / 2, lambda h: F.zip_with(F.slice(x, 1, h.cast("int")), F.slice(x, h.cast("int") + 1, h.cast("int")), lambda p, q: p.bitwiseXOR(q)))
-    short = lambda x, y: F.when(F.size(x) > F.size(y), half(x)).otherwise(x)
-    # sketches still of unequal length belong to sizes too far apart: the sum is null, the pair goes
-    apart = F.aggregate(F.zip_with(short(F.col("sa"), F.col("sb")), short(F.col("sb"), F.col("sa")), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    near = (100 + PERCENT) * F.greatest(apart, F.abs(F.col("na") - F.col("nb"))) <= (100 - PERCENT) * (F.col("na") + F.col("nb"))
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(near("na", "sa", "nb", "sb")).select("a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -405,9 +409,11 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         roots = components(links)
         open_ = stored(_open(large, roots), "open")
     if not open_.isEmpty():
-        # what is left meets pair by pair
-        other = open_.toDF("sig", "y", "n2", "most2", "score2", "root2")
-        rest = open_.join(other, "sig").where("node < y AND root <> root2 AND n <= most2 AND n2 <= most").select(F.col("node").alias("x"), "y")
+        # of what is left, the pairs that sketches don't rule out as they meet
+        sketched = open_.join(sketches.select("node", "sketch"), "node").select("sig", "node", "n", "most", "root", "sketch")
+        other = sketched.toDF("sig", "y", "n2", "most2", "root2", "sketch2")
+        fits = "node < y AND root <> root2 AND n <= most2 AND n2 <= most"
+        rest = sketched.join(other, "sig").where(F.expr(fits) & near("n", "sketch", "n2", "sketch2")).select(F.col("node").alias("x"), "y")
         more, _ = tested(rest, tried)
         if more is not None and not more.isEmpty():
             roots = components(links.unionByName(more))
