@@ -14,13 +14,15 @@ from .scalars import col, fail_unless
 
 
 def coerce(value, kind: str | T.DataType) -> Column:
-    """Cast with the coercions of bindings: text to numbers (a float's text to a whole
-    number by way of double), numbers to text, ``true``/``false`` to boolean.  Bad text is
-    an error, as ANSI casts are."""
+    """Cast with the coercions of bindings: text to numbers (digits exactly, text with a
+    point or exponent to a whole number by way of double), numbers to text,
+    ``true``/``false`` to boolean.  Bad text is an error, as ANSI casts are."""
     kind = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
     v = col(value)
     if isinstance(kind, (T.IntegerType, T.LongType)):
-        return F.when(F.typeof(v) == "string", v.cast("string").cast("double").cast(kind)).otherwise(v.cast(kind))
+        text = v.cast("string")
+        of_text = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.cast(kind)).otherwise(text.cast("double").cast(kind))
+        return F.when(F.typeof(v) == "string", of_text).otherwise(v.cast(kind))
     return v.cast(kind)
 
 

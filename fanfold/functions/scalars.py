@@ -21,6 +21,12 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """``fn`` of ``value``, which is computed once: Catalyst doesn't copy a lambda's argument
+    to each place that uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def fail_unless(ok: Column, value: Column, message) -> Column:
     """``value`` where ``ok`` is true, else the query fails with ``message``."""
     message = F.lit(message) if isinstance(message, str) else message
@@ -148,19 +154,35 @@ def join_str(arr, sep: str) -> Column:
 def split_url(url) -> Column:
     """Struct ``protocol, project, file_id, folder, name`` of ``dx://project:/folder/name``,
     of ``dx://project:id::/folder/name`` and of plain paths; another protocol is an error."""
-    u = col(url)
-    protocol = F.regexp_extract(u, "^([a-z0-9]+)://", 1)
-    rest = F.regexp_replace(u, "^[a-z0-9]+://", "")
-    remote = protocol != ""
-    project = F.nullif(F.when(remote & F.contains(rest, F.lit(":")), F.split_part(rest, F.lit(":"), F.lit(1))), F.lit(""))
-    body = F.when(remote & F.contains(rest, F.lit(":")), F.regexp_replace(rest, "^[^:]*:", "")).otherwise(rest)
-    logical = F.when(F.contains(body, F.lit("::")), F.regexp_replace(body, "^.*?::", "")).when(body.rlike("^file-[A-Za-z0-9]+$"), F.lit(None)).otherwise(body)
-    file_id = F.when(body.rlike("^file-[A-Za-z0-9]+($|::)"), F.split_part(body, F.lit("::"), F.lit(1)))
-    folder = F.when(F.contains(logical, F.lit("/")), F.when(folder_of(logical) == "", F.lit("/")).otherwise(folder_of(logical)))
-    out = F.struct(
-        F.when(remote, protocol).otherwise(F.lit("file")).alias("protocol"), project.alias("project"), file_id.alias("file_id"), folder.alias("folder"), F.nullif(basename(logical), F.lit("")).alias("name")
-    )
-    return fail_unless(F.coalesce(~remote | (protocol == "dx"), F.lit(True)), out, F.concat(F.lit("unknown protocol: "), protocol))
+
+    def halves(u):
+        protocol = F.regexp_extract(u, "^([a-z0-9]+)://", 1)
+        known = fail_unless(F.coalesce(protocol.isin("", "dx"), F.lit(True)), protocol, F.concat(F.lit("unknown protocol: "), protocol))
+        return F.struct(known.alias("protocol"), F.regexp_replace(u, "^[a-z0-9]+://", "").alias("rest"))
+
+    def places(h):
+        rest, remote = h["rest"], h["protocol"] != ""
+        split = remote & F.contains(rest, F.lit(":"))
+        project = F.when(split, F.split_part(rest, F.lit(":"), F.lit(1)))
+        return F.struct(
+            F.when(remote, h["protocol"]).otherwise(F.lit("file")).alias("protocol"),
+            F.when(project != "", project).alias("project"),
+            F.when(split, F.regexp_replace(rest, "^[^:]*:", "")).otherwise(rest).alias("body"),
+        )
+
+    def ids(p):
+        body = p["body"]
+        logical = F.when(F.contains(body, F.lit("::")), F.regexp_replace(body, "^.*?::", "")).when(body.rlike("^file-[A-Za-z0-9]+$"), F.lit(None)).otherwise(body)
+        file_id = F.when(body.rlike("^file-[A-Za-z0-9]+($|::)"), F.split_part(body, F.lit("::"), F.lit(1)))
+        return F.struct(p["protocol"].alias("protocol"), p["project"].alias("project"), file_id.alias("file_id"), logical.alias("logical"))
+
+    def parts(x):
+        folder, name = folder_of(x["logical"]), basename(x["logical"])
+        folder = F.when(F.contains(x["logical"], F.lit("/")), let(folder, lambda f: F.when(f == "", F.lit("/")).otherwise(f)))
+        name = let(name, lambda n: F.when(n != "", n))
+        return F.struct(x["protocol"].alias("protocol"), x["project"].alias("project"), x["file_id"].alias("file_id"), folder.alias("folder"), name.alias("name"))
+
+    return let(let(let(let(col(url), halves), places), ids), parts)
 
 
 def logical_url(project, file_id, folder, name) -> Column:

@@ -47,6 +47,11 @@ def gather_results(results: DataFrame, outputs: dict[str, str], key: str = "pare
     return results.groupBy(key).agg(*aggs)
 
 
+def order_by_seq(results: DataFrame, seq: str = "seq") -> DataFrame:
+    """Results in the order of their launch; for output only."""
+    return results.orderBy(seq)
+
+
 def sum_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias(value))
 

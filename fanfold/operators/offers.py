@@ -10,13 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import cpu_count, disk_gib, memory_mib
+
 AXES = ("memory_mb", "disk_gb", "cpu")
 #: Fixed values of the default filters.
 RELEASE, BARRED, TEST, LEAST_MEMORY, LEAST_CPU = "16.04", ("fpga", "hdd"), "test", 3072, 2
 #: Sizes of the steps in which offers without prices are compared.
 MEMORY_STEP, DISK_STEP = 1024, 16
-#: Offers beyond this many are joined by a shuffle on the number of axes, not broadcast.
-BROADCAST_OFFERS = 100_000
+
+
+def parse_request(requests: DataFrame, memory: str = "memory", disks: str = "disks", cpu: str = "cpu", gpu: str = "gpu") -> DataFrame:
+    """Request texts as the demands ``memory_mb, disk_gb, cpu, gpu``; a missing text is no
+    demand, and a bad one an error.  The text columns go."""
+    typed = {"memory_mb": memory_mib(memory), "disk_gb": disk_gib(disks), "cpu": cpu_count(cpu), "gpu": F.col(gpu).cast("boolean")}
+    rest = [c for c in requests.columns if c not in (memory, disks, cpu, gpu)]
+    return requests.select(*rest, *(c.alias(name) for name, c in typed.items()))
 
 
 def offer_filter(offers: DataFrame) -> DataFrame:

@@ -6,12 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .positions import chunk, with_positions
+
 BASES = ("A", "C", "G", "T")
 
 
 def subsample(reads: DataFrame, rate: float, seed: int = 0, key: str = "read_id") -> DataFrame:
-    """A repeatable share of the reads, by hash of the id."""
-    return reads.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 32)) < int(rate * (1 << 32)))
+    """A repeatable share of the reads, by the first 32 bits of the MD5 of seed and id."""
+    bits = F.conv(F.left(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), F.lit(8)), 16, 10)
+    return reads.where(bits.cast("long") < int(rate * (1 << 32)))
+
+
+def chunk_reads(reads: DataFrame, reads_per_file: int, order: str = "read_id") -> DataFrame:
+    """Add ``chunk``: the reads in order, ``reads_per_file`` to a chunk."""
+    return chunk(with_positions(reads, [F.col(order)]), reads_per_file, most=reads_per_file)
 
 
 def barcode_counts(reads: DataFrame, whitelist: DataFrame) -> DataFrame:

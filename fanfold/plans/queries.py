@@ -67,14 +67,14 @@ def gather_null_kept(spark, sf_dir):
 
 
 @query("""
-SELECT r_name, string_agg(row_text, ';' ORDER BY n_nationkey) AS cells FROM (
-  SELECT r_name, n_nationkey, string_agg((100 * r_regionkey + n_nationkey + k)::VARCHAR, ',' ORDER BY k) AS row_text
-  FROM region, nation, range(3) AS x(k) GROUP BY r_name, n_nationkey) GROUP BY r_name""")
+SELECT c_custkey, string_agg(row_text, ';' ORDER BY n_nationkey) AS cells FROM (
+  SELECT c_custkey, n_nationkey, string_agg((100 * c_custkey + n_nationkey + k)::VARCHAR, ',' ORDER BY k) AS row_text
+  FROM customer, nation, range(3) AS x(k) GROUP BY c_custkey, n_nationkey) GROUP BY c_custkey""")
 def nested_scatter(spark, sf_dir):
-    outer = pairs.nested_scatter(t(spark, sf_dir, "region"), t(spark, sf_dir, "nation"), 100 * F.col("r_regionkey") + F.col("n_nationkey"))
+    outer = pairs.nested_scatter(t(spark, sf_dir, "customer").select("c_custkey"), t(spark, sf_dir, "nation"), 100 * F.col("c_custkey") + F.col("n_nationkey"))
     cells = pairs.nested_scatter(outer, text_sources.range_rows(spark, 3, "k"), F.col("value") + F.col("k"))
-    g = gather.gather_nested(cells, ["r_name"], ["n_nationkey", "k"], "value")
-    return g.select("r_name", F.array_join(F.transform("value", lambda row: scalars.join_str(row, ",")), ";").alias("cells"))
+    g = gather.gather_nested(cells, ["c_custkey"], ["n_nationkey", "k"], "value")
+    return g.select("c_custkey", F.array_join(F.transform("value", lambda row: scalars.join_str(row, ",")), ";").alias("cells"))
 
 
 @query("""
@@ -86,9 +86,9 @@ def zip_positions(spark, sf_dir):
     return pairs.zip_tables(side("user", "asked"), side("assistant", "answered"), ["conv_id"], strict=False)
 
 
-@query("SELECT d::INT AS r, vec_id AS c, embedding[d + 1]::DOUBLE AS value FROM embeddings, range(8) AS x(d)")
+@query("SELECT d::INT AS r, vec_id AS c, embedding[d + 1]::DOUBLE AS value FROM embeddings, unnest(range(len(embedding))) AS x(d)")
 def transpose_matrix(spark, sf_dir):
-    first = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("r"), F.posexplode(F.slice("embedding", 1, 8)).alias("c", "value"))
+    first = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("r"), F.posexplode("embedding").alias("c", "value"))
     return pairs.transpose(first.withColumn("value", F.col("value").cast("double")), "r", "c").select("r", "c", "value")
 
 
@@ -192,10 +192,11 @@ def validate_rows(spark, sf_dir):
 # text
 
 
-@query(f"SELECT file, count(*) AS n FROM ({LINES}) GROUP BY file")
+@query("SELECT doc_id AS file, sum(len(string_split(coalesce(text, ''), chr(10))) - 1)::BIGINT AS n FROM documents GROUP BY doc_id")
 def line_counts(spark, sf_dir):
-    files = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"))
-    return text_sources.line_count(doc_lines(spark, sf_dir), files)
+    d = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.split(F.coalesce("text", F.lit("")), "\n").alias("parts"))
+    ended = d.select("file", F.explode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("line"))  # as in files, a newline ends a line
+    return text_sources.line_count(ended, d.select("file").distinct())
 
 
 @query(f"SELECT file, line_no, line FROM ({LINES}) WHERE line_no < 2")
@@ -203,9 +204,9 @@ def head_lines(spark, sf_dir):
     return positions.head(doc_lines(spark, sf_dir), 2)
 
 
-@query(f"SELECT (row_number() OVER (ORDER BY line) - 1)::BIGINT AS seq, line FROM (SELECT DISTINCT line FROM ({LINES}))")
+@query(f"SELECT (row_number() OVER (ORDER BY line) - 1)::BIGINT AS seq, line FROM ({LINES})")
 def sort_lines(spark, sf_dir):
-    return positions.with_positions(doc_lines(spark, sf_dir).select("line").distinct(), [F.col("line")]).select("seq", "line")
+    return positions.with_positions(doc_lines(spark, sf_dir).select("line"), [F.col("line")]).select("seq", "line")
 
 
 # catalog
@@ -250,12 +251,12 @@ def split_url(spark, sf_dir):
     return f.select("page_id", scalars.split_url("url").alias("p")).select("page_id", "p.*")
 
 
-@query(f"""
-SELECT page_id, '/root/' || CASE WHEN rn = 1 THEN '' ELSE (rn - 1) || '/' END || folder_name AS path FROM (
-  SELECT page_id, substr(folder, 2) AS folder_name, row_number() OVER (PARTITION BY folder ORDER BY page_id) AS rn FROM ({FILES}))""")
+@query("""
+SELECT conv_id, turn, '/root/' || CASE WHEN rn = 1 THEN '' ELSE (rn - 1) || '/' END || 'talk-' || conv_id AS path FROM (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)""")
 def unique_paths(spark, sf_dir):
-    f = page_files(spark, sf_dir).select("page_id", F.expr("substring(folder, 2)").alias("name"))
-    return positions.unique_paths(f, "/root", order="page_id", most=1 << 30).select("page_id", "path")
+    f = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit("talk-"), F.col("conv_id").cast("string")).alias("name"))
+    return positions.unique_paths(f, "/root", order="turn").select("conv_id", "turn", "path")
 
 
 @query(f"SELECT page_id, ((row_number() OVER (PARTITION BY project ORDER BY page_id) - 1) // 100)::BIGINT AS batch FROM ({FILES})")
@@ -272,10 +273,14 @@ def group_versions(spark, sf_dir):
 # offers
 
 
+def offer_name():
+    """The name of a part's offer: every other one is of the second version."""
+    return F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, "_v2").otherwise(""))
+
+
 def part_offers(spark, sf_dir) -> DataFrame:
-    """Parts as offers: size as memory, and a second version of every other name."""
-    name = F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, "_v2").otherwise(""))
-    return t(spark, sf_dir, "part").select(name.alias("name"), F.col("p_size").alias("memory_mb"), (F.col("p_partkey") % 64).alias("disk_gb"), (F.col("p_size") % 8).alias("cpu"), F.col("p_retailprice").alias("price"))
+    """Parts as offers, with size as memory."""
+    return t(spark, sf_dir, "part").select(offer_name().alias("name"), F.col("p_size").alias("memory_mb"), (F.col("p_partkey") % 64).alias("disk_gb"), (F.col("p_size") % 8).alias("cpu"), F.col("p_retailprice").alias("price"))
 
 
 OFFERS = "SELECT 'p' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '_v2' ELSE '' END AS name, p_size AS memory_mb, p_partkey % 64 AS disk_gb, p_size % 8 AS cpu, p_retailprice AS price FROM part"
@@ -317,11 +322,16 @@ def best_per_key(spark, sf_dir):
     return positions.best_per_key(part_offers(spark, sf_dir), ["memory_mb"], offers.choice_order()).select("memory_mb", "name")
 
 
-@query(f"WITH o AS ({OFFERS}) SELECT a.name AS a, b.name AS b, a.memory_mb <= b.memory_mb AND a.disk_gb <= b.disk_gb AND a.cpu <= b.cpu AS leq FROM o a JOIN o b ON a.memory_mb = 51 - b.memory_mb")
+@query(f"""
+WITH o AS ({OFFERS}), p AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), q AS (SELECT DISTINCT a.l_partkey AS x, b.l_partkey AS y FROM p a JOIN p b USING (l_orderkey)),
+n AS (SELECT p_partkey, 'p' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '_v2' ELSE '' END AS name FROM part)
+SELECT a.name AS a, b.name AS b, a.memory_mb <= b.memory_mb AND a.disk_gb <= b.disk_gb AND a.cpu <= b.cpu AS leq
+FROM q JOIN n na ON na.p_partkey = x JOIN n nb ON nb.p_partkey = y JOIN o a ON a.name = na.name JOIN o b ON b.name = nb.name""")
 def dominated(spark, sf_dir):
-    o = part_offers(spark, sf_dir)
-    both = o.select(F.col("name").alias("a"), "memory_mb").join(o.select(F.col("name").alias("b"), (51 - F.col("memory_mb")).alias("memory_mb")), "memory_mb").select("a", "b")
-    return offers.dominated(both, o)
+    named = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), offer_name().alias("name"))
+    met = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct().join(named, "l_partkey").select("l_orderkey", "name")
+    both = met.withColumnRenamed("name", "a").join(met.withColumnRenamed("name", "b"), "l_orderkey").select("a", "b").distinct()
+    return offers.dominated(both, part_offers(spark, sf_dir))
 
 
 # sets and changes
@@ -378,14 +388,14 @@ def row_digest(spark, sf_dir):
 
 
 @query("""
-WITH new AS (SELECT o_custkey AS name, max(o_orderstatus) AS digest FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
-old AS (SELECT o_custkey AS name, count(*) AS n, max(CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderstatus END) AS d FROM orders WHERE o_orderkey % 16 = 1 GROUP BY 1)
+WITH new AS (SELECT o_custkey AS name, max(o_orderstatus) AS digest FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1),
+old AS (SELECT o_custkey AS name, count(*) AS n, max(CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderstatus END) AS d FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1)
 SELECT name, digest, CASE WHEN n IS NULL THEN 'new' WHEN n > 1 THEN 'ambiguous' WHEN d IS NULL THEN 'foreign' WHEN d = digest THEN 'unchanged' ELSE 'changed' END AS change
 FROM new LEFT JOIN old USING (name)""")
 def detect_changes(spark, sf_dir):
     o = t(spark, sf_dir, "orders")
-    new = o.where("o_orderkey % 2 = 0").groupBy(F.col("o_custkey").alias("name")).agg(F.max("o_orderstatus").alias("digest"))
-    old = o.where("o_orderkey % 16 = 1").select(F.col("o_custkey").alias("name"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderstatus")).alias("digest"))
+    new = o.where("o_orderdate >= TIMESTAMP '1998-01-01'").groupBy(F.col("o_custkey").alias("name")).agg(F.max("o_orderstatus").alias("digest"))
+    old = o.where("o_orderdate < TIMESTAMP '1998-01-01'").select(F.col("o_custkey").alias("name"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderstatus")).alias("digest"))
     return sets.detect_changes(new, old)
 
 
@@ -411,11 +421,11 @@ def merge_access(spark, sf_dir):
     return merge.merge_access(g, levels=("project",), flags=("developer",)).withColumn("network", F.array_join("network", ","))
 
 
-@query("SELECT name FROM (SELECT n_name AS name, n_regionkey::VARCHAR AS d FROM nation UNION ALL SELECT n_name, CASE WHEN n_nationkey % 4 = 0 THEN 'other' ELSE n_regionkey::VARCHAR END FROM nation) GROUP BY name HAVING count(DISTINCT d) > 1")
+@query("SELECT name FROM (SELECT c_custkey AS name, c_mktsegment AS d FROM customer UNION ALL SELECT o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'other' ELSE c_mktsegment END FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY name HAVING count(DISTINCT d) > 1")
 def merge_definitions(spark, sf_dir):
-    n = t(spark, sf_dir, "nation")
-    one = n.select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("definition"))
-    two = n.select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 4 == 0, "other").otherwise(F.col("n_regionkey").cast("string")).alias("definition"))
+    one = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("name"), F.col("c_mktsegment").alias("definition"))
+    used = t(spark, sf_dir, "orders").join(one, F.col("o_custkey") == F.col("name"))
+    two = used.select("name", F.when(F.col("o_orderstatus") == "P", "other").otherwise(F.col("definition")).alias("definition"))
     return merge.merge_definitions(one.unionByName(two), mode="report")
 
 
@@ -506,10 +516,13 @@ def ancestors(spark, sf_dir):
 
 @query("""
 SELECT 'world' AS node, 0 AS depth, 'world' AS path UNION ALL SELECT r_name, 1, 'world/' || r_name FROM region
-UNION ALL SELECT n_name, 2, 'world/' || r_name || '/' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+UNION ALL SELECT n_name, 2, 'world/' || r_name || '/' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT 'c' || c_custkey, 3, 'world/' || r_name || '/' || n_name || '/c' || c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def tree_paths(spark, sf_dir):
     r, n = t(spark, sf_dir, "region"), t(spark, sf_dir, "nation")
     edges = r.select(F.col("r_name").alias("node"), F.lit("world").alias("parent")).unionByName(n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("node"), F.col("r_name").alias("parent")))
+    c = t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    edges = edges.unionByName(c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node"), F.col("n_name").alias("parent")))
     roots = r.select(F.lit("world").alias("node")).distinct()
     return graph.tree_paths(edges, roots).withColumn("path", F.array_join("path", "/"))
 
@@ -533,9 +546,11 @@ READS = "SELECT event_id AS read_id, user_id % 3 AS gem_group, CASE WHEN user_id
 MATRIX = f"SELECT gem_group, barcode, gene, count(DISTINCT umi) AS umis FROM ({READS}) WHERE umi_min_qual >= 4 AND barcode IS NOT NULL AND gene IS NOT NULL GROUP BY ALL"
 
 
-@query(f"SELECT substr(barcode, 1, 5) AS bucket, count(*) AS n FROM ({READS}) GROUP BY 1")
+@query(f"SELECT read_id, barcode, substr(barcode, 1, 5) AS bucket, count(*) OVER (PARTITION BY substr(barcode, 1, 5)) AS n FROM ({READS})")
 def bucket_sort_merge(spark, sf_dir):
-    return positions.bucket_sort_merge(event_reads(spark, sf_dir), reads.bucket(5), "barcode")[1]
+    ordered, counts = positions.bucket_sort_merge(event_reads(spark, sf_dir), reads.bucket(5), "barcode")
+    counts = counts.withColumnRenamed("bucket", "_bucket")
+    return ordered.join(counts, F.col("bucket").eqNullSafe(F.col("_bucket"))).select("read_id", "barcode", "bucket", "n")
 
 
 @query(MATRIX)
@@ -555,13 +570,13 @@ def mark_duplicates(spark, sf_dir):
     return reads.mark_duplicates(event_reads(spark, sf_dir)).select("read_id", "duplicate")
 
 
-@query(f"SELECT gem_group, barcode, count(*) AS n FROM ({READS}) WHERE barcode IN (SELECT lpad(c_custkey::VARCHAR, 6, '0') FROM customer WHERE c_custkey % 2 = 0) GROUP BY ALL")
+@query(f"SELECT gem_group, barcode, count(*) AS n FROM ({READS}) WHERE barcode IN (SELECT lpad(c_custkey::VARCHAR, 6, '0') FROM customer) GROUP BY ALL")
 def barcode_counts(spark, sf_dir):
-    listed = t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("barcode"))
+    listed = t(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("barcode"))
     return reads.barcode_counts(event_reads(spark, sf_dir), listed)
 
 
-@query()
+@query(f"SELECT * FROM ({READS}) WHERE ('0x' || left(md5('7:' || read_id), 8))::BIGINT < 1073741824")
 def subsample(spark, sf_dir):
     return reads.subsample(event_reads(spark, sf_dir), 0.25, seed=7)
 
@@ -605,7 +620,8 @@ def sub_flow(spark, sf_dir):
 
 @query("SELECT event_id, user_id * 2 AS twice FROM events")
 def chunked_scatter(spark, sf_dir):
-    schema = t(spark, sf_dir, "events").schema
+    events = t(spark, sf_dir, "events")
     work = os.path.join(positions.shared_folder(spark), f"rounds-{uuid.uuid4().hex}")
     fn = lambda d: d.select("event_id", (F.col("user_id") * 2).alias("twice"))
-    return run_rounds(spark, f"{sf_dir}/events.parquet*", schema, fn, work).select("event_id", "twice")
+    events.repartition(4, "event_id").write.parquet(f"{work}/source")  # four files, four rounds
+    return run_rounds(spark, f"{work}/source", events.schema, fn, work).select("event_id", "twice")

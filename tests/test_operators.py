@@ -214,3 +214,23 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "slices")).where("seq = 1").count() == 1
     sinks.sort_lines(spark.createDataFrame([("b",), ("a",)], "line string"), str(tmp_path / "sorted"))
     assert read("sorted") == ["a", "b"]
+
+
+def test_pipe_task_fails_with_its_command(spark):
+    df = spark.range(3).select(F.col("id").cast("string").alias("line"))
+    with pytest.raises(Exception, match="exit code"):
+        tasks.pipe_task(df, "false").collect()
+    assert tasks.pipe_task(df.where("line > '9'"), "cat").collect() == []
+
+
+def test_pipe_task_command_may_end_early(spark):
+    df = spark.range(0, 200_000, 1, 1).select(F.col("id").cast("string").alias("line"))
+    assert [r.line for r in tasks.pipe_task(df, "head -n 2").collect()] == ["0", "1"]
+
+
+def test_parse_request_of_bad_and_missing_text(spark):
+    schema = "memory string, disks string, cpu string, gpu string"
+    row = offers.parse_request(spark.createDataFrame([(None, None, None, None)], schema)).first()
+    assert tuple(row) == (None, None, None, None)
+    with pytest.raises(Exception, match="bad memory"):
+        offers.parse_request(spark.createDataFrame([("much", None, None, None)], schema)).collect()

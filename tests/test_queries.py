@@ -4,6 +4,7 @@ import pytest
 from conftest import rows_of
 
 from fanfold.plans import queries as plans
+from fanfold.plans import value_queries  # noqa: F401  registers its queries
 
 
 @pytest.mark.parametrize("name", list(plans.ORACLE_SQL))
