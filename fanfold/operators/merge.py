@@ -42,6 +42,15 @@ def merge_definitions(bundles: DataFrame, mode: str = "fail") -> DataFrame:
     return both.select("name", F.when(clash, F.raise_error(F.concat(F.lit("two definitions of "), F.col("name")))).otherwise(F.col("definition")).alias("definition"))
 
 
+def holds_text(kind) -> bool:
+    """Whether values of a type have text leaves."""
+    if isinstance(kind, T.ArrayType):
+        return holds_text(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return holds_text(kind.keyType) or holds_text(kind.valueType)
+    return any(holds_text(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else isinstance(kind, T.StringType)
+
+
 def find_refs(df: DataFrame, cols: list[str], keys: list[str], is_ref=None) -> DataFrame:
     """All text leaves of nested columns that ``is_ref`` accepts, as rows ``(keys, ref)``."""
     is_ref = is_ref or (lambda c: F.contains(c, F.lit("://")))
@@ -52,19 +61,12 @@ def find_refs(df: DataFrame, cols: list[str], keys: list[str], is_ref=None) -> D
         if isinstance(kind, T.ArrayType):
             return F.flatten(F.array_compact(F.transform(c, lambda x: leaves(x, kind.elementType))))
         if isinstance(kind, T.MapType):
-            both = [leaves(f(c), T.ArrayType(t)) for f, t in ((F.map_keys, kind.keyType), (F.map_values, kind.valueType)) if holds(t)]
+            both = [leaves(f(c), T.ArrayType(t)) for f, t in ((F.map_keys, kind.keyType), (F.map_values, kind.valueType)) if holds_text(t)]
             return F.concat(*both) if both else F.array().cast("array<string>")
-        parts = [F.coalesce(leaves(c[f.name], f.dataType), F.array().cast("array<string>")) for f in kind.fields if holds(f.dataType)]
+        parts = [F.coalesce(leaves(c[f.name], f.dataType), F.array().cast("array<string>")) for f in kind.fields if holds_text(f.dataType)]
         return F.concat(*parts)
 
-    def holds(kind):
-        if isinstance(kind, T.ArrayType):
-            return holds(kind.elementType)
-        if isinstance(kind, T.MapType):
-            return holds(kind.keyType) or holds(kind.valueType)
-        return any(holds(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else isinstance(kind, T.StringType)
-
-    rows = [df.select(*keys, F.explode(leaves(F.col(c), df.schema[c].dataType)).alias("ref")) for c in cols if holds(df.schema[c].dataType)]
+    rows = [df.select(*keys, F.explode(leaves(F.col(c), df.schema[c].dataType)).alias("ref")) for c in cols if holds_text(df.schema[c].dataType)]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -76,14 +78,34 @@ def find_refs_in_json(df: DataFrame, column: str, keys: list[str], pattern: str
     return df.select(*keys, F.explode(F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(1))).alias("ref"))
 
 
-def translate_refs(df: DataFrame, column: str, table: DataFrame, keys: list[str], required: bool = True) -> DataFrame:
-    """Replace the references of an array column through ``table(ref, target)``.  A missing
-    one is an error, or null if not required; order and nulls stay."""
-    long = df.select(*keys, F.posexplode_outer(column).alias("_i", "ref"))
-    met = long.join(table.select("ref", "target"), "ref", "left")
-    lost = F.col("ref").isNotNull() & F.col("target").isNull()
-    target = F.when(lost, F.raise_error(F.concat(F.lit("unknown reference: "), F.col("ref")))).otherwise(F.col("target")) if required else F.col("target")
-    row = F.when(F.col("_i").isNotNull(), F.struct("_i", target.alias("v")))
-    new = met.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["v"]).alias(f"_{column}"))
+def translate_refs(df: DataFrame, column: str, table: DataFrame, keys: list[str], required: bool = True, is_ref=None) -> DataFrame:
+    """Replace the references in a column through ``table(ref, target)``, in text, arrays, maps
+    (keys and values) and structs at any depth; ``is_ref`` tells which texts are references,
+    all by default.  A missing one is an error, or null if not required (a map key stays as
+    it is).  Order, nulls and repeated rows stay; of several targets the least counts."""
+    kind = df.schema[column].dataType
+    if not holds_text(kind):
+        return df
+    is_ref = is_ref or F.isnotnull
+    refs = find_refs(df, [column], keys, is_ref).distinct()
+    met = refs.join(table.groupBy("ref").agg(F.min("target").alias("target")), "ref", "left")
+    target = F.col("target")
+    if required:
+        target = F.when(target.isNull(), F.raise_error(F.concat(F.lit("unknown reference: "), F.col("ref")))).otherwise(target)
+    found = met.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("ref", target.alias("target")))).alias("_targets"))
+
+    def put(c, kind):
+        if isinstance(kind, T.StringType):
+            return F.when(is_ref(c), F.try_element_at(F.col("_targets"), c)).otherwise(c)
+        if not holds_text(kind):
+            return c
+        if isinstance(kind, T.ArrayType):
+            return F.transform(c, lambda x: put(x, kind.elementType))
+        if isinstance(kind, T.MapType):
+            values = F.transform_values(c, lambda _, v: put(v, kind.valueType))
+            return F.transform_keys(values, lambda k, _: F.coalesce(put(k, kind.keyType), k))
+        return F.when(c.isNotNull(), F.struct(*(put(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return df.join(new.withColumnsRenamed({k: f"_k_{k}" for k in keys}), same, "left").withColumn(column, F.when(F.col(column).isNotNull(), F.col(f"_{column}"))).select(*df.columns)
+    joined = df.join(found.withColumnsRenamed({k: f"_k_{k}" for k in keys}), same, "left")
+    return joined.withColumn(column, put(F.col(column), kind)).select(*df.columns)

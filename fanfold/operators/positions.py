@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; a folder under the warehouse
-    where it is unset, as in local sessions."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    """spark.checkpoint.dir, which driver and executors share.  Where it is unset a local
+    session uses a folder under its warehouse; on a cluster that may be each machine's own
+    disk, so there it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -6,37 +6,43 @@ only counts reach the driver.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.positions import stored
+from ..operators.positions import shared_folder, stored
 
 
 def dependency_levels(nodes: DataFrame, edges: DataFrame, mode: str = "fail") -> DataFrame:
     """``(node, level)``: level 0 depends on nothing, level k on nodes of lower levels only.
     ``edges(node, dep)``.  A cycle is an error that lists some stuck nodes with what they wait
     for; in mode ``report`` stuck nodes have a null level."""
+    spark = nodes.sparkSession
+    base = os.path.join(shared_folder(spark), f"levels-{uuid.uuid4().hex}")
     left = stored(nodes.select("node").distinct(), "nodes")
     wait = stored(edges.select("node", "dep").distinct().join(left, "node", "left_semi"), "edges")
-    done, level = [], 0
+    kinds = T.StructType([*left.schema.fields, T.StructField("waits", T.IntegerType())])
+    level = 0
     while True:
-        n = left.count()
-        ready = stored(left.join(wait, "node", "left_anti"), "ready")
-        if ready.isEmpty():
+        # one write a level tells nodes that are ready from those that wait
+        waiting = wait.select("node").distinct().withColumn("_waits", F.lit(1))
+        marked = left.join(waiting, "node", "left").select("node", F.coalesce("_waits", F.lit(0)).alias("waits"))
+        marked.write.partitionBy("waits").parquet(f"{base}/level={level}")
+        now = spark.read.schema(kinds).parquet(f"{base}/level={level}")
+        left, ready = (now.where(F.col("waits") == w).select("node") for w in (1, 0))
+        n = {r["waits"]: r["count"] for r in now.groupBy("waits").count().collect()}  # two rows at most
+        if not n.get(0) or not n.get(1):
             break
-        done.append(ready.withColumn("level", F.lit(level)))
-        left = stored(left.join(ready, "node", "left_anti"), "nodes")
         wait = stored(wait.join(ready.withColumnRenamed("node", "dep"), "dep", "left_anti"), "edges")
         level += 1
-        if left.count() == n:
-            break
     if not left.isEmpty() and mode == "fail":
         stuck = wait.groupBy("node").agg(F.array_sort(F.collect_set("dep")).alias("deps")).orderBy("node").limit(20).collect()
         raise ValueError("stuck: " + "; ".join(f"{r.node} waits for {', '.join(map(str, r.deps))}" for r in stuck))
-    out = left.withColumn("level", F.lit(None).cast("int"))
-    for part in done:
-        out = out.unionByName(part)
-    return out
+    levels = spark.read.schema(T.StructType([*kinds.fields, T.StructField("level", T.IntegerType())])).parquet(base)
+    return levels.where("waits = 0").select("node", "level").unionByName(left.withColumn("level", F.lit(None).cast("int")))
 
 
 def ancestors(edges: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from ..operators import catalog, filters, gather, merge, offers, pairs, position
 from ..sources import text as text_sources
 from ..sources import typed
 from ..streaming.rounds import chunked_scatter as run_rounds
+from ..streaming.rounds import scatter_items as run_items
 from . import graph, sets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -490,6 +491,21 @@ def translate_refs(spark, sf_dir):
     return out.select("id", F.array_join("refs", ",", "").alias("refs"))
 
 
+@query("""
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderstatus AS status, CASE WHEN o_orderstatus <> 'P' THEN 'file-' || o_orderkey ELSE '' END AS target FROM orders)
+SELECT o_custkey AS id, string_agg(target || '/' || status, ',' ORDER BY o_orderkey) AS items, (array_agg(target ORDER BY o_orderkey DESC))[1] AS last, count(*) AS size FROM o GROUP BY 1""")
+def translate_nested(spark, sf_dir):
+    o = t(spark, sf_dir, "orders")
+    ref = F.concat(F.lit("order://"), F.col("o_orderkey").cast("string"))
+    item = F.struct(F.col("o_orderkey").alias("key"), ref.alias("ref"), F.col("o_orderstatus").alias("status"))
+    kept = o.groupBy(F.col("o_custkey").alias("id")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    nested = kept.select("id", F.struct("items", F.create_map(F.lit("last"), F.element_at("items", -1)["ref"]).alias("named"), F.size("items").alias("size")).alias("data"))
+    table = o.where("o_orderstatus <> 'P'").select(ref.alias("ref"), F.concat(F.lit("file-"), F.col("o_orderkey").cast("string")).alias("target"))
+    out = merge.translate_refs(nested, "data", table, ["id"], required=False, is_ref=lambda c: F.startswith(c, F.lit("order://")))
+    joined = F.array_join(F.transform("data.items", lambda x: F.concat(F.coalesce(x["ref"], F.lit("")), F.lit("/"), x["status"])), ",")
+    return out.select("id", joined.alias("items"), F.coalesce(F.col("data.named")["last"], F.lit("")).alias("last"), F.col("data.size").cast("long").alias("size"))
+
+
 # graphs
 
 
@@ -625,3 +641,10 @@ def chunked_scatter(spark, sf_dir):
     fn = lambda d: d.select("event_id", (F.col("user_id") * 2).alias("twice"))
     events.repartition(4, "event_id").write.parquet(f"{work}/source")  # four files, four rounds
     return run_rounds(spark, f"{work}/source", events.schema, fn, work).select("event_id", "twice")
+
+
+@query("SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS seq, c_custkey, c_acctbal * 2 AS twice FROM customer")
+def scatter_items(spark, sf_dir):
+    work = os.path.join(positions.shared_folder(spark), f"rounds-{uuid.uuid4().hex}")
+    fn = lambda d: d.select("seq", "c_custkey", (F.col("c_acctbal") * 2).alias("twice"))
+    return run_items(t(spark, sf_dir, "customer"), ["c_custkey"], fn, work, 1000).select("seq", "c_custkey", "twice")

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.positions import with_positions
+
 
 def chunked_scatter(spark: SparkSession, source: str, schema, fn: Callable[[DataFrame], DataFrame], work: str, files_per_round: int = 1, fmt: str = "parquet") -> DataFrame:
     """Run ``fn`` on at most ``files_per_round`` files a round until the source is read, and
@@ -25,3 +27,20 @@ def chunked_scatter(spark: SparkSession, source: str, schema, fn: Callable[[Data
     query = stream.writeStream.foreachBatch(round_).option("checkpointLocation", os.path.join(work, "progress")).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def scatter_items(df: DataFrame, order: list, fn: Callable[[DataFrame], DataFrame], work: str, items_per_round: int = 500, most: int = 1000) -> DataFrame:
+    """Run ``fn`` on at most ``items_per_round`` rows a round; the next round starts when one
+    is done.  Rows are numbered by ``order`` in a column ``seq``, which ``fn`` keeps; the
+    result is all rounds' rows in that order with their ``batch_id``.
+
+    The rows are written to ``work`` in files of a round each, so a restart goes on behind
+    the last round that ended."""
+    if not 0 < items_per_round <= most:
+        raise ValueError(f"{items_per_round} items a round: must be 1 to {most}")
+    spark, source = df.sparkSession, os.path.join(work, "source")
+    rows = with_positions(df, order)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(source, "_SUCCESS")  # a write that broke off has none and is done anew
+    if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
+        rows.write.mode("overwrite").option("maxRecordsPerFile", items_per_round).parquet(source)
+    return chunked_scatter(spark, source, rows.schema, fn, work).orderBy("seq")

@@ -10,6 +10,7 @@ from fanfold.operators import catalog, filters, gather, merge, offers, pairs, po
 from fanfold.plans import graph, sets
 from fanfold.sources import sinks
 from fanfold.sources import text as text_sources
+from fanfold.streaming import rounds
 
 
 def rows(df):
@@ -126,6 +127,13 @@ def test_refs(spark):
     assert rows(merge.translate_refs(df, "a", table, ["id"], required=False).select("id", "a")) == [(1, ["x", None, None]), (2, None)]
     with pytest.raises(PySparkException):
         merge.translate_refs(df, "a", table, ["id"]).collect()
+    twice = merge.translate_refs(df.unionByName(df), "a", table, ["id"], required=False)
+    assert twice.count() == 4 and twice.where("a[0] = 'x'").count() == 2
+    nested = spark.sql("SELECT 1 AS id, named_struct('s', named_struct('r', 'a://1', 'n', 5), 'm', map('a://1', array('note', 'a://9'), 'k', null)) AS c UNION ALL SELECT 2, null")
+    out = merge.translate_refs(nested, "c", table, ["id"], required=False, is_ref=lambda c: F.startswith(c, F.lit("a://")))
+    got = {r.id: r.c for r in out.collect()}
+    assert got[2] is None and got[1].s == ("x", 5) and got[1].m == {"x": ["note", None], "k": None}
+    assert merge.translate_refs(nested.select("id"), "id", table, ["id"]).count() == 2
 
 
 def test_filters(spark):
@@ -234,3 +242,12 @@ def test_parse_request_of_bad_and_missing_text(spark):
     assert tuple(row) == (None, None, None, None)
     with pytest.raises(Exception, match="bad memory"):
         offers.parse_request(spark.createDataFrame([("much", None, None, None)], schema)).collect()
+
+
+def test_rounds_of_items(spark, tmp_path):
+    fn = lambda d: d.select("seq", (F.col("id") + 1).alias("next"))
+    out = rounds.scatter_items(spark.range(25).repartition(3), [F.desc("id")], fn, str(tmp_path / "work"), 4)
+    assert [(r.seq, r.next) for r in out.collect()] == [(i, 25 - i) for i in range(25)]
+    assert out.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 4
+    with pytest.raises(ValueError):
+        rounds.scatter_items(spark.range(1), ["id"], fn, str(tmp_path / "other"), 1001)
