@@ -4,9 +4,9 @@ by the words around.
 Each kind has a pattern that proposes spans and a validator that confirms them:
 the Luhn sum for cards, mod-97 for bank accounts (IBAN), number ranges for
 addresses.  A confirmed span starts with the score of its kind; a context word of
-the kind within ``CONTEXT_CHARS`` before it adds to the score, a word that speaks
-against it takes from it.  Kinds whose form alone proves them (the base kinds)
-start at the threshold, so context never removes them.
+the kind within ``CONTEXT_CHARS`` before or behind it adds to the score, a word that
+speaks against it takes from it; words are English, French, German and Spanish.  The
+base kinds never fall below the threshold, so context doesn't remove them.
 """
 
 from __future__ import annotations
@@ -42,26 +42,48 @@ _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{2,5}\)\x20?)?[0-9]{2,5}[\x2
 _NOT_DIGIT = re.compile("[^0-9]")
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: What a word near a span adds to its score or takes from it.
+STEP = 0.4
+
+
 @dataclass(frozen=True)
 class Context:
-    """Start score of a kind, and words before a span that raise or lower it."""
+    """Start score of a kind, the least that context leaves of it, and the words near a
+    span that raise or lower it."""
 
     score: float
+    least: float = 0.0
     near: frozenset[str] = field(default_factory=frozenset)
     against: frozenset[str] = field(default_factory=frozenset)
 
 
-#: Context words by kind.
+def _words(text: str) -> frozenset[str]:
+    return frozenset(text.split())
+
+
+#: Context words, in English, French, German and Spanish.
+PHONE_WORDS = _words("phone telephone tel call mobile cell fax téléphone appelez portable telefon anruf handy mobil teléfono llame móvil")
+CARD_WORDS = _words("card visa mastercard credit debit carte crédit karte kreditkarte tarjeta crédito débito")
+BANK_WORDS = _words("iban account bank transfer compte banque virement konto überweisung cuenta banco transferencia")
+SOCIAL_WORDS = _words("ssn social security sécurité sociale sozialversicherung seguridad seguro")
+MAIL_WORDS = _words("email mail contact courriel contacter kontakt schreiben correo contacto")
+HOST_WORDS = _words("ip host server address serveur adresse rechner servidor dirección")
+TRADE_WORDS = _words("order invoice part isbn version serial commande facture pièce série bestellung rechnung teil seriennummer pedido factura pieza versión serie")
+PART_WORDS = _words("part isbn serial pièce série teil seriennummer pieza serie")
+VERSION_WORDS = _words("version release section chapter chapitre abschnitt kapitel versión sección capítulo")
 CONTEXT = {
-    "email": Context(1.0),
-    "ip": Context(0.8),
-    "card": Context(0.9),
-    "phone": Context(0.8),
-    "iban": Context(0.9),
-    "ssn": Context(0.3, frozenset(("ssn", "social", "security")), frozenset(("part", "order", "invoice"))),
-    "local_phone": Context(0.2, frozenset(("phone", "tel", "telephone", "call", "mobile", "cell", "fax")), frozenset(("order", "invoice", "isbn", "version"))),
-    "short_card": Context(0.3, frozenset(("card", "visa", "credit", "debit")), frozenset(("order", "invoice", "isbn"))),
+    "email": Context(0.9, THRESHOLD, MAIL_WORDS),
+    "ip": Context(0.7, THRESHOLD, HOST_WORDS, VERSION_WORDS),
+    "card": Context(0.8, THRESHOLD, CARD_WORDS, TRADE_WORDS),
+    "phone": Context(0.8, THRESHOLD, PHONE_WORDS, TRADE_WORDS),
+    "iban": Context(0.7, 0.0, BANK_WORDS, PART_WORDS),
+    "ssn": Context(0.3, 0.0, SOCIAL_WORDS, TRADE_WORDS),
+    "local_phone": Context(0.2, 0.0, PHONE_WORDS, TRADE_WORDS),
+    "short_card": Context(0.3, 0.0, CARD_WORDS, TRADE_WORDS),
 }
+#: Kinds that only context words prove, which give way to spans of the other kinds.
+WEAK = frozenset(k for k, c in CONTEXT.items() if c.score < THRESHOLD)
 
 
 def luhn(digits: str) -> bool:
@@ -141,13 +163,18 @@ def propose(text: str):
             yield "local_phone", m.start(), m.end()
 
 
-def score(text: str, kind: str, start: int) -> float:
-    """Start score of the kind, raised and lowered by words shortly before."""
+def score(text: str, kind: str, start: int, end: int) -> float:
+    """Start score of the kind, raised and lowered by whole words shortly before and behind
+    the span, between ``least`` and 1."""
     c = CONTEXT[kind]
-    if not (c.near or c.against):
-        return c.score
-    before = set(re.findall("[a-z]+", text[max(0, start - CONTEXT_CHARS) : start].lower()))
-    return c.score + 0.4 * bool(before & c.near) - 0.4 * bool(before & c.against)
+    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
+    while 0 < low < start and text[low - 1].isalpha() and text[low].isalpha():  # a word that the window cuts says nothing
+        low += 1
+    while end < high < len(text) and text[high].isalpha() and text[high - 1].isalpha():
+        high -= 1
+    around = {w.lower() for part in (text[low:start], text[end:high]) for w in _LETTERS.findall(part)}
+    raised = c.score + STEP * bool(around & c.near) - STEP * bool(around & c.against)
+    return round(min(1.0, max(c.least, raised)), 2)
 
 
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -159,10 +186,10 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     text = text or ""
     weak = []
     for kind, a, b in propose(text):
-        if CONTEXT[kind].near:
+        if kind in WEAK:
             weak.append((kind, a, b))
-        else:
-            out.append((kind, a, b, CONTEXT[kind].score))
+        elif (s := score(text, kind, a, b)) >= THRESHOLD:
+            out.append((kind, a, b, s))
             taken.append((a, b))
     if weak:
         import bisect
@@ -174,7 +201,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
             ends.append(max(b, ends[-1] if ends else 0))
         for kind, a, b in weak:
             i = bisect.bisect_left(starts, b)
-            if (i == 0 or ends[i - 1] <= a) and (s := score(text, kind, a)) >= THRESHOLD:
+            if (i == 0 or ends[i - 1] <= a) and (s := score(text, kind, a, b)) >= THRESHOLD:
                 out.append((kind, a, b, s))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -185,8 +212,9 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, pii)`` per row: the spans of ``find`` as an array of structs.
 
-    A null or empty text has none; repeated rows and null keys stay.  Texts are
-    searched whole, whatever their length."""
+    A null or empty text has none; repeated rows and null keys stay; an empty table stays
+    empty; other columns aren't looked at.  Texts are searched whole, whatever their
+    length.  Spans of one place are ordered as KINDS."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -29,6 +29,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(n(k) for k in PII_BASE),
         F.sha2(pii.spans_text(F.col("pii"), PII_BASE).cast("binary"), 256).alias("base_sha256"),
         pii.spans_text(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"),
     )
 
 

@@ -39,15 +39,17 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 def build_index(rules: list[tuple[str, str]], folder: str) -> list[str]:
     """Write the digest array, the string offsets, the strings, the verdicts and
-    the path lengths of the rules to ``folder``; returns the paths.  Of two rules
-    with one string the later verdict counts."""
+    the path lengths of the rules to ``folder``; returns the paths.  Of several
+    rules with one string ``block`` counts."""
     import numpy as np
     import xxhash
 
     if len(rules) > MAX_INDEX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_INDEX_RULES} fit the shipped index, use filter_urls_by_join")
-    last = dict(rules)
-    texts = sorted(last)
+    says: dict[str, str] = {}
+    for rule, verdict in rules:
+        says[rule] = max(verdict, says.get(rule, verdict))
+    texts = sorted(says)
     keys = np.array([xxhash.xxh64_intdigest(t.encode()) for t in texts], dtype=np.uint64)
     order = np.argsort(keys, kind="stable")
     raw = [texts[i].encode() for i in order]
@@ -57,7 +59,7 @@ def build_index(rules: list[tuple[str, str]], folder: str) -> list[str]:
         "keys": keys[order],
         "ends": np.cumsum([0, *map(len, raw)], dtype=np.int64),
         "text": np.frombuffer(b"".join(raw) or b"\0", dtype=np.uint8),
-        "allow": np.array([last[texts[i]] == "allow" for i in order], dtype=np.bool_),
+        "allow": np.array([says[texts[i]] == "allow" for i in order], dtype=np.bool_),
         "paths": np.array(paths, dtype=np.int64),
     }
     out = []
@@ -106,9 +108,10 @@ def probe(index, urls: list[str | None]) -> list[tuple[str, str, str | None, boo
 def filter_urls(df: DataFrame, rules: list[tuple[str, str]], default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``(id, host, path, rule, verdict)`` per row of ``df``.
 
-    The longest fitting rule decides, ``default`` where none fits; a null url has
-    an empty host and path and the default verdict.  Repeated rows stay.  The
-    files go to the executors through ``SparkContext.addFile``."""
+    The longest fitting rule decides, ``default`` where none fits; a null or empty url
+    has an empty host and path and the default verdict.  Repeated rows and null ids stay;
+    an empty table stays empty; urls of any length are judged whole; other columns aren't
+    looked at.  The files go to the executors through ``SparkContext.addFile``."""
     kind = df.schema[id_col].dataType.simpleString()
     sc = df.sparkSession.sparkContext
     names = []

@@ -110,6 +110,22 @@ def test_pii_checksums_and_context():
     assert kinds("call 030 1234 567") == ["local_phone"] and kinds("sizes 030 1234 567") == []
 
 
+def test_pii_context_on_both_sides_in_four_languages():
+    scored = lambda t: [(x[0], x[3]) for x in pii.find(t)]
+    for near in ("030 1234 567 is my phone", "Telefon: 030 1234 567", "le téléphone 030 1234 567", "030 1234 567 (móvil)"):
+        assert scored(near) == [("local_phone", 0.6)], near
+    for against in ("Rechnung 030 1234 567 telefon", "telephone, commande 030 1234 567", "030 1234 567 pedido"):
+        assert scored(against) == [], against
+    german = "DE89 3704 0044 0532 0130 00"
+    assert scored(german) == [("iban", 0.7)] and scored(f"Konto {german}") == [("iban", 1.0)] and scored(f"{german} serial") == []
+    assert scored(f"invoice, pay to {german}") == [("iban", 0.7)]
+    # base kinds never fall below the threshold
+    assert scored("release 10.0.0.1") == [("ip", 0.5)] and scored("10.0.0.1 server") == [("ip", 1.0)]
+    assert scored("order 4111 1111 1111 1111") == [("card", 0.5)] and scored("contact: a@b.org")[0] == ("email", 1.0)
+    # words beyond the window, or cut by it, say nothing
+    assert scored("phone" + " " * 40 + "030 1234 567") == [] and scored("xphone" + " " * 35 + "030 1234 567") == []
+
+
 def test_accounts_end_where_their_country_says():
     spans = lambda t: [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
     german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
@@ -318,6 +334,10 @@ def test_url_parts_and_rules(spark):
     assert got == [(1, "example.org/en/1", "block"), (2, None, "allow"), (3, "org/", "allow"), (4, None, "allow"), (5, "com/fr/", "allow"), (6, None, "allow"), (6, None, "allow")]
     rules = spark.createDataFrame(registry.URL_RULES, "rule string, verdict string")
     assert sorted(map(repr, url_filter.filter_urls_by_join(df, rules).collect())) == sorted(map(repr, url_filter.filter_urls(df, registry.URL_RULES).collect()))
+    both = [("org/", "allow"), ("org/", "block"), ("com/fr/", "block"), ("com/fr/", "allow")]  # of equal rules block counts
+    said = lambda got: sorted((r.page_id, r.rule, r.verdict) for r in got.collect() if r.rule)
+    want = said(url_filter.filter_urls(df, both))
+    assert {v for _, _, v in want} == {"block"} and said(url_filter.filter_urls_by_join(df, spark.createDataFrame(both, "rule string, verdict string"))) == want
     assert url_filter.filter_urls(df.limit(0), registry.URL_RULES).count() == 0
     assert {r.verdict for r in url_filter.filter_urls(df, []).collect()} == {"allow"}
 
