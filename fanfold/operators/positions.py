@@ -44,6 +44,29 @@ def with_positions(df: DataFrame, order: list, name: str = "seq") -> DataFrame:
     return parts.withColumn("_inner", inner).join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_inner") - 1).drop("_part", "_inner", "_before")
 
 
+def with_ranks(df: DataFrame, keys: list[str], order: list, name: str = "rank") -> DataFrame:
+    """Add a dense position from 0 within the rows of equal ``keys``, by ``order``; null keys
+    are a key.  Ties fall as their other columns' digest has them, and repeated rows alike.
+
+    A window on the keys would send all rows of one key to one task.  Here rows are
+    range-partitioned on keys, order and digest, so a hot key is spread over parts; each part
+    ranks its own rows, and only a part's first key can go on from an earlier part, so what
+    is broadcast is at most a row for each part."""
+    digest = F.xxhash64(*(f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()))
+    cut = df.withColumn("_digest", digest)
+    parts = stored(cut.repartitionByRange(*keys, *order, "_digest").withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = parts.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    later = counts.withColumn("_before", before).where("_before IS NOT NULL")
+    offsets = later.select(F.col("_part").alias("_p"), "_before", *(F.col(k).alias(f"_k_{k}") for k in keys))
+    same = F.col("_part") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inner = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order, "_digest"))
+    ranked = parts.withColumn("_inner", inner).join(F.broadcast(offsets), same, "left")
+    return ranked.select(*df.columns, (F.coalesce("_before", F.lit(0)) + F.col("_inner") - 1).alias(name))
+
+
 def chunk(df: DataFrame, size: int = 500, seq: str = "seq", most: int = 1000) -> DataFrame:
     """Add ``chunk``, the number of the chunk of ``size`` positions."""
     if not 0 < size <= most:
@@ -53,8 +76,7 @@ def chunk(df: DataFrame, size: int = 500, seq: str = "seq", most: int = 1000) ->
 
 def batches(ids: DataFrame, by: str, order: str, size: int = 1000) -> DataFrame:
     """Add ``batch``: ids of each group in slices of ``size``."""
-    rn = F.row_number().over(Window.partitionBy(by).orderBy(order))
-    return ids.withColumn("batch", F.floor((rn - 1) / size).cast("long"))
+    return with_ranks(ids, [by], [order], "batch").withColumn("batch", F.floor(F.col("batch") / size).cast("long"))
 
 
 def head(lines: DataFrame, n: int, file: str = "file", order: str = "line_no") -> DataFrame:
@@ -80,6 +102,6 @@ def bucket_sort_merge(df: DataFrame, bucket, key: str) -> tuple[DataFrame, DataF
 def unique_paths(files: DataFrame, root: str, name: str = "name", order: str = "id", most: int = 200) -> DataFrame:
     """Add ``path``: ``root/name`` for the first file of a name, ``root/1/name`` and so on
     for the next; more than ``most`` further ones are an error."""
-    rn = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
+    rn = F.col("_rank")
     where = F.when(rn == 0, F.lit(root)).when(rn <= most, F.concat(F.lit(root + "/"), rn.cast("string"))).otherwise(F.raise_error(F.concat(F.lit("too many files named "), F.col(name))))
-    return files.withColumn("path", F.concat(where, F.lit("/"), F.col(name)))
+    return with_ranks(files, [name], [order], "_rank").withColumn("path", F.concat(where, F.lit("/"), F.col(name))).drop("_rank")
