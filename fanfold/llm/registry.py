@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, jaccard, language_id, mixing, pii, quality, secrets, substring_dedup, url_filter
+from . import byte_bpe, conversations, fingerprints, jaccard, language_id, mixing, pii, quality, secrets, simhash, substring_dedup, token_alignment, url_filter
 from .common import read
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -103,6 +103,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(read(spark, sf_dir, "conversations")), gone="gone")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -114,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secrets": op10_secrets,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_simhash": op12_simhash,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 #: Queries that read further tables; op3 finds hosts with suffixes and declarations only in ``pages``.
 FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_language_of_pages": op3_language_of_pages}
