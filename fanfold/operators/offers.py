@@ -1,16 +1,19 @@
 """Offers and requests: the cheapest offer that satisfies a request.
 
 A request has minima (null: no demand).  Many requests ask alike, so the search runs on
-distinct demands; and an offer that another beats in everything at no higher price is
-never chosen, so only the rest (the skyline) meets the demands.
+distinct demands, which meet the offers in a dominance join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cpu_count, disk_gib, memory_mib
+from .dominance import first_dominating
+from .positions import stored, with_positions
 
 AXES = ("memory_mb", "disk_gb", "cpu")
 #: Fixed values of the default filters.
@@ -61,45 +64,53 @@ def order_offers(offers: DataFrame) -> DataFrame:
 
 def mask_prices(offers: DataFrame) -> DataFrame:
     """Prices replaced by their ranks 1..n, ties in the order of names."""
-    from .positions import with_positions
-
     ranked = with_positions(offers.select("name", "price"), [F.col("price"), F.col("name")], "rank")
     return offers.drop("price").join(ranked.select("name", (F.col("rank") + 1).alias("price")), "name")
 
 
+def _ranked(offers: DataFrame, axes: tuple[str, ...], equal: tuple[str, ...]) -> DataFrame:
+    """One offer for each combination of values, with its ``_rank`` in the order of choice."""
+    distinct = offers.groupBy(*axes, *equal).agg(F.min_by(F.struct(*offers.columns), F.struct(*choice_order())).alias("o")).select("o.*")
+    return with_positions(distinct, choice_order(), "_rank")
+
+
 def skyline(offers: DataFrame, axes: tuple[str, ...] = AXES, equal: tuple[str, ...] = ()) -> DataFrame:
     """Offers that no other beats: at least as much on every axis, equal in ``equal``, and
-    earlier in the order of choice.  With one axis a running maximum in that order decides;
-    with more, offers are compared in pairs, of one offer for each combination of values."""
-    distinct = offers.groupBy(*axes, *equal).agg(F.min_by(F.struct(*offers.columns), F.struct(*choice_order())).alias("o")).select("o.*")
-    if len(axes) == 1:
-        before = Window.partitionBy(*equal).orderBy(*choice_order()).rowsBetween(Window.unboundedPreceding, -1)
-        most = F.max(axes[0]).over(before)
-        return distinct.withColumn("_m", most).where(F.col("_m").isNull() | (F.col("_m") < F.col(axes[0]))).drop("_m")
-    a, b = distinct.alias("a"), distinct.alias("b")
-    cond = F.struct(*(F.col(f"b.{x}") for x in ("price",)), ~F.contains("b.name", F.lit("_v2")), F.col("b.name")) < F.struct(F.col("a.price"), ~F.contains("a.name", F.lit("_v2")), F.col("a.name"))
-    for x in axes:
-        cond = cond & (F.col(f"b.{x}") >= F.col(f"a.{x}"))
-    for x in equal:
-        cond = cond & F.col(f"b.{x}").eqNullSafe(F.col(f"a.{x}"))
-    return a.join(b, cond, "left_anti")
+    earlier in the order of choice; of offers alike in all of these, the first.  An offer with
+    a null on an axis beats none and is beaten by none.
+
+    An offer stays if the first of all offers that have as much as it has is the offer itself."""
+    known = reduce(lambda a, b: a & b, (F.col(x).isNotNull() for x in axes))
+    ranked = stored(_ranked(offers, axes, equal), "ranked")
+    rows = ranked.where(known).select(F.to_json(F.struct(F.lit(0).alias("_"), *equal)).alias("group"), *axes, F.col("_rank").alias("rank"))
+    first = first_dominating(rows, rows.withColumnRenamed("rank", "id"), list(axes))
+    kept = ranked.join(first.where("id = rank").select(F.col("id").alias("_rank")), "_rank", "left_semi")
+    return kept.unionByName(ranked.where(~known)).select(*offers.columns)
 
 
 def cheapest_offer(requests: DataFrame, offers: DataFrame, axes: tuple[str, ...] = AXES, equal: tuple[str, ...] = (), mode: str = "fail") -> DataFrame:
     """Requests with ``offer``, the name of the cheapest fitting offer, ties to the second
     version, then by name.  ``offer_name`` in a request skips the search but must exist.
-    No match: an error, or null with ``mode='report'``."""
+    No match: an error, or null with ``mode='report'``.
+
+    Distinct demands meet the offers in a dominance join.  A demand that leaves an ``equal``
+    column open goes to a group in which offers of all its values are."""
     named = "offer_name" in requests.columns
     demand = [*axes, *equal]
-    best = skyline(offers, axes, equal)
-    fits = F.lit(True)
-    for x in axes:
-        fits = fits & (F.col(f"r.{x}").isNull() | (F.col(f"o.{x}") >= F.col(f"r.{x}")))
-    for x in equal:
-        fits = fits & (F.col(f"r.{x}").isNull() | (F.col(f"o.{x}") == F.col(f"r.{x}")))
-    asked = requests.select(*demand).distinct()
-    order = F.struct(F.col("o.price"), ~F.contains("o.name", F.lit("_v2")), F.col("o.name"))
-    found = asked.alias("r").join(best.alias("o"), fits).groupBy(*(F.col(f"r.{x}").alias(f"_{x}") for x in demand)).agg(F.min_by(F.col("o.name"), order).alias("offer"))
+    ranked = stored(_ranked(offers, axes, equal), "ranked")
+    asked = stored(requests.select(*demand).distinct().withColumn("_id", F.monotonically_increasing_id()), "asked")
+    group_o, group_d = [], F.lit(None).cast("string")
+    for open_ in range(1 << len(equal)):
+        fixed = [x for i, x in enumerate(equal) if not open_ >> i & 1]
+        key = lambda value, f=fixed, m=open_: F.to_json(F.struct(F.lit(m).alias("_"), *(value(x).alias(x) for x in f)))
+        given = lambda cond, f=fixed: reduce(lambda a, b: a & b, (cond(x) for x in f), F.lit(True))
+        group_o.append(F.when(given(lambda x: F.col(x).isNotNull()), key(F.col)))
+        fits = given(lambda x: F.col(x).isNotNull()) & reduce(lambda a, b: a & b, (F.col(x).isNull() for x in equal if x not in fixed), F.lit(True))
+        group_d = F.when(fits, key(lambda x: F.col(x).cast(offers.schema[x].dataType))).otherwise(group_d)
+    sides = ranked.select(F.explode(F.array(*group_o)).alias("group"), *axes, F.col("_rank").alias("rank")).where("group IS NOT NULL")
+    first = first_dominating(sides, asked.select(group_d.alias("group"), *axes, F.col("_id").alias("id")), list(axes))
+    won = first.join(ranked.select(F.col("_rank").alias("rank"), F.col("name").alias("offer")), "rank").select("id", "offer")
+    found = asked.join(won, F.col("_id") == F.col("id")).select(*(F.col(x).alias(f"_{x}") for x in demand), "offer")
     same = F.lit(True)
     for x in demand:
         same = same & F.col(x).eqNullSafe(F.col(f"_{x}"))

@@ -307,6 +307,14 @@ def minimal_offer(spark, sf_dir):
     return offers.minimal_offer(r, part_offers(spark, sf_dir), mode="report").select("c_custkey", "offer")
 
 
+@query(f"""
+WITH o AS (SELECT memory_mb, disk_gb, cpu, min((price, CASE WHEN contains(name, '_v2') THEN 0 ELSE 1 END, name)) AS k FROM ({OFFERS}) GROUP BY ALL)
+SELECT k[3] AS name, memory_mb, disk_gb, cpu, k[1] AS price FROM o a
+WHERE NOT EXISTS (SELECT 1 FROM o b WHERE b.memory_mb >= a.memory_mb AND b.disk_gb >= a.disk_gb AND b.cpu >= a.cpu AND b.k < a.k)""")
+def skyline(spark, sf_dir):
+    return offers.skyline(part_offers(spark, sf_dir)).select("name", "memory_mb", "disk_gb", "cpu", "price")
+
+
 @query(f"SELECT name, row_number() OVER (ORDER BY price, name) AS price FROM ({OFFERS})")
 def mask_prices(spark, sf_dir):
     return offers.mask_prices(part_offers(spark, sf_dir)).select("name", "price")
