@@ -1,10 +1,12 @@
 """Byte-level BPE encoding and decoding with the tiktoken library.
 
 The ranks come from a local rank file whose path is a parameter; every executor
-loads the file once per Python worker.  Long texts are first cut where the split
-pattern is bound to begin a new match (before one space between two letters or
-digits), so no call handles an unbounded piece; decoding gathers the raw bytes of
-the ids from one array of all tokens' bytes, and never goes through text.
+loads the file once per Python worker.  Long texts are first cut where the split pattern
+is bound to begin a new match: before white space, and between an ASCII letter and a digit.
+A run of more than LONG_SPACE white space, for which the library's splitter runs out of
+stack, is one match but for its last character, so it is encoded as one piece that needs no
+splitting.  Decoding gathers the raw bytes of the ids from one array of all tokens' bytes,
+and never goes through text.
 """
 
 from __future__ import annotations
@@ -21,7 +23,11 @@ from .common import slices
 
 #: Texts of more characters than this are cut at safe places first.
 LONG_TEXT = 8192
-_SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+#: White space of the split pattern: fixed values.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = 4096
+_RUN = re.compile(rf"[{_SPACE}]{{{LONG_SPACE},}}")
+_SAFE = re.compile(rf"(?<=[^{_SPACE}])(?=[{_SPACE}])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 #: About this many bytes of text are encoded between two output batches.
 BATCH_CHARS = 1 << 21
 
@@ -65,25 +71,32 @@ def decode_ids(table, packed: bytes | None) -> bytes:
     return whole[place].tobytes()
 
 
-def safe_pieces(text: str, size: int = LONG_TEXT) -> Iterator[str]:
-    """Cut a text into pieces of at least ``size`` characters that the split
-    pattern treats alone as it treats them in place."""
+def safe_pieces(text: str, size: int = LONG_TEXT) -> Iterator[tuple[str, bool]]:
+    """Cut a text into pieces that the split pattern treats alone as it treats them in place,
+    of ``size`` characters or more where it can be cut, and whether a piece is one match."""
     start = 0
-    while len(text) - start > size:
-        cut = _SAFE.search(text, start + size)
-        if cut is None:
-            break
-        yield text[start : cut.start()]
-        start = cut.start()
-    yield text[start:]
+    for run in [*_RUN.finditer(text), None]:
+        end = run.start() if run else len(text)
+        while end - start > size:
+            cut = _SAFE.search(text, start + size, end)
+            if cut is None:
+                break
+            yield text[start : cut.start()], False
+            start = cut.start()
+        if start < end:
+            yield text[start:end], False
+        if run:
+            # the match leaves the last character to what follows, if anything does
+            start = run.end() - (run.end() < len(text))
+            yield text[end:start], True
 
 
 def encode_text(enc, text: str) -> list[int]:
-    if len(text) <= LONG_TEXT:
+    if len(text) <= LONG_SPACE:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for piece in safe_pieces(text):
-        ids += enc.encode_ordinary(piece)
+    for piece, one in safe_pieces(text):
+        ids += enc._encode_single_piece(piece) if one else enc.encode_ordinary(piece)
     return ids
 
 

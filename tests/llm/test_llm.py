@@ -462,7 +462,7 @@ def test_bpe_round_trip_and_long_texts():
         ids = byte_bpe.encode_text(enc, t)
         assert ids == enc.encode_ordinary(t) and enc.decode_bytes(ids) == t.encode()
         assert byte_bpe.decode_ids(table, np.asarray(ids, dtype="<u4").tobytes()) == t.encode()
-        assert "".join(byte_bpe.safe_pieces(t)) == t
+        assert "".join(piece for piece, _ in byte_bpe.safe_pieces(t)) == t
 
 
 def test_bpe_operator(spark, odd):
@@ -473,6 +473,32 @@ def test_bpe_operator(spark, odd):
     assert sorted(map(repr, at_once)) == sorted(map(repr, out))
 
 
+def test_pieces_encode_as_in_place(monkeypatch):
+    enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe, "_RUN", re.compile(rf"[{byte_bpe._SPACE}]{{3,}}"))
+    random.seed(9)
+    for _ in range(3000):
+        t = "".join(random.choice("ab1 2  \n\t'sre!?é漢\u3000\xa0\x1c") for _ in range(random.randrange(60)))
+        ids = []
+        for piece, one in byte_bpe.safe_pieces(t, random.randrange(1, 9)):
+            ids += enc._encode_single_piece(piece) if one else enc.encode_ordinary(piece)
+        assert ids == enc.encode_ordinary(t), t
+
+
+def test_five_megabytes_of_anything(spark, tmp_path):
+    n = 5_000_000
+    texts = [" " * n, "a" + " " * n + "b", "\n" * n, "a" * n, "漢字" * (n // 2), "!?" * (n // 2), "a1+/" * (n // 4), "ab  " * 1000 + " " * n + "x'" + "\t" * n + "'s"]
+    made = [("sp", " ", n, "", ""), ("in", " ", n, "a", "b"), ("nl", "\n", n, "", ""), ("a", "a", n, "", ""), ("cjk", "漢字", n // 2, "", ""), ("sign", "!?", n // 2, "", ""), ("b64", "a1+/", n // 4, "", "")]
+    df = spark.createDataFrame([(i, *m[1:]) for i, m in enumerate(made)], "doc_id long, unit string, n int, before string, after string")
+    df.select("doc_id", F.concat("before", F.expr("repeat(unit, n)"), "after").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.decoded_sha256 for r in registry.op9_byte_bpe(spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts[:-1])}
+    # a run gives as many tokens as its halves where no token is cut
+    enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
+    for t in (" " * 100_001 + "b", "x" + "\n" * 100_000, texts[-1][:104_000] + "y"):
+        assert byte_bpe.encode_text(enc, t) == enc.encode_ordinary(t)
+
+
 # op10
 
 
