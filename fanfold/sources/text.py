@@ -3,25 +3,33 @@ them take the list of files as a table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import coerce
+from ..operators.positions import stored
 
 SIZES = {"B": 1, "KB": 10**3, "MB": 10**6, "GB": 10**9, "TB": 10**12, "KIB": 2**10, "MIB": 2**20, "GIB": 2**30, "TIB": 2**40}
 
 
 def read_lines(spark: SparkSession, path, numbered: bool = False) -> DataFrame:
-    """``(file, line)`` or, numbered, ``(file, line_no, line)`` with numbers from 0; numbering
-    reads each file whole, so files must fit a task."""
+    """``(file, line)`` or, numbered, ``(file, line_no, line)`` with numbers from 0.
+
+    Large files are read in splits either way.  A numbered line has the lines of the file's
+    earlier splits before it and those of its own, which a task reads in order; the lines are
+    written to the shared folder once, so that counting and numbering see the same splits."""
     if not numbered:
         return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r?\n$", "").alias("t"))
-    return whole.select("file", F.posexplode(F.split("t", r"\r?\n")).alias("line_no", "line"))
+    read = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    lines = stored(read.withColumn("_id", F.monotonically_increasing_id()), "lines")
+    splits = lines.groupBy("file", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("file", "_start", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_offset"))
+    return lines.join(offsets, ["file", "_start"]).select("file", (F.col("_id") + F.col("_offset")).alias("line_no"), "line")
 
 
 def read_tsv(spark: SparkSession, path) -> DataFrame:
-    """``(file, row, cells)``; rows may have unequal numbers of cells."""
+    """``(file, row, cells)``; rows may have unequal numbers of cells; files are read in splits."""
     return read_lines(spark, path, numbered=True).select("file", F.col("line_no").alias("row"), F.split("line", "\t").alias("cells"))
 
 

@@ -1,4 +1,4 @@
-"""Bounded rounds over a file stream, with one ordered gather at the end."""
+"""Bounded rounds over a stream of files or of positions, with one ordered gather at the end."""
 
 from __future__ import annotations
 
@@ -16,8 +16,10 @@ def chunked_scatter(spark: SparkSession, source: str, schema, fn: Callable[[Data
     return all rounds with their ``batch_id``.
 
     A round writes its own partition, so one that runs again after a failure replaces
-    what it wrote; a restart with the same ``work`` folder goes on behind the last round."""
+    what it wrote; a restart with the same ``work`` folder goes on behind the last round.
+    Without files the result is empty."""
     sink = os.path.join(work, "rounds")
+    empty = fn(spark.createDataFrame([], schema)).withColumn("batch_id", F.lit(0).cast("long"))
 
     def round_(batch: DataFrame, batch_id: int) -> None:
         out = fn(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -26,21 +28,54 @@ def chunked_scatter(spark: SparkSession, source: str, schema, fn: Callable[[Data
     stream = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_round).load(source)
     query = stream.writeStream.foreachBatch(round_).option("checkpointLocation", os.path.join(work, "progress")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(sink)
+    written = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not written.getFileSystem(spark._jsc.hadoopConfiguration()).exists(written):
+        return empty
+    return spark.read.schema(empty.schema).parquet(sink)
 
 
-def scatter_items(df: DataFrame, order: list, fn: Callable[[DataFrame], DataFrame], work: str, items_per_round: int = 500, most: int = 1000) -> DataFrame:
-    """Run ``fn`` on at most ``items_per_round`` rows a round; the next round starts when one
-    is done.  Rows are numbered by ``order`` in a column ``seq``, which ``fn`` keeps; the
-    result is all rounds' rows in that order with their ``batch_id``.
+def scatter_items(df: DataFrame, order: list, fn: Callable[[DataFrame], DataFrame], work: str, items_per_round: int = 500, most: int = 1000, tasks: int = 4) -> DataFrame:
+    """Run ``fn`` on ``items_per_round`` rows a round (the last may have fewer), in ``tasks``
+    tasks; the next round starts when one is done.  Rows are numbered by ``order`` in a column
+    ``seq``, which ``fn`` keeps; the result is all rounds' rows in that order with their
+    ``batch_id``.  An empty table gives an empty result with its schema.
 
-    The rows are written to ``work`` in files of a round each, so a restart goes on behind
-    the last round that ended."""
+    The stream is one of positions, so many a micro-batch, and its checkpoint in ``work``
+    tells how far it came: a restart goes on behind the last round that ended, and a round
+    that runs again replaces what it wrote.  The numbered rows are written once, sorted by
+    position, and a round reads only the files and row groups that hold its positions.  The
+    number of items can't change on a restart."""
     if not 0 < items_per_round <= most:
         raise ValueError(f"{items_per_round} items a round: must be 1 to {most}")
-    spark, source = df.sparkSession, os.path.join(work, "source")
+    spark, base = df.sparkSession, os.path.join(work, f"items-{items_per_round}")
+    source, sink = os.path.join(base, "source"), os.path.join(base, "rounds")
     rows = with_positions(df, order)
     whole = spark._jvm.org.apache.hadoop.fs.Path(source, "_SUCCESS")  # a write that broke off has none and is done anew
     if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
-        rows.write.mode("overwrite").option("maxRecordsPerFile", items_per_round).parquet(source)
-    return chunked_scatter(spark, source, rows.schema, fn, work).orderBy("seq")
+        rows.repartitionByRange("seq").sortWithinPartitions("seq").write.mode("overwrite").parquet(source)
+    rows = spark.read.schema(rows.schema).parquet(source)
+    rounds = -(-rows.count() // items_per_round)
+
+    def round_of(batch_id: int) -> DataFrame:
+        start = batch_id * items_per_round
+        items = rows.where(F.col("seq").between(start, start + items_per_round - 1))
+        return fn(items.repartition(tasks, "seq")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+
+    def run(_: DataFrame, batch_id: int) -> None:
+        if batch_id < rounds:
+            round_of(batch_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink)
+
+    schema = round_of(0).schema
+    ended = os.path.join(base, "progress", "commits", str(rounds - 1))
+    path = spark._jvm.org.apache.hadoop.fs.Path(ended)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if rounds and not files.exists(path):
+        stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", items_per_round).option("numPartitions", 1).load()
+        query = stream.writeStream.foreachBatch(run).option("checkpointLocation", os.path.join(base, "progress")).start()
+        while not query.awaitTermination(0.2):  # a round that fails raises here
+            if files.exists(path):
+                query.stop()
+                break
+    if not rounds:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(sink).orderBy("seq")
