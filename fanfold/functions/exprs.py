@@ -14,14 +14,15 @@ from .scalars import col, fail_unless
 
 
 def coerce(value, kind: str | T.DataType) -> Column:
-    """Cast with the coercions of bindings: text to numbers (digits exactly, text with a
-    point or exponent to a whole number by way of double), numbers to text,
+    """Cast with the coercions of bindings: text to numbers (digits exactly, also before
+    a point, which is cut there; text with an exponent to a whole number by way of double), numbers to text,
     ``true``/``false`` to boolean.  Bad text is an error, as ANSI casts are."""
     kind = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
     v = col(value)
     if isinstance(kind, (T.IntegerType, T.LongType)):
         text = v.cast("string")
-        of_text = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.cast(kind)).otherwise(text.cast("double").cast(kind))
+        digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1)
+        of_text = F.when(digits != "", digits.cast(kind)).otherwise(text.cast("double").cast(kind))
         return F.when(F.typeof(v) == "string", of_text).otherwise(v.cast(kind))
     return v.cast(kind)
 
@@ -47,7 +48,7 @@ def bool_if(df: DataFrame, cond: Column, exprs: dict[str, Column]) -> DataFrame:
 
 def row_if(df: DataFrame, cond: Column, fn: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     """Run ``fn`` for the rows where ``cond`` is true only; the others get nulls in the
-    columns that it adds.  ``keys`` tell rows apart."""
+    columns that it adds.  ``keys`` tell rows apart: rows with equal keys multiply."""
     done = fn(df.where(cond))
     new = [c for c in done.columns if c not in df.columns]
     return df.join(done.select(*keys, *new), keys, "left")

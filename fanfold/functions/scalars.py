@@ -274,5 +274,8 @@ def item_label(value, kind: T.DataType) -> Column:
 
 
 def row_digest(*names: str) -> Column:
-    """Upper-case MD5 of the row's JSON with its keys sorted, so column order is nothing."""
-    return F.upper(F.md5(F.to_json(F.struct(*sorted(names)), {"ignoreNullFields": "false"}).cast("binary")))
+    """Upper-case MD5 of the row's canonical JSON: columns, fields of structs and keys of maps
+    in the order of their names at every depth, arrays as they are, nulls kept.  A variant
+    keeps its objects' keys sorted, so the way through one sorts them."""
+    written = F.to_json(F.struct(*sorted(names)), {"ignoreNullFields": "false"})
+    return F.upper(F.md5(F.to_json(F.parse_json(written)).cast("binary")))

@@ -19,15 +19,23 @@ def zip_tables(a: DataFrame, b: DataFrame, keys: list[str], seq: str = "seq", st
     return both.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("zip: tables of unequal length")))).drop("_l", "_r")
 
 
+#: Rows of the inner collection that a nested scatter takes at most: it is broadcast.
+MOST_INNER = 100_000
+
+
 def nested_scatter(outer: DataFrame, inner: DataFrame, value: Column, name: str = "value") -> DataFrame:
     """Every outer row with every inner row; ``inner`` is the collection that the outer ones
-    share, and is broadcast if Spark finds it small enough."""
-    return outer.crossJoin(inner).withColumn(name, value)
+    share.  It is broadcast, so more than MOST_INNER rows of it are an error."""
+    if inner.limit(MOST_INNER + 1).count() > MOST_INNER:
+        raise ValueError(f"nested scatter over more than {MOST_INNER} inner rows")
+    return outer.crossJoin(F.broadcast(inner)).withColumn(name, value)
 
 
 def scatter_env(items: DataFrame, env: DataFrame) -> DataFrame:
-    """Each item sees the variables of the one-row ``env``."""
-    return items.crossJoin(F.broadcast(env.limit(1)))
+    """Each item sees the variables of the one-row ``env``; no row or several are an error."""
+    one = env.agg(F.count("*").alias("_n"), F.first(F.struct(*env.columns)).alias("_env"))
+    checked = F.when(F.col("_n") == 1, F.col("_env")).otherwise(F.raise_error(F.concat(F.lit("an environment has one row, not "), F.col("_n").cast("string"))))
+    return items.crossJoin(F.broadcast(one.select(checked.alias("_env")))).select(*items.columns, "_env.*")
 
 
 def transpose(cells: DataFrame, row: str = "r", column: str = "c") -> DataFrame:

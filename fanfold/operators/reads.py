@@ -3,13 +3,10 @@ umi_min_qual, gene)``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .positions import chunk, with_positions
-
-BASES = ("A", "C", "G", "T")
-
+from .positions import chunk, with_positions, with_ranks
 
 def subsample(reads: DataFrame, rate: float, seed: int = 0, key: str = "read_id") -> DataFrame:
     """A repeatable share of the reads, by the first 32 bits of the MD5 of seed and id."""
@@ -27,22 +24,38 @@ def barcode_counts(reads: DataFrame, whitelist: DataFrame) -> DataFrame:
     return reads.join(whitelist.select("barcode").distinct(), "barcode", "left_semi").groupBy("gem_group", "barcode").agg(F.count("*").alias("n"))
 
 
+def _gaps(barcode: str) -> Column:
+    """``(at, rest)`` for each base: the place, and the barcode without that base.  Barcodes of
+    equal length with one mismatch share one."""
+    at = F.sequence(F.lit(1), F.length(barcode))
+    parts = F.transform(at, lambda i: F.struct(i.alias("at"), F.concat(F.substring(barcode, F.lit(1), i - 1), F.substring(barcode, i + 1, F.length(barcode))).alias("rest")))
+    return F.explode(F.when(F.length(barcode) > 0, parts))
+
+
 def correct_barcodes(reads: DataFrame, whitelist: DataFrame, counts: DataFrame, threshold: float = 0.975) -> DataFrame:
     """Reads with ``corrected``: a listed barcode as it is; else the listed barcode at one
-    mismatch whose share of count times error probability is at least ``threshold``; else
-    null.  A read brings three neighbours a base, whatever the size of the list."""
+    mismatch whose share of weight times error probability is at least ``threshold``; else
+    null.  The weight of a listed barcode is its count in the read's gem group and one.
+
+    Neighbours are found once for each distinct barcode of a group, by a join on barcodes
+    without one base; each read then weighs its barcode's by its own qualities."""
     listed = whitelist.select("barcode").distinct()
-    weights = counts.groupBy("barcode").agg(F.sum("n").alias("n"))
-    weights = listed.join(weights, "barcode", "left").select(F.col("barcode").alias("candidate"), (F.coalesce("n", F.lit(0)) + 1).alias("weight"))
     exact = listed.select(F.col("barcode").alias("_b"))
     known = reads.join(exact, F.col("barcode") == F.col("_b"), "left").withColumn("_listed", F.col("_b").isNotNull()).drop("_b")
-    other = known.where(~F.col("_listed") & F.col("barcode").isNotNull())
-    near = other.select("read_id", "barcode", F.posexplode("barcode_qual").alias("i", "q")).withColumn("base", F.explode(F.array(*map(F.lit, BASES))))
-    near = near.where(F.col("base") != F.expr("substring(barcode, i + 1, 1)")).withColumn("candidate", F.expr("concat(substring(barcode, 1, i), base, substring(barcode, i + 2))"))
-    scored = near.join(weights, "candidate").withColumn("p", F.col("weight") * F.pow(F.lit(10.0), -F.col("q") / 10))
-    best = scored.groupBy("read_id").agg(F.max_by("candidate", F.struct("p", "candidate")).alias("best"), (F.max("p") / F.sum("p")).alias("share"))
-    met = known.join(best, "read_id", "left")
-    return met.withColumn("corrected", F.when(F.col("_listed"), F.col("barcode")).when(F.col("share") >= threshold, F.col("best"))).drop("_listed", "best", "share")
+    distinct = known.where(~F.col("_listed") & F.col("barcode").isNotNull()).select("gem_group", "barcode").distinct()
+    index = listed.select(F.col("barcode").alias("candidate"), _gaps("barcode").alias("g")).select("candidate", "g.*")
+    near = distinct.select("gem_group", "barcode", _gaps("barcode").alias("g")).select("gem_group", "barcode", "g.*").join(index, ["at", "rest"])
+    weights = counts.groupBy("gem_group", "barcode").agg(F.sum("n").alias("n")).select(F.col("gem_group").alias("_g"), F.col("barcode").alias("_c"), "n")
+    weighed = near.join(weights, F.col("gem_group").eqNullSafe(F.col("_g")) & (F.col("candidate") == F.col("_c")), "left")
+    one = F.struct("at", "candidate", (F.coalesce("n", F.lit(0)) + 1).alias("weight"))
+    near = weighed.groupBy(F.col("gem_group").alias("_g"), F.col("barcode").alias("_b")).agg(F.collect_list(one).alias("_near"))
+    met = known.join(near, F.col("gem_group").eqNullSafe(F.col("_g")) & (F.col("barcode") == F.col("_b")), "left")
+    scored = F.transform("_near", lambda c: F.struct((c["weight"] * F.pow(F.lit(10.0), -F.element_at("barcode_qual", c["at"]) / 10)).alias("p"), c["candidate"].alias("candidate")))
+    met = met.withColumn("_scored", F.array_sort(scored))  # one order of addition
+    best = F.array_max("_scored")
+    share = best["p"] / F.aggregate("_scored", F.lit(0.0), lambda total, x: total + x["p"])
+    corrected = F.when(F.col("_listed"), F.col("barcode")).when(share >= threshold, best["candidate"])
+    return met.withColumn("corrected", corrected).select(*reads.columns, "corrected")
 
 
 def filter_umis(reads: DataFrame, min_qual: int) -> DataFrame:
@@ -54,12 +67,16 @@ def bucket(n_bases: int = 2):
     return F.substring("barcode", 1, n_bases)
 
 
-def mark_duplicates(reads: DataFrame, keys=("gem_group", "barcode", "umi", "gene"), order: str = "read_id") -> DataFrame:
-    """Add ``duplicate``: another read of the same molecule has a smaller id.  The least id of
-    each molecule is found by partial aggregation; a join marks the rest."""
-    first = reads.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min(order).alias("_first"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return reads.join(first, same).withColumn("duplicate", F.col(order) != F.col("_first")).drop("_first", *(f"_{k}" for k in keys))
+def mark_duplicates(reads: DataFrame, keys=("gem_group", "barcode", "umi", "gene"), order: str = "read_id", whole=("barcode", "gene")) -> DataFrame:
+    """Add ``duplicate``: another read of the same molecule comes before it, by ``order``; of
+    rows with equal ids one is first.  Reads without one of ``whole`` are of no molecule and
+    never duplicates.  A molecule of very many reads is ranked by several tasks."""
+    of_one = F.lit(True)
+    for c in whole:
+        of_one = of_one & F.col(c).isNotNull()
+    ranked = with_ranks(reads.where(of_one), list(keys), [F.col(order)], "_rank")
+    marked = ranked.select(*reads.columns, (F.col("_rank") > 0).alias("duplicate"))
+    return marked.unionByName(reads.where(~of_one).withColumn("duplicate", F.lit(False)))
 
 
 def count_genes(reads: DataFrame) -> DataFrame:

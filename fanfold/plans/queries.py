@@ -589,7 +589,7 @@ def filter_barcodes(spark, sf_dir):
     return reads.filter_barcodes(umi_matrix(spark, sf_dir), 50)
 
 
-@query(f"SELECT read_id, row_number() OVER (PARTITION BY gem_group, barcode, umi, gene ORDER BY read_id) > 1 AS duplicate FROM ({READS})")
+@query(f"SELECT read_id, barcode IS NOT NULL AND gene IS NOT NULL AND row_number() OVER (PARTITION BY gem_group, barcode, umi, gene ORDER BY read_id) > 1 AS duplicate FROM ({READS})")
 def mark_duplicates(spark, sf_dir):
     return reads.mark_duplicates(event_reads(spark, sf_dir)).select("read_id", "duplicate")
 

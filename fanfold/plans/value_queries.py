@@ -157,13 +157,14 @@ def map_pairs(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, 9007199254740993 + o_orderkey AS big, floor(o_totalprice)::BIGINT AS cut, o_totalprice AS price, o_orderkey::VARCHAR AS key_text, o_orderstatus = 'F' AS done FROM orders""")
+SELECT o_orderkey, 9007199254740993 + o_orderkey AS big, 9007199254740993 + o_orderkey AS pointed, floor(o_totalprice)::BIGINT AS cut, o_totalprice AS price, o_orderkey::VARCHAR AS key_text, o_orderstatus = 'F' AS done FROM orders""")
 def coerce(spark, sf_dir):
     o = t(spark, sf_dir, "orders")
     big = (F.lit(9007199254740993) + F.col("o_orderkey")).cast("string")
     return o.select(
         "o_orderkey",
         exprs.coerce(big, "long").alias("big"),
+        exprs.coerce(F.concat(big, F.lit(".0")), "long").alias("pointed"),
         exprs.coerce(F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("e0")), "long").alias("cut"),
         exprs.coerce(F.col("o_totalprice").cast("string"), "double").alias("price"),
         exprs.coerce("o_orderkey", "string").alias("key_text"),
@@ -363,13 +364,30 @@ BASE4 = "array_to_string(list_transform(range(6), lambda i: substr('ACGT', 1 + (
 
 
 @query(f"""
-WITH r AS (SELECT event_id AS read_id, {BASE4} AS barcode FROM events), l AS (SELECT DISTINCT barcode FROM r WHERE right(barcode, 1) <> 'T'),
-n AS (SELECT barcode, count(*) + 1 AS w FROM r JOIN l USING (barcode) GROUP BY 1),
-near AS (SELECT DISTINCT r.barcode, n.barcode AS candidate, n.w FROM (SELECT DISTINCT barcode FROM r) r JOIN n ON hamming(r.barcode, n.barcode) = 1 WHERE r.barcode NOT IN (SELECT barcode FROM l)),
-best AS (SELECT barcode, CASE WHEN max(w)::DOUBLE / sum(w) >= 0.3 THEN arg_max(candidate, (w, candidate)) END AS best FROM near GROUP BY 1)
-SELECT read_id, CASE WHEN barcode IN (SELECT barcode FROM l) THEN barcode ELSE best END AS corrected FROM r LEFT JOIN best USING (barcode)""")
+WITH r AS (SELECT event_id AS read_id, user_id % 2 AS g, {BASE4} AS barcode FROM events), l AS (SELECT DISTINCT barcode FROM r WHERE right(barcode, 1) <> 'T'),
+n AS (SELECT g, barcode, count(*) + 1 AS w FROM r JOIN l USING (barcode) GROUP BY ALL),
+near AS (SELECT DISTINCT r.g, r.barcode, l.barcode AS candidate, coalesce(n.w, 1) AS w FROM (SELECT DISTINCT g, barcode FROM r) r JOIN l ON hamming(r.barcode, l.barcode) = 1 LEFT JOIN n ON n.g = r.g AND n.barcode = l.barcode
+  WHERE r.barcode NOT IN (SELECT barcode FROM l)),
+place AS (SELECT *, list_position(list_transform(range(1, 7), lambda i: substr(barcode, i, 1) = substr(candidate, i, 1)), false) - 1 AS i FROM near),
+p AS (SELECT read_id, candidate, w * pow(10.0::DOUBLE, -(10 + (read_id + i) % 25) / 10.0::DOUBLE) AS p FROM r JOIN place USING (g, barcode)),
+best AS (SELECT read_id, CASE WHEN max(p) / sum(p) >= 0.3 THEN arg_max(candidate, (p, candidate)) END AS best FROM p GROUP BY 1)
+SELECT read_id, CASE WHEN barcode IN (SELECT barcode FROM l) THEN barcode ELSE best END AS corrected FROM r LEFT JOIN best USING (read_id)""")
 def correct_barcodes(spark, sf_dir):
     digit = lambda i: F.substring(F.lit("ACGT"), (F.floor(F.col("user_id") / 4 ** (5 - i)) % 4 + 1).cast("int"), F.lit(1))
-    r = t(spark, sf_dir, "events").select(F.col("event_id").alias("read_id"), F.lit(1).alias("gem_group"), F.concat(*map(digit, range(6))).alias("barcode"), F.array_repeat(F.lit(20), 6).alias("barcode_qual"))
+    quality = F.array(*((10 + (F.col("event_id") + i) % 25).cast("int") for i in range(6)))
+    r = t(spark, sf_dir, "events").select(F.col("event_id").alias("read_id"), (F.col("user_id") % 2).alias("gem_group"), F.concat(*map(digit, range(6))).alias("barcode"), quality.alias("barcode_qual"))
     listed = r.where(~F.col("barcode").endswith("T")).select("barcode").distinct()
     return reads.correct_barcodes(r, listed, reads.barcode_counts(r, listed), 0.3).select("read_id", "corrected")
+
+
+@query("""
+SELECT o_orderkey, upper(md5('{"m":{"a' || o_custkey % 3 || '":1,"z":null},"n":{"a":["' || o_orderstatus || '",null],"b":{"x":' || o_custkey || ',"y":"' || o_orderpriority || '"}}}')) AS digest FROM orders
+UNION ALL SELECT o_orderkey, upper(md5('{"m":{"a' || o_custkey % 3 || '":1,"z":null},"n":{"a":["' || o_orderstatus || '",null],"b":{"x":' || o_custkey || ',"y":"' || o_orderpriority || '"}}}')) FROM orders""")
+def row_digest_nested(spark, sf_dir):
+    """Two layouts of one nested value have one digest."""
+    o, none = t(spark, sf_dir, "orders"), F.lit(None)
+    key = F.concat(F.lit("a"), (F.col("o_custkey") % 3).cast("string"))
+    x, y, status = F.col("o_custkey").alias("x"), F.col("o_orderpriority").alias("y"), F.array("o_orderstatus", none.cast("string"))
+    one = o.select("o_orderkey", F.create_map(key, F.lit(1), F.lit("z"), none.cast("int")).alias("m"), F.struct(F.struct(y, x).alias("b"), status.alias("a")).alias("n"))
+    other = o.select("o_orderkey", F.struct(status.alias("a"), F.struct(x, y).alias("b")).alias("n"), F.create_map(F.lit("z"), none.cast("int"), key, F.lit(1)).alias("m"))
+    return one.select("o_orderkey", scalars.row_digest("m", "n").alias("digest")).union(other.select("o_orderkey", scalars.row_digest("n", "m").alias("digest")))

@@ -183,6 +183,48 @@ def test_reads(spark):
     assert rows(reads.count_genes(r).select("barcode", "umis")) == [("AC", 1), ("AG", 1), ("TT", 1)]
 
 
+def test_duplicates_tell_equal_ids_apart(spark):
+    r = spark.createDataFrame([(1, 1, "A", "u", "g"), (1, 1, "A", "u", "g"), (2, 1, "A", "u", "g"), (3, 1, None, "u", "g"), (4, 1, None, "u", "g"), (5, None, "A", "u", "g"), (6, None, "A", "u", "g")], "read_id long, gem_group int, barcode string, umi string, gene string")
+    got = reads.mark_duplicates(r).groupBy("read_id").agg(F.sum(F.col("duplicate").cast("int"))).collect()
+    assert dict(map(tuple, got)) == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1}
+
+
+def test_barcodes_weigh_by_their_own_group(spark):
+    rows_ = [(1, 1, "AA", [30, 30]), (2, 2, "AA", [30, 30]), (3, 1, "AA", [3, 30])]
+    r = spark.createDataFrame(rows_, "read_id long, gem_group int, barcode string, barcode_qual array<int>")
+    listed = spark.createDataFrame([("CA",), ("AC",), ("AAC",), ("",)], "barcode string")
+    counts = spark.createDataFrame([(1, "CA", 9), (2, "AC", 9)], "gem_group int, barcode string, n long")
+    assert {x.read_id: x.corrected for x in reads.correct_barcodes(r, listed, counts, 0.9).collect()} == {1: "CA", 2: "AC", 3: "CA"}
+    assert {x.read_id: x.corrected for x in reads.correct_barcodes(r, listed, counts, 0.95).collect()} == {1: None, 2: None, 3: "CA"}
+
+
+def test_an_environment_has_one_row(spark):
+    items, env = spark.range(3), spark.createDataFrame([(7, None)], "bar int, other string")
+    assert rows(pairs.scatter_env(items, env)) == [(i, 7, None) for i in range(3)]
+    for bad in (env.limit(0), env.union(env)):
+        with pytest.raises(Exception, match="one row, not"):
+            pairs.scatter_env(items, bad).collect()
+
+
+def test_nested_scatter_checks_its_inner_side(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "MOST_INNER", 3)
+    assert pairs.nested_scatter(spark.range(2), spark.range(3).toDF("j"), F.lit(1)).count() == 6
+    with pytest.raises(ValueError, match="more than 3"):
+        pairs.nested_scatter(spark.range(2), spark.range(4).toDF("j"), F.lit(1))
+
+
+def test_ranks_of_a_hot_key_are_spread(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"), (F.col("id") % 50).alias("o"), "id")
+    ranked = positions.with_ranks(df, ["k"], [F.col("o")]).withColumn("part", F.spark_partition_id()).collect()
+    by_key = {}
+    for x in ranked:
+        by_key.setdefault(x.k, []).append(x)
+    assert len(ranked) == 2000 and len(by_key) == 8
+    for found in by_key.values():
+        found.sort(key=lambda x: x["rank"])
+        assert [x["rank"] for x in found] == list(range(len(found))) and [x.o for x in found] == sorted(x.o for x in found)
+
+
 def test_tasks(spark):
     df = spark.createDataFrame([("b",), ("a",)], "line string")
     assert rows(tasks.pipe_task(df, "tr ab xy")) == [("x",), ("y",)]
