@@ -145,8 +145,11 @@ def first_dominating(offers: DataFrame, demands: DataFrame, axes: list[str]) ->
         value = F.col(x).cast("double")
         return F.coalesce(F.when(F.isnan(value), F.lit(float("inf"))).otherwise(value), low[x]).alias(x)
 
-    plain = lambda df, last: stored(df.select("group", F.lit(0).alias("dead"), *map(number, axes), F.col(last).cast("long")), "axes")
+    plain = lambda df, last: df.select("group", F.lit(0).alias("dead"), *map(number, axes), F.col(last).cast("long"))
     o, d, found = plain(offers, "rank"), plain(demands, "id"), []
+    if o.select(F.lit(1)).union(d.select(F.lit(1))).count() <= LIMIT:
+        return _solved(o, d, axes).groupBy("id").agg(F.min("rank").alias("rank"))
+    o, d = stored(o, "axes"), stored(d, "axes")
     while True:
         sizes = o.select("group").union(d.select("group")).groupBy("group").agg(F.count("*").alias("n"))
         large = stored(sizes.where(F.col("n") > LIMIT).select("group"), "large")

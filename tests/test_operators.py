@@ -172,6 +172,42 @@ def test_graphs(spark):
     assert len(rows(graph.ancestors(cycle))) == 16 and len(rows(graph.ancestors(edges))) == 5
 
 
+def test_graphs_of_any_shape_equal_plain_walks(spark):
+    random.seed(21)
+    for n, cyclic in ((30, False), (30, True)):
+        edges = {(f"n{i}", f"n{random.randrange(i) if not cyclic or i % 9 else random.randrange(n)}") for i in range(1, n) for _ in range(random.choice([1, 1, 1, 2, 3]))}
+        deps = {f"n{i}": {d for a, d in edges if a == f"n{i}"} for i in range(n)}
+        levels, left = {}, dict(deps)
+        while now := [k for k, d in left.items() if all(x in levels for x in d)]:
+            levels |= {k: max([levels[x] + 1 for x in left[k]], default=0) for k in now}
+            for k in now:
+                del left[k]
+        nodes = spark.createDataFrame([(k,) for k in deps], "node string")
+        df = spark.createDataFrame(sorted(edges), "node string, dep string")
+        assert {r.node: r.level for r in graph.dependency_levels(nodes, df, "report").collect()} == {k: levels.get(k) for k in deps}
+        reach = {k: set(d) for k, d in deps.items()}
+        for _ in range(n):
+            reach = {k: d | {y for x in d for y in reach[x]} for k, d in reach.items()}
+        assert {tuple(r) for r in graph.ancestors(df).collect()} == {(k, x) for k, d in reach.items() for x in d}
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    nodes = spark.range(1, 100_001).toDF("node")
+    levels = graph.dependency_levels(nodes, nodes.where("node > 1").withColumn("dep", F.col("node") - 1))
+    assert levels.where("level <> node - 1 OR level IS NULL").count() == 0 and levels.count() == 100_000
+
+
+def test_tree_paths_of_nested_roots_cycles_and_deep_trees(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "c"), ("x", "y"), ("y", "x"), ("alone", "gone")], "node string, parent string")
+    roots = spark.createDataFrame([("a",), ("c",), ("top",)], "node string")
+    got = sorted((r.node, r.depth, "/".join(r.path)) for r in graph.tree_paths(edges, roots).collect())
+    assert got == [("a", 0, "a"), ("b", 1, "a/b"), ("c", 0, "c"), ("c", 2, "a/b/c"), ("d", 1, "c/d"), ("d", 3, "a/b/c/d"), ("top", 0, "top")]
+    assert graph.tree_paths(edges, roots, 3).count() == 7
+    for bad, depth in ((roots, 2), (spark.createDataFrame([("x",)], "node string"), 5)):
+        with pytest.raises(ValueError, match="deeper than"):
+            graph.tree_paths(edges, bad, depth).collect()
+
+
 def test_reads(spark):
     r = spark.createDataFrame([(1, 1, "AC", [30, 30], "u", "g"), (2, 1, "AG", [30, 2], "u", "g"), (3, 1, "TT", [30, 30], "u", "g"), (4, 1, None, None, "u", "g"), (5, 1, "AC", [30, 30], "u", "g")], "read_id long, gem_group int, barcode string, barcode_qual array<int>, umi string, gene string")
     listed = spark.createDataFrame([("AC",), ("GG",)], "barcode string")
