@@ -80,9 +80,11 @@ def read_scalar(spark, sf_dir):
     return text_sources.read_scalar(spark, path, "long").select(nation_of("file").alias("nation"), "value")
 
 
-@query("SELECT c_nationkey AS nation, sum(length(c_name) + 1)::DOUBLE / 1000 AS size FROM customer GROUP BY 1")
+@query("SELECT c_nationkey AS nation, sum(length(c_name) + 1)::DOUBLE / 1000 AS size FROM customer GROUP BY 1 UNION ALL SELECT 99, 0")
 def file_sizes(spark, sf_dir):
     path = customers_written(spark, sf_dir, F.col("c_name"))
+    empty = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/nation=99/empty.txt")
+    empty.getFileSystem(spark._jsc.hadoopConfiguration()).create(empty).close()
     found = text_sources.glob_files(spark, path, "*.txt")
     known = found.select("path")
     sized = text_sources.file_size(known, found).withColumn("nation", nation_of("path"))

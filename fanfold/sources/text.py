@@ -1,5 +1,5 @@
 """Text and file sources.  Spark skips empty files in its scans, so functions that count
-them take the list of files as a table."""
+them take the list of files as a table, which ``glob_files`` makes."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import coerce
 from ..operators.positions import stored
+from .listing import Listing, store_of
 
 SIZES = {"B": 1, "KB": 10**3, "MB": 10**6, "GB": 10**9, "TB": 10**12, "KIB": 2**10, "MIB": 2**20, "GIB": 2**30, "TIB": 2**40}
 
@@ -41,7 +42,13 @@ def read_scalar(spark: SparkSession, path, kind: str) -> DataFrame:
 
 def glob_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """``(path, name, size, modified)`` of regular files below ``root``; none is no error.
-    Empty files aren't seen."""
+
+    Tasks list the folders of a store that pyarrow opens (local, HDFS, S3, GCS), and empty
+    files have the size 0.  Any other store goes by Spark's own scan, which sees none of
+    these.  Names that begin with ``_`` or ``.`` are hidden, as to Spark."""
+    if store_of(root) is not None:
+        spark.dataSource.register(Listing)
+        return spark.read.format("folder_listing").option("pattern", pattern).load(root)
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
     return found.select("path", F.regexp_extract("path", "[^/]*$", 0).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 

@@ -278,7 +278,7 @@ def test_text_files(spark, tmp_path):
     assert rows(text_sources.read_tsv(spark, f"{root}/a.txt").select("row", "cells")) == [(0, ["11", "12"]), (1, ["21"])]
     assert text_sources.read_scalar(spark, f"{root}/b.txt", "int").first().value == 7
     seen = text_sources.glob_files(spark, root, "*.txt")
-    assert rows(seen.select("name", "size")) == [("a.txt", 9), ("b.txt", 2)] and text_sources.glob_files(spark, root, "*.none").count() == 0
+    assert rows(seen.select("name", "size")) == [("a.txt", 9), ("b.txt", 2), ("empty.txt", 0)] and text_sources.glob_files(spark, root, "*.none").count() == 0
     files = spark.createDataFrame([("a.txt",), ("empty.txt",)], "name string")
     assert rows(text_sources.file_size(files, seen, path="name")) == [("a.txt", 9.0), ("empty.txt", 0.0)]
     lines = text_sources.read_lines(spark, f"{root}/*.txt").withColumn("file", F.regexp_extract("file", "[^/]*$", 0))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fanfold.sources import text
+from fanfold.sources import listing, text
 from fanfold.streaming import rounds
 
 
@@ -78,3 +78,33 @@ def test_a_restart_goes_on_behind_the_last_round(spark, tmp_path):
     assert [r.x for r in out] == ["first"] * 10 + ["second"] * 10
     again = rounds.scatter_items(spark.range(20), ["id"], lambda df: df.withColumn("x", F.lit("third")), str(tmp_path), 5).collect()
     assert [r.x for r in again] == [r.x for r in out]
+
+
+def test_listing_sees_every_file_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listing, "FOLDERS", 3)
+    want = {}
+    for folder in ("", "a", "a/b", "a/b/c", "d e", "f"):
+        (tmp_path / folder).mkdir(exist_ok=True, parents=True)
+        for name, size in (("x.txt", 0), ("y.csv", 5), ("z.bam", 7), (".hidden.txt", 1), ("_SUCCESS", 0)):
+            path = tmp_path / folder / name
+            path.write_bytes(b"-" * size)
+            if not name.startswith((".", "_")):
+                want[f"file:{path}"] = size
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "x.txt").write_text("")
+    for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        found = text.glob_files(spark, root, "*")
+        assert {r.path: r.size for r in found.collect()} == want
+        assert found.count() == len(want) and found.rdd.getNumPartitions() > 1
+    assert {r.path for r in text.glob_files(spark, str(tmp_path), "*.{txt,bam}").collect()} == {p for p in want if p.endswith(("txt", "bam"))}
+    assert text.glob_files(spark, str(tmp_path), "*.none").collect() == []
+    # the same as Spark's own scan gives, but for empty files
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)).select("length", "modificationTime").collect()
+    seen = text.glob_files(spark, str(tmp_path), "*").where("size > 0").select("size", "modified").collect()
+    trimmed = lambda rows: sorted((n, t.replace(microsecond=t.microsecond // 1000 * 1000)) for n, t in rows)
+    assert trimmed(seen) == trimmed(own)
+
+
+def test_listing_leaves_other_stores_to_spark():
+    assert listing.store_of("viewfs://store/in") is None
+    assert listing.patterns("a{b,c}d[^e]") == ["abd[!e]", "acd[!e]"]
