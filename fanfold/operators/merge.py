@@ -73,11 +73,27 @@ def find_refs(df: DataFrame, cols: list[str], keys: list[str], is_ref=None) -> D
     return out.where(is_ref(F.col("ref")))
 
 
-def find_refs_in_json(df: DataFrame, column: str, keys: list[str], pattern: str = r'"(file-[A-Za-z0-9]+)"') -> DataFrame:
-    """Ids in raw JSON text, as rows."""
+def find_refs_in_text(df: DataFrame, column: str, keys: list[str], pattern: str) -> DataFrame:
+    """What the first group of a pattern matches in a text, as rows."""
     return df.select(*keys, F.explode(F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(1))).alias("ref"))
 
 
+def find_refs_in_json(df: DataFrame, column: str, keys: list[str], pattern: str = "file-[A-Za-z0-9]+", in_keys: bool = False) -> DataFrame:
+    """Text values of raw JSON at any depth that are ids as a whole, as rows ``(keys, ref)``;
+    with ``in_keys`` names of fields too.  Bad JSON is an error, null has no rows.
+
+    The JSON is parsed and written anew, so that each text in it is a run of plain and
+    escaped characters between quotes, and a name is one before a colon; escapes are undone
+    by parsing the text alone.  An id inside a longer text, or behind an escaped quote, is none."""
+    plain = F.to_json(F.parse_json(column))
+    texts = F.regexp_extract_all(plain, F.lit(r'("(?:[^"\\]|\\.)*+":?)'), F.lit(1))
+    named = F.endswith(F.col("_text"), F.lit(":"))
+    found = df.select(*keys, F.explode(texts).alias("_text"))
+    found = found if in_keys else found.where(~named)
+    ref = F.variant_get(F.parse_json(F.when(named, F.expr("left(_text, length(_text) - 1)")).otherwise(F.col("_text"))), "$", "string")
+    return found.select(*keys, ref.alias("ref")).where(F.rlike("ref", F.lit(f"^(?:{pattern})\\z")))
+
+
 def translate_refs(df: DataFrame, column: str, table: DataFrame, keys: list[str], required: bool = True, is_ref=None) -> DataFrame:
     """Replace the references in a column through ``table(ref, target)``, in text, arrays, maps
     (keys and values) and structs at any depth; ``is_ref`` tells which texts are references,

@@ -486,7 +486,20 @@ def typed_json_roundtrip(spark, sf_dir):
 
 @query("SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS ref FROM pages")
 def find_refs(spark, sf_dir):
-    return merge.find_refs_in_json(t(spark, sf_dir, "pages"), "html", ["page_id"], 'href="([^"]+)"')
+    return merge.find_refs_in_text(t(spark, sf_dir, "pages"), "html", ["page_id"], 'href="([^"]+)"')
+
+
+@query("""
+SELECT o_orderkey, 'file-' || o_orderkey AS ref FROM orders UNION ALL SELECT o_orderkey, 'file-' || o_custkey || 'x' FROM orders WHERE o_custkey % 2 = 0
+UNION ALL SELECT o_orderkey, 'file-deep' || o_custkey FROM orders WHERE o_orderkey % 3 = 0""")
+def find_refs_json(spark, sf_dir):
+    """Ids in JSON, beside the same ids in longer texts, behind escaped quotes and as names."""
+    o = t(spark, sf_dir, "orders")
+    order, customer = F.concat(F.lit("file-"), F.col("o_orderkey").cast("string")), F.concat(F.lit("file-"), F.col("o_custkey").cast("string"))
+    quoted = F.concat(F.lit('said "'), customer, F.lit('" \\'))
+    deep = F.array(F.struct(F.array(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("file-deep"), F.col("o_custkey").cast("string"))), quoted).alias("in")))
+    json = F.to_json(F.struct(order.alias("id"), quoted.alias("said"), F.concat(order, F.lit(" ")).alias("longer"), F.create_map(customer, F.when(F.col("o_custkey") % 2 == 0, F.concat(customer, F.lit("x")))).alias("named"), deep.alias("deep")))
+    return merge.find_refs_in_json(o.select("o_orderkey", json.alias("json")), "json", ["o_orderkey"])
 
 
 @query("SELECT c_custkey AS id, string_agg(CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'order-' || o_orderkey END, ',' ORDER BY o_orderkey) AS refs FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1")

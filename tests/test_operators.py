@@ -208,6 +208,26 @@ def test_tree_paths_of_nested_roots_cycles_and_deep_trees(spark):
             graph.tree_paths(edges, bad, depth).collect()
 
 
+def test_refs_in_json_are_whole_texts_at_any_depth(spark):
+    deep = "[" * 60 + '{"k": "file-deep"}' + "]" * 60
+    texts = [
+        None,
+        "{}",
+        '"file-1"',
+        '{"file-key": "no", "a": ["file-2", "x file-3", "file-4 ", "\\\\"], "b": {"c": "file-5"}}',
+        r'{"q": "say \"file-6\", \"", "r": "\\", "s": "file-7", "u": "\u0066ile-8", "n": 1.5, "t": true, "z": null}',
+        deep,
+        '["file-9", "file-9"]',
+        '{"x": "file-10\\n"}',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
+    got = rows(merge.find_refs_in_json(df, "j", ["id"]))
+    assert got == [(2, "file-1"), (3, "file-2"), (3, "file-5"), (4, "file-7"), (4, "file-8"), (5, "file-deep"), (6, "file-9"), (6, "file-9")]
+    assert (3, "file-key") in rows(merge.find_refs_in_json(df, "j", ["id"], in_keys=True))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        merge.find_refs_in_json(spark.createDataFrame([(1, "{")], "id int, j string"), "j", ["id"]).collect()
+
+
 def test_reads(spark):
     r = spark.createDataFrame([(1, 1, "AC", [30, 30], "u", "g"), (2, 1, "AG", [30, 2], "u", "g"), (3, 1, "TT", [30, 30], "u", "g"), (4, 1, None, None, "u", "g"), (5, 1, "AC", [30, 30], "u", "g")], "read_id long, gem_group int, barcode string, barcode_qual array<int>, umi string, gene string")
     listed = spark.createDataFrame([("AC",), ("GG",)], "barcode string")
