@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs, scalars
-from ..operators import catalog, filters, gather, merge, offers, pairs, positions, reads, tasks
+from ..operators import catalog, edits, filters, gather, merge, offers, pairs, positions, reads, tasks
 from ..sources import text as text_sources
 from ..sources import typed
 from ..streaming.rounds import chunked_scatter as run_rounds
@@ -376,6 +376,16 @@ def diff_tables(spark, sf_dir):
     return every.join(both, "side", "left").select("side", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+@query()
+def diff_documents(spark, sf_dir):
+    """Edit scripts between documents that begin alike, each and the next by id."""
+    d = t(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(40)).alias("head"), "text")
+    ranked = positions.stored(positions.with_ranks(d.where("head IS NOT NULL"), ["head"], [F.col("doc_id")]), "heads")
+    after = ranked.select("head", (F.col("rank") - 1).alias("rank"), F.col("doc_id").alias("next_id"), F.col("text").alias("right"))
+    pairs_ = ranked.withColumnRenamed("text", "left").join(after, ["head", "rank"])
+    return edits.diff_lines(pairs_, ["doc_id", "next_id"])
+
+
 @query("""
 SELECT conv_id, turn, a.size AS left, b.size AS right FROM (SELECT conv_id, turn, length(text) AS size FROM conversations WHERE turn % 2 = 0) a
 FULL JOIN (SELECT conv_id, turn - 1 AS turn, length(text) AS size FROM conversations WHERE turn % 2 = 1) b USING (conv_id, turn) WHERE a.size IS DISTINCT FROM b.size""")
