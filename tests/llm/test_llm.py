@@ -44,7 +44,7 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n != "op6_url_filter"])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in ("op6_url_filter", "op13_conversation_repair")])
 def test_odd_rows_and_empty_tables(spark, odd, tmp_path, name):
     for at, df in (("odd", odd), ("empty", odd.limit(0))):
         df.write.parquet(f"{tmp_path}/{at}/documents.parquet")
@@ -493,7 +493,7 @@ def test_five_megabytes_of_anything(spark, tmp_path):
     df.select("doc_id", F.concat("before", F.expr("repeat(unit, n)"), "after").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.decoded_sha256 for r in registry.op9_byte_bpe(spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts[:-1])}
-    # a run gives as many tokens as its halves where no token is cut
+    # the library itself still takes runs of this length
     enc = byte_bpe.encoder(public_tokenizers.path(registry.RANK_FILE), public_tokenizers.PATTERN)
     for t in (" " * 100_001 + "b", "x" + "\n" * 100_000, texts[-1][:104_000] + "y"):
         assert byte_bpe.encode_text(enc, t) == enc.encode_ordinary(t)
