@@ -393,3 +393,51 @@ def row_digest_nested(spark, sf_dir):
     one = o.select("o_orderkey", F.create_map(key, F.lit(1), F.lit("z"), none.cast("int")).alias("m"), F.struct(F.struct(y, x).alias("b"), status.alias("a")).alias("n"))
     other = o.select("o_orderkey", F.struct(status.alias("a"), F.struct(x, y).alias("b")).alias("n"), F.create_map(F.lit("z"), none.cast("int"), key, F.lit(1)).alias("m"))
     return one.select("o_orderkey", scalars.row_digest("m", "n").alias("digest")).union(other.select("o_orderkey", scalars.row_digest("n", "m").alias("digest")))
+
+
+@query("SELECT page_id AS path, CASE WHEN page_id IN (SELECT item_id FROM benchmark) THEN url END AS url FROM pages")
+def with_urls(spark, sf_dir):
+    """Outputs with their urls; those that weren't stored have none."""
+    p = t(spark, sf_dir, "pages").select(F.col("page_id").alias("path"), "url")
+    kept = p.join(t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("path")), "path", "left_semi")
+    return sets.with_urls(p.select("path"), kept)
+
+
+# order that the result can show
+
+
+@query("SELECT row_number() OVER (ORDER BY c_name) - 1 AS place, c_name AS line FROM customer")
+def sorted_sink(spark, sf_dir):
+    """The lines of the sorted sink's files, in the order of files and of lines."""
+    path = folder(spark, "sorted")
+    sinks.sort_lines(t(spark, sf_dir, "customer").repartition(8).select(F.col("c_name").alias("line")), path)
+    lines = text_sources.read_lines(spark, path, numbered=True)
+    return positions.with_positions(lines, [F.col("file"), F.col("line_no")], "place").select("place", "line")
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS place, o_orderkey::VARCHAR AS key_text, o_orderstatus AS status FROM orders")
+def ordered_tsv(spark, sf_dir):
+    """The rows of an ordered TSV sink, in the order of files and of lines."""
+    path = folder(spark, "ordered")
+    o = t(spark, sf_dir, "orders").repartition(8, "o_custkey").select("o_orderkey", F.array(F.col("o_orderkey").cast("string"), "o_orderstatus").alias("cells"))
+    sinks.write_tsv(o, "cells", path, [F.col("o_orderkey")])
+    rows = positions.with_positions(text_sources.read_tsv(spark, path), [F.col("file"), F.col("row")], "place")
+    return rows.select("place", F.get("cells", F.lit(0)).alias("key_text"), F.get("cells", F.lit(1)).alias("status"))
+
+
+@query(f"SELECT row_number() OVER (ORDER BY substr(barcode, 1, 5) NULLS LAST, barcode) - 1 AS place, barcode FROM ({READS})")
+def ordered_buckets(spark, sf_dir):
+    """Barcodes in the order in which bucket_sort_merge leaves its rows."""
+    ordered, _ = positions.bucket_sort_merge(event_reads(spark, sf_dir), reads.bucket(5), "barcode")
+    left = positions.stored(ordered.select("barcode", F.monotonically_increasing_id().alias("at")), "ordered")
+    return positions.with_positions(left, [F.col("at")], "place").select("place", "barcode")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price, true AS present FROM orders")
+def write_outputs_with_nulls(spark, sf_dir):
+    """Records of a fragment keep their null fields."""
+    path = folder(spark, "outputs")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("price"))
+    sinks.write_outputs(o, path, drop_nulls=False)
+    back = spark.read.text(path)
+    return back.select(F.get_json_object("value", "$.o_orderkey").cast("long").alias("o_orderkey"), F.get_json_object("value", "$.price").cast("double").alias("price"), F.contains("value", F.lit('"price":')).alias("present"))
