@@ -153,7 +153,8 @@ def join_str(arr, sep: str) -> Column:
 
 def split_url(url) -> Column:
     """Struct ``protocol, project, file_id, folder, name`` of ``dx://project:/folder/name``,
-    of ``dx://project:id::/folder/name`` and of plain paths; another protocol is an error."""
+    of ``dx://project:id::/folder/name`` and of plain paths; another protocol is an error.
+    Fixed value: the protocol's name."""
 
     def halves(u):
         protocol = F.regexp_extract(u, "^([a-z0-9]+)://", 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import fail_unless, split_url
 
+#: Classes of stored objects.
 CLASSES = ("record", "file", "applet", "workflow")
 #: Literal lists longer than this are joined, not compared one by one.
 LITERALS = 1000
