@@ -54,14 +54,30 @@ def row_if(df: DataFrame, cond: Column, fn: Callable[[DataFrame], DataFrame], ke
     return df.join(done.select(*keys, *new), keys, "left")
 
 
+def _supplied(text: Column, kind: str, name: str) -> Column:
+    from ..sources.typed import input_value
+
+    kind = T.DataType.fromDDL(kind)
+    if not isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return text.cast(kind)
+    shape = {T.ArrayType: r"^\s*\[", T.MapType: r"^\s*\{", T.StructType: r"^\s*[\[{]"}[type(kind)]
+    text = F.when(F.trim(text) != "null", text)
+    value = input_value(text, kind)
+    return fail_unless(text.isNull() | (text.rlike(shape) & F.get_json_object(text, "$").isNotNull() & value.isNotNull()), value, f"input {name} is not a {kind.simpleString()}")
+
+
 def bind_inputs(df: DataFrame, supplied: str, spec: list[tuple[str, str, str, str | None]]) -> DataFrame:
     """Resolve inputs from the ``map<string,string>`` column ``supplied`` by
     ``(name, type, kind, SQL default)``: *required* missing is an error, *default* missing
     takes the default (which may use inputs before it), *fixed* supplied is an error,
-    *optional* missing or null is null.  Present and null differ."""
+    *optional* missing or null is null.  Present and null differ.
+
+    Arrays, maps, pairs and structs are supplied as JSON text in the forms of input
+    records (``sources.typed.input_value``) and may nest; text that isn't of the type is
+    an error, JSON ``null`` is null."""
     m = F.col(supplied)
     for name, kind, how, default in spec:
-        there, value = F.map_contains_key(m, name), F.element_at(m, F.lit(name)).cast(kind)
+        there, value = F.map_contains_key(m, name), _supplied(F.element_at(m, F.lit(name)), kind, name)
         if how == "required":
             out = fail_unless(there & value.isNotNull(), value, f"missing input: {name}")
         elif how == "default":

@@ -147,6 +147,39 @@ def bind_inputs(spark, sf_dir):
     return exprs.bind_inputs(e, "supplied", spec).select("event_id", "who", "amount", "note", "version")
 
 
+@query("""
+SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS total, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END::BIGINT AS n,
+  o_orderpriority AS label, o_custkey % 7 AS level, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_custkey END AS inner_id FROM orders""")
+def bind_nested_inputs(spark, sf_dir):
+    """Arrays, pairs in both forms, maps and structs in structs, supplied as JSON text;
+    a default array is made of an input before it."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    none = F.create_map().cast("map<string,string>")
+    pair = F.when(key % 2 == 0, F.format_string('{"left":"%s","right":%d}', "o_orderpriority", customer % 7)).otherwise(F.format_string('["%s",%d]', "o_orderpriority", customer % 7))
+    orders = t(spark, sf_dir, "orders").withColumn(
+        "supplied",
+        F.map_concat(
+            F.create_map(F.lit("who"), customer.cast("string"), F.lit("pair"), pair),
+            F.when(key % 3 != 0, F.create_map(F.lit("parts"), F.format_string("[%d, %d]", customer, "o_orderkey"))).otherwise(none),
+            F.create_map(F.lit("tags"), F.when(key % 2 == 0, F.format_string('{"status":"%s","##":"a comment"}', "o_orderstatus")).otherwise("null")),
+            F.when(key % 5 == 0, F.create_map(F.lit("deep"), F.format_string('{"inner":{"ids":[%d]}}', customer))).otherwise(none),
+        ),
+    )
+    spec = [
+        ("who", "bigint", "required", None),
+        ("parts", "array<bigint>", "default", "array(who)"),
+        ("pair", "struct<left:string,right:bigint>", "required", None),
+        ("tags", "map<string,string>", "optional", None),
+        ("deep", "struct<inner:struct<ids:array<bigint>>>", "optional", None),
+    ]
+    total = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + x)
+    return exprs.bind_inputs(orders, "supplied", spec).select(
+        "o_orderkey", total.alias("total"), F.size("parts").cast("long").alias("n"), F.col("pair.left").alias("label"), F.col("pair.right").alias("level"),
+        F.try_element_at("tags", F.lit("status")).alias("status"), F.get("deep.inner.ids", F.lit(0)).alias("inner_id"),
+    )
+
+
 @query("""
 SELECT c_custkey AS key, coalesce(max(CASE WHEN o_orderstatus = 'P' THEN 'pending' END), max(o_orderpriority), c_mktsegment) AS value
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_mktsegment""")
@@ -320,10 +353,13 @@ def mask_prices(spark, sf_dir):
     return offers.mask_prices(part_offers(spark, sf_dir)).select("name", "price")
 
 
-@query(f"SELECT name, memory_mb, disk_gb, cpu, price FROM ({OFFERS}) WHERE memory_mb > 20 AND price > 950")
+@query(f"""
+SELECT name, memory_mb, disk_gb, cpu, paid AS price FROM ({OFFERS})
+JOIN (SELECT 'p' || l_partkey || CASE WHEN l_partkey % 2 = 0 THEN '_v2' ELSE '' END AS name, min(l_extendedprice) AS paid FROM lineitem GROUP BY l_partkey) USING (name)""")
 def price_join(spark, sf_dir):
-    o = part_offers(spark, sf_dir)
-    return offers.price_join(o.where("memory_mb > 20"), o.where("price > 950")).select("name", "memory_mb", "disk_gb", "cpu", "price")
+    """Parts with the least price that was paid for them; parts that nobody bought go."""
+    paid = t(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_extendedprice").alias("price"))
+    return offers.price_join(part_offers(spark, sf_dir), paid.select(offer_name().alias("name"), "price")).select("name", "memory_mb", "disk_gb", "cpu", "price")
 
 
 @query(f"SELECT memory_mb, arg_min(name, (price, CASE WHEN contains(name, '_v2') THEN 0 ELSE 1 END, name)) AS name FROM ({OFFERS}) GROUP BY memory_mb")
@@ -394,10 +430,12 @@ def diff_positions(spark, sf_dir):
     return sets.diff_by_position(c.where("turn % 2 = 0"), c.where("turn % 2 = 1").withColumn("turn", F.col("turn") - 1), ["conv_id", "turn"], "size")
 
 
-@query("SELECT event_id, user_id FROM events WHERE user_id IN (1, 2, 3, 5, 8) AND event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'view')")
+@query("""
+SELECT event_id, user_id FROM events WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')
+  AND event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'view')""")
 def union_children(spark, sf_dir):
     e = t(spark, sf_dir, "events")
-    return sets.union_children(e, [1, 2, 3, 5, 8], e.where("event_type = 'view'"), "user_id", "event_id").select("event_id", "user_id")
+    return sets.union_children(e, e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), "user_id", "event_id").select("event_id", "user_id")
 
 
 @query("""
@@ -454,10 +492,11 @@ def merge_counts(spark, sf_dir):
     return gather.merge_counts(part, "event_type")
 
 
-@query("SELECT n_nationkey AS slice, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey AND s_acctbal > 5000 GROUP BY 1")
+@query("SELECT c_custkey AS slice, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
 def count_per_slice(spark, sf_dir):
-    rows = t(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("slice"))
-    return gather.count_per_key(rows, "slice", t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("slice")))
+    """Orders of each customer, 0 for those without."""
+    rows = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("slice"))
+    return gather.count_per_key(rows, "slice", t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("slice")))
 
 
 @query("SELECT ((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 500)::BIGINT AS chunk, o_orderkey FROM orders")
@@ -659,9 +698,9 @@ def pipe_task(spark, sf_dir):
     return tasks.pipe_task(t(spark, sf_dir, "conversations"), "sed s/$/!/", "role")
 
 
-@query("SELECT o_orderkey, o_totalprice > 1000 AS over FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_totalprice > 1000 AS over, o_orderstatus = 'F' AS done FROM orders")
 def sub_flow(spark, sf_dir):
-    flow = lambda d, status="F", bar=0: d.where(F.col("o_orderstatus") == status).select("o_orderkey", (F.col("o_totalprice") > bar).alias("over"))
+    flow = lambda d, status="F", bar=0: d.select("o_orderkey", (F.col("o_totalprice") > bar).alias("over"), (F.col("o_orderstatus") == status).alias("done"))
     return pairs.sub_flow(t(spark, sf_dir, "orders"), flow, bar=1000)
 
 

@@ -35,9 +35,15 @@ def used_directly(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     return inputs.select("name").intersect(outputs.select("name"))
 
 
-def union_children(results: DataFrame, parents: list, excluded: DataFrame, parent: str = "parent_id", key: str = "id") -> DataFrame:
-    """Results of all parents, without the excluded jobs."""
-    return results.where(F.col(parent).isin(*parents)).join(excluded.select(key), key, "left_anti")
+def union_children(results: DataFrame, parents: list | DataFrame, excluded: DataFrame, parent: str = "parent_id", key: str = "id") -> DataFrame:
+    """Results of all parents, without the excluded jobs.  ``parents`` is a list, or a
+    frame with a column named as ``parent`` of any size; a parent named twice counts once,
+    and null is nobody's parent."""
+    if isinstance(parents, DataFrame):
+        children = results.join(parents.select(parent), parent, "left_semi")
+    else:
+        children = results.where(F.col(parent).isin(*parents))
+    return children.join(excluded.select(key), key, "left_anti")
 
 
 def diff_rows(a: DataFrame, b: DataFrame) -> DataFrame:

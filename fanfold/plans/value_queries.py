@@ -183,10 +183,9 @@ def rename_flat(spark, sf_dir):
 
 @query("""
 SELECT page_id, regexp_replace(url, '[\\x00-\\x1F\\x7F"''`\\\\]', ' ', 'g') AS clean, regexp_extract(url, '([^.]*)$', 1) AS last,
-  regexp_replace(url, '/[^/]*$', '') = regexp_replace(url || '?x', '/[^/]*$', '') AS same FROM pages WHERE url LIKE '%/%'""")
+  CASE WHEN contains(url, '/') THEN regexp_replace(url, '/[^/]*$', '') ELSE '' END = CASE WHEN contains(url, '/') THEN regexp_replace(url || '?x', '/[^/]*$', '') ELSE '' END AS same FROM pages""")
 def url_texts(spark, sf_dir):
-    p = t(spark, sf_dir, "pages").where("url LIKE '%/%'")
-    return p.select("page_id", scalars.clean_text("url").alias("clean"), scalars.unqualified("url").alias("last"), scalars.same_folder("url", F.concat("url", F.lit("?x"))).alias("same"))
+    return t(spark, sf_dir, "pages").select("page_id", scalars.clean_text("url").alias("clean"), scalars.unqualified("url").alias("last"), scalars.same_folder("url", F.concat("url", F.lit("?x"))).alias("same"))
 
 
 @query("SELECT event_id, (user_id % 5)::INT AS days, (event_id % 24)::INT AS hours, (event_id % 60)::INT AS minutes, ((user_id % 5) * 1440 + (event_id % 24) * 60 + event_id % 60)::INT AS total FROM events")

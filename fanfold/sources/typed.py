@@ -80,21 +80,21 @@ def read_inputs(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     out = []
     for f in schema.fields:
         raw = F.get_json_object(column, f"$['{f.name}']")
-        out.append(_input(raw, f.dataType).alias(f.name))
+        out.append(input_value(raw, f.dataType).alias(f.name))
     return df.select(*df.columns, *out)
 
 
-def _input(raw: Column, kind: T.DataType) -> Column:
+def input_value(raw: Column, kind: T.DataType) -> Column:
     """A value of input text: ``raw`` is the JSON (or plain) text of the value."""
     if isinstance(kind, T.StructType) and kind.names == ["left", "right"]:
         at = lambda name, i: F.coalesce(F.get_json_object(raw, f"$.{name}"), F.get_json_object(raw, f"$[{i}]"))
-        return F.when(raw.isNotNull(), F.struct(_input(at("left", 0), kind["left"].dataType).alias("left"), _input(at("right", 1), kind["right"].dataType).alias("right")))
+        return F.when(raw.isNotNull(), F.struct(input_value(at("left", 0), kind["left"].dataType).alias("left"), input_value(at("right", 1), kind["right"].dataType).alias("right")))
     if isinstance(kind, T.ArrayType):
         items = F.from_json(raw, T.ArrayType(T.StringType()))
-        return F.transform(items, lambda x: _input(x, kind.elementType))
+        return F.transform(items, lambda x: input_value(x, kind.elementType))
     if isinstance(kind, T.MapType):
         entries = F.map_filter(F.from_json(raw, T.MapType(T.StringType(), T.StringType())), lambda k, v: ~k.startswith("##"))
-        return F.map_from_arrays(F.transform(F.map_keys(entries), lambda k: k.cast(kind.keyType)), F.transform(F.map_values(entries), lambda v: _input(v, kind.valueType)))
+        return F.map_from_arrays(F.transform(F.map_keys(entries), lambda k: k.cast(kind.keyType)), F.transform(F.map_values(entries), lambda v: input_value(v, kind.valueType)))
     if isinstance(kind, T.StructType):
-        return F.when(raw.isNotNull(), F.struct(*(_input(F.get_json_object(raw, f"$['{f.name}']"), f.dataType).alias(f.name) for f in kind.fields)))
+        return F.when(raw.isNotNull(), F.struct(*(input_value(F.get_json_object(raw, f"$['{f.name}']"), f.dataType).alias(f.name) for f in kind.fields)))
     return raw.cast(kind)

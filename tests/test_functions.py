@@ -102,6 +102,14 @@ def test_with_exprs_and_binding(spark):
         exprs.bind_inputs(df, "m", [("z", "int", "required", None)]).collect()
     with pytest.raises(PySparkException):
         exprs.bind_inputs(df, "m", [("a", "int", "fixed", "1")]).collect()
+    spec = [("a", "array<struct<left:int,right:string>>", "required", None), ("b", "map<int,array<int>>", "optional", None), ("c", "array<int>", "default", "array(size(a))")]
+    rows = [({"a": '[[1,"x"],{"left":2,"right":"y"}]', "b": '{"7":[1,null]}'},), ({"a": "[]", "b": "null", "c": "[3]"},), ({"a": "[null]", "c": "null"},)]
+    nested = exprs.bind_inputs(spark.createDataFrame(rows, "m map<string,string>"), "m", spec).select("a", "b", "c")
+    assert sorted(map(repr, (r.asDict(recursive=True) for r in nested.collect()))) == sorted(map(repr, [
+        {"a": [{"left": 1, "right": "x"}, {"left": 2, "right": "y"}], "b": {7: [1, None]}, "c": [2]}, {"a": [], "b": None, "c": [3]}, {"a": [None], "b": None, "c": None}]))
+    for bad in ("[1", "{}", "7", "", "[x]"):
+        with pytest.raises(PySparkException):
+            exprs.bind_inputs(spark.createDataFrame([({"b": bad},)], "m map<string,string>"), "m", [("b", "array<int>", "optional", None)]).collect()
     with pytest.raises(ValueError):
         exprs.with_exprs(df, [("x", "y + 1", "int"), ("y", "x + 1", "int")])
     assert one(spark, exprs.coerce(F.lit("4.2"), "int")) == 4 and one(spark, exprs.coerce(F.lit(3.9), "int")) == 3
