@@ -6,8 +6,12 @@ stand on their own.  A credential of several parts (an access identifier, a secr
 an endpoint) is linked by an interval join: the parts of a document are dealt to
 the scopes of ``SCOPE`` characters that they touch, parts meet in a scope, and two
 link when at most ``REACH`` characters lie between them.  A secret that is weak by
-itself (a long mixed token) is reported only where it links to an access identifier
-or an endpoint, and an endpoint only where it links to one of the others.
+itself (a long mixed token of some entropy) is reported only where it links to an
+access identifier or an endpoint, and an endpoint only where it links to one of the others.
+
+Web texts are full of urls and of tokens inside them, so neither says much there: an
+endpoint is a host with a label of ``SERVICES`` or with a port of its own, and what
+stands inside a url is no weak secret.
 """
 
 from __future__ import annotations
@@ -23,10 +27,18 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ASSIGN_VALUE = 12
 #: The runs of these are maximal, so asking for their least length in the pattern
 #: finds what dropping short matches afterwards would leave.
-ACCESS, HEX, WEAK = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/_=-]{20,}"
+ACCESS, HEX = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}"
+#: A url is one match, so that no token is found inside it; it isn't kept.
+URL = r"""https?://[^\x20\x09-\x0D"'<>]++"""
+WEAK = URL + "|[A-Za-z0-9+/_=-]{20,}"
+#: Bits a character that a weak secret has at least.
+MIN_ENTROPY = 3.5
 #: A run of host characters is tried once, at its start, and never given back: a long run
 #: costs neither stack nor squared time.
 ENDPOINT = r"https?://[A-Za-z0-9.-]++(?::[0-9]++)?|(?<![a-z0-9.-])[a-z0-9.-]++(?<=[a-z0-9-]\.amazonaws\.com)"
+#: Host labels of services that credentials open, digits after them aside.
+SERVICES = ("amazonaws", "api", "auth", "blob", "console", "db", "gateway", "iam", "login", "oauth", "queue", "registry", "s3", "sso", "storage", "sts", "token", "vault")
+SERVICE = r"(?i)(?<=^|[/.-])(?:" + "|".join(SERVICES) + r")[0-9]*+(?=[.:-]|$)|:[0-9]++$"
 SCOPE = REACH = 200
 SPAN = "struct<start:int,rank:int,end:int>"
 #: Spans gathered before they are set aside: lists never grow one by one for long.
@@ -58,6 +70,13 @@ def spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
     return let(found, lambda m: F.when(F.size(m) == 0, empty).otherwise(let(F.split(text, pattern), lambda g: placed(m, g))))
 
 
+def entropy(text: Column) -> Column:
+    """Bits a character of a text that isn't empty."""
+    n = F.length(text)
+    share = lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n
+    return -F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), lambda a, c: a + let(share(c), lambda p: p * F.log2(p)))
+
+
 def text_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, doc, base, weak, endpoint)``: the spans of each text; ``doc`` is the
     digest of the text.  A null text has none."""
@@ -67,10 +86,10 @@ def text_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     t = F.col("t")
     has = lambda *xs: F.lit(False) if not xs else F.contains("low", F.lit(xs[0])) | has(*xs[1:])
     long_value = lambda x: F.length(F.regexp_extract(x, ASSIGN, 1)) >= ASSIGN_VALUE
-    mixed = lambda x: x.rlike("[0-9]") & x.rlike("[A-Z]") & x.rlike("[a-z]")
+    mixed = lambda x: ~x.rlike("^https?://") & x.rlike("[0-9]") & x.rlike("[A-Z]") & x.rlike("[a-z]") & (entropy(x) >= MIN_ENTROPY)
     assign = F.when(has("password", "passwd", "secret", "token", "apikey", "api_key"), spans(t, ASSIGN, "assign", long_value)).otherwise(empty)
     access = F.when(F.contains(t, F.lit("AKIA")), spans(t, ACCESS, "access")).otherwise(empty)
-    endpoint = F.when(has("://", ".amazonaws.com"), spans(t, ENDPOINT, "endpoint")).otherwise(empty)
+    endpoint = F.when(has("://", ".amazonaws.com"), spans(t, ENDPOINT, "endpoint", lambda x: x.rlike(SERVICE))).otherwise(empty)
     base = F.sort_array(F.concat(assign, access, spans(t, HEX, "hex")))
     return rows.select("id", F.xxhash64("t").alias("doc"), base.alias("base"), spans(t, WEAK, "weak", mixed).alias("weak"), endpoint.alias("endpoint"))
 
