@@ -24,6 +24,8 @@ from .common import stored
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 20_000
+#: Different labels that a model takes at most; beyond, fitting is refused.
+MAX_LANGUAGES = 1000
 TEXT_WEIGHT = 200.0
 DECLARED_RIGHT = 0.9
 #: Documents that a suffix's or the global distribution counts as in a prior.
@@ -78,9 +80,16 @@ def pages_as_documents(pages: DataFrame) -> DataFrame:
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
     """Fit the likelihoods by counting trigrams of a bounded sample of labelled rows.
-    What reaches the driver is one number per language and bucket."""
+
+    What reaches the driver is one number per language and bucket, so more than
+    MAX_LANGUAGES different labels are an error: such a column doesn't hold languages.
+    Rows without a label aren't fitted on, null and empty texts add nothing, texts of any
+    length are counted whole, repeated rows count as often as they stand there, further
+    columns aren't read, and without labelled rows no language is known."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), primary(F.col(label_col)).alias("label")).where("label IS NOT NULL")
-    counts = rows.groupBy("label").count().collect()
+    counts = rows.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels in {label_col}, as {sorted(r[0] for r in counts)[:5]}")
     languages = sorted(r[0] for r in counts)
     share = min(1.0, SAMPLE_ROWS / max(1, sum(r[1] for r in counts)))
     chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
