@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, stored
 
-#: A block has this many tokens, or fewer so that the mix has MIN_SLOTS slots at least.
-BLOCK_TOKENS, MIN_SLOTS = 1024, 1 << 18
+#: Tokens of a block, at every size of the corpus.
+BLOCK_TOKENS = 64
 #: Documents of a source are dealt to 16**BUCKET_HEX digest buckets.
 BUCKET_HEX = 3
 #: Slots whose ranks are counted together.
@@ -102,17 +102,21 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     return ranked.select("slot", "sid", (F.col("base") + F.col("inner")).alias("rank"))
 
 
-def pieces(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int | None = None) -> DataFrame:
+def pieces(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int = BLOCK_TOKENS, heads: bool = False) -> DataFrame:
     """``(sid, bucket, rn, doc_id, size, source_size, target, pass, slot, start, end)``: the
     mix, a row for each document's part in a slot, with the words ``[start, end)`` of the
     document; ``pass`` counts how often its source's stream has been repeated.  Rows that
     the mix takes nothing of stay once, with null ``slot``; ``(sid, bucket, rn)`` tells
     rows of ``docs(doc_id, text, source)`` apart.  A source ends at ``cap`` times its size,
-    should its slots ask for more."""
+    should its slots ask for more.
+
+    ``heads`` leaves the pieces of a document in one pass together, as one row with the
+    slot where they begin, for callers that don't cut documents at slots.  Larger blocks
+    make fewer slots; a source stays within a few blocks of its target."""
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     sources = stored(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
     total = sources.agg(F.sum("target")).first()[0] or 0
-    block = block_tokens or max(1, min(BLOCK_TOKENS, int(total / MIN_SLOTS)))
+    block = block_tokens
     slots = stored(schedule(sources, math.ceil(total / block)), "slots")
     given = slots.groupBy("sid").agg(F.count("*").alias("blocks"))
     until = F.least(F.coalesce("blocks", F.lit(0)) * block, F.floor(cap * F.col("source_size"))).cast("long").alias("until")
@@ -120,26 +124,29 @@ def pieces(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float =
     rows = token_stream(sized, sources)
     passes = F.when((F.col("until") > 0) & (F.col("size") > 0), F.sequence(F.lit(0).cast("long"), F.expr("(until - 1) div source_size")))
     rows = rows.withColumn("pass", F.explode_outer(passes)).withColumn("from", F.col("a") + F.col("pass") * F.col("source_size")).withColumn("to", F.least(F.col("from") + F.col("size"), F.col("until")))
-    hit = F.when(F.col("from") < F.col("to"), F.sequence(F.expr(f"`from` div {block}"), F.expr(f"(`to` - 1) div {block}")))
+    first, last = F.expr(f"`from` div {block}"), F.expr(f"(`to` - 1) div {block}")
+    taken = F.col("from") < F.col("to")
     # a pass that its source's end cuts off leaves no row but the document's first
-    rows = rows.where("`pass` IS NULL OR `pass` = 0 OR `from` < `to`").withColumn("rank", F.explode_outer(hit))
+    rows = rows.where("`pass` IS NULL OR `pass` = 0 OR `from` < `to`").withColumn("rank", F.when(taken, first) if heads else F.explode_outer(F.when(taken, F.sequence(first, last))))
     met = rows.join(slots, ["sid", "rank"], "left")
+    if heads:
+        return met.select("sid", "bucket", "rn", "doc_id", "size", "source_size", "target", "pass", "slot", F.lit(0).cast("long").alias("start"), (F.col("to") - F.col("from")).alias("end"))
     start = F.greatest(F.col("from"), F.col("rank") * block) - F.col("from")
     end = F.least(F.col("to"), (F.col("rank") + 1) * block) - F.col("from")
     return met.select("sid", "bucket", "rn", "doc_id", "size", "source_size", "target", "pass", "slot", start.alias("start"), end.alias("end"))
 
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, first_slot)`` per row of ``docs(doc_id,
     text, source)``: ``taken`` counts the words that the mix takes of the document, and
     ``first_slot`` is where the first of them stand.
 
     Null and empty texts have size 0 and are never taken; texts of any length are counted
     whole; null sources are a source of their own, the last; repeated rows each have their
-    own place, and ties in the shuffle are broken by id and size.  An empty table gives an
-    empty result.  Runs agree, as the shuffle is a digest order."""
+    own place, and ties in the shuffle are broken by id and size.  Further columns are not
+    read.  An empty table gives an empty result.  Runs agree, as the shuffle is a digest order."""
     words = F.when(F.col("slot").isNotNull(), F.col("end") - F.col("start"))
-    out = pieces(docs, weights, share, cap, block_tokens).groupBy("sid", "bucket", "rn", "doc_id", "size", "source_size", "target")
+    out = pieces(docs, weights, share, cap, block_tokens, heads=True).groupBy("sid", "bucket", "rn", "doc_id", "size", "source_size", "target")
     return out.agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.min("slot").alias("first_slot")).drop("sid", "bucket", "rn")
 
 
@@ -155,7 +162,7 @@ levels AS (
       / sum(w) OVER (ORDER BY ratio, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
 targets AS (
   SELECT sid, source, source_size, least(most, w * (SELECT arg_min(level, (ratio, sid)) FROM levels WHERE level <= ratio)) AS target FROM levels),
-whole AS (SELECT greatest(1, least(1024, floor(sum(target) / 262144)::BIGINT)) AS block, sum(target) AS total FROM targets),
+whole AS (SELECT 64 AS block, sum(target) AS total FROM targets),
 shares AS (SELECT sid, sum(target / (SELECT total FROM whole)) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) AS hi FROM targets WHERE target > 0),
 bounds AS (SELECT sid, coalesce(lag(hi) OVER (ORDER BY sid), 0.0) AS lo, CASE WHEN lead(sid) OVER (ORDER BY sid) IS NULL THEN 2.0 ELSE hi END AS hi FROM shares),
 points AS (

@@ -184,6 +184,15 @@ def test_posteriors_equal_brute_force(spark, sf_dir, docs):
         assert out[i].language == names[logs.index(max(logs))]
 
 
+def test_a_column_of_too_many_labels_is_refused(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 5)
+    assert len(language_id.fit(rows, "doc_id", "text", "lang").languages) == 5
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 4)
+    with pytest.raises(ValueError, match="more than 4 labels in lang"):
+        language_id.fit(rows, "doc_id", "text", "lang")
+
+
 def test_labels_are_compared_by_their_primary_part(spark):
     names = ["x" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(230)]
     rows = [(i, f"{x} " * 9, f"{x.upper()}-XX") for i, x in enumerate(names)]
@@ -414,6 +423,9 @@ def test_mix_meets_targets_and_limits(spark, docs):
     out = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()
     assert (out["taken"] <= 2 * out["size"]).all() and out["source"].nunique() > 3
     for _, g in out.groupby("source", dropna=False):
+        assert abs(g["taken"].sum() - g["target"].iloc[0]) <= 3 * mixing.BLOCK_TOKENS
+    fine = mixing.mix(docs, block_tokens=1).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    for _, g in fine.groupby("source", dropna=False):
         assert abs(g["taken"].sum() - g["target"].iloc[0]) <= max(8, 0.01 * g["target"].iloc[0])
     again = mixing.mix(docs.repartition(3)).toPandas()
     assert rows_of(out.drop(columns="source")) == rows_of(again)
@@ -430,6 +442,16 @@ def test_pieces_cover_what_is_taken_in_slot_order(spark, docs):
         assert ((part.reindex(share.index, fill_value=0) - n * share).abs() <= 4).all()
 
 
+@pytest.mark.parametrize("block", [7, 64, 1024])
+def test_heads_are_the_pieces_of_a_pass_together(spark, docs, block):
+    keys = ["sid", "bucket", "rn", "doc_id", "pass"]
+    cut, heads = (mixing.pieces(docs, block_tokens=block, heads=h).where("slot IS NOT NULL") for h in (False, True))
+    want = cut.groupBy(keys).agg(F.min("slot").alias("slot"), F.sum(F.col("end") - F.col("start")).alias("n"))
+    assert rows_of(heads.select(*keys, "slot", F.col("end").alias("n")).toPandas()) == rows_of(want.toPandas())
+    out = heads.groupBy("sid", "target").agg(F.sum("end").alias("n")).toPandas()
+    assert ((out["n"] - out["target"]).abs() <= 3 * block).all()
+
+
 def test_the_schedule_decides(spark, docs, monkeypatch):
     plain = mixing.mix(docs).toPandas()
     monkeypatch.setattr(mixing, "GOLDEN", 0.0)
