@@ -80,8 +80,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     words to take and go, as do documents beyond their source's share; repeated rows are
     each taken in their own place."""
     key = row_key()
-    mix = mixing.pieces(docs.select(key.alias("doc_id"), "text", "source")).where("slot IS NOT NULL")
-    taken = mix.groupBy("sid", "bucket", "rn", "pass", F.col("doc_id").alias("key"), "size").agg(F.min("slot").alias("slot"), F.sum(F.col("end") - F.col("start")).cast("int").alias("n"))
+    mix = mixing.pieces(docs.select(key.alias("doc_id"), "text", "source"), heads=True).where("slot IS NOT NULL")
+    taken = mix.select(F.col("doc_id").alias("key"), "size", "slot", F.col("end").cast("int").alias("n"))
     once = docs.withColumn("k", key).dropDuplicates(["k"])
     met = once.join(taken, F.col("k") == F.col("key"))
     cut = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("n")), " ")
