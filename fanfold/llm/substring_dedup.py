@@ -37,6 +37,10 @@ BUFFER_BYTES = 1 << 20
 HOT = 4096
 #: Ids that have several texts are broadcast up to this many.
 BROADCAST_ROWS = 100_000
+#: Hot anchors are collected and broadcast up to this many (8 MB); beyond, they are joined.
+BROADCAST_ANCHORS = 1 << 20
+#: The documents of one anchor meet it in so many groups.
+SALTS = 64
 LAST_ID = (1 << 63) - 1
 
 
@@ -121,12 +125,12 @@ def _segments_of(texts: list[bytes], hot=None):
     return [np.concatenate(c) for c in zip(*found, strict=True)]
 
 
-def hot_anchors(docs: DataFrame):
-    """Sorted array of the anchors with more than HOT segments, as far as several different
-    ones meet in an input batch; at most one for HOT segments of the corpus."""
-    import numpy as np
+def hot_anchors(docs: DataFrame) -> DataFrame:
+    """``(anchor)``: those with more than HOT segments, as far as several different ones
+    meet in an input batch; at most one for HOT segments of the corpus."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
@@ -141,14 +145,42 @@ def hot_anchors(docs: DataFrame):
             yield pa.RecordBatch.from_arrays([pa.array(anchor[n > 1]), pa.array(n[n > 1])], ["anchor", "n"])
 
     counts = docs.select("bytes").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    return np.sort(counts.where(F.col("n") > HOT).select("anchor").toPandas()["anchor"].to_numpy(dtype=np.int64))
+    return counts.where(F.col("n") > HOT).select("anchor")
+
+
+def with_own_hot(docs: DataFrame, hot: DataFrame) -> DataFrame:
+    """``docs(key, doc, bytes)`` with ``hot``: the anchors of ``hot`` that each document has.
+    Nothing is broadcast; the documents of one anchor are dealt to SALTS groups."""
 
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
 
-def scan(docs: DataFrame, hot) -> DataFrame:
+        for batch in batches:
+            keys, docs_ = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if not len(keys):
+                continue
+            own, _, _, anchor, _ = _segments_of(batch.column(2).to_pylist())
+            order = np.lexsort((anchor, own))
+            own, anchor = own[order], anchor[order]
+            new = np.ones(len(own), dtype=bool)
+            new[1:] = (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])
+            own, anchor = own[new], anchor[new]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own]), pa.array(docs_[own]), pa.array(anchor)], ["key", "doc", "anchor"])
+
+    salt = F.pmod(F.xxhash64("key", "doc"), F.lit(SALTS)).cast("int")
+    held = docs.select("key", "doc", "bytes").mapInArrow(run, "key long, doc long, anchor long").withColumn("salt", salt)
+    dealt = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = held.join(dealt, ["anchor", "salt"]).groupBy("key", "doc").agg(F.collect_set("anchor").alias("hot"))
+    return docs.join(own, ["key", "doc"], "left").select("key", "doc", "bytes", "hot")
+
+
+def scan(docs: DataFrame, hot=None) -> DataFrame:
     """``(anchor, digest, key, doc, start, windows, copy)`` from ``docs(key, doc, bytes)``;
     ``copy``: the same segment starts earlier in the same input batch.  Repeated rows of one
     document give its segments once a batch; copies in a row are one row.  ``hot`` is a
-    broadcast of ``hot_anchors``."""
+    broadcast of the sorted hot anchors; without it ``docs`` has a column of them, so that
+    those of a batch are all that its texts can meet."""
 
     def run(batches):
         import numpy as np
@@ -158,7 +190,8 @@ def scan(docs: DataFrame, hot) -> DataFrame:
             keys, docs_ = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             if not len(keys):
                 continue
-            own, start, windows, anchor, digest = _segments_of(batch.column(2).to_pylist(), hot.value)
+            names = hot.value if hot is not None else np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False))
+            own, start, windows, anchor, digest = _segments_of(batch.column(2).to_pylist(), names)
             key, doc = keys[own], docs_[own]
             order = np.lexsort((start, doc, key, digest, anchor))
             anchor, digest, key, doc, start, windows = (c[order] for c in (anchor, digest, key, doc, start, windows))
@@ -244,24 +277,23 @@ def sorted_blocks(cut: DataFrame) -> DataFrame:
     return cut.groupBy("block").applyInArrow(run, "key long, doc long, start int, windows int")
 
 
-def _merged(windows):
-    """Sorted runs of windows as the maximal spans of bytes that they cover."""
-    span = "struct<start:int,end:int>"
-    zero = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast(f"array<{span}>").alias("done"))
-
-    def step(acc, w):
-        end = w["start"] + w["windows"] - 1 + LENGTH
-        on = w["start"] <= acc["end"]
-        done = F.when(on | (acc["end"] < 0), acc["done"]).otherwise(F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))))
-        return F.struct(F.when(on, acc["start"]).otherwise(w["start"]).alias("start"), F.greatest(acc["end"], end).alias("end"), done.alias("done"))
-
-    return F.aggregate(windows, zero, step, lambda acc: F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))))
+def _spans(windows: DataFrame) -> DataFrame:
+    """``(key, doc, spans)``: runs of windows as the maximal spans of bytes that they cover,
+    in order; one shuffle, by document."""
+    ordered = Window.partitionBy("key", "doc").orderBy("start")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    runs = windows.select("key", "doc", "start", (F.col("start") + F.col("windows") - 1 + LENGTH).cast("int").alias("end"))
+    runs = runs.withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1))
+    runs = runs.withColumn("span", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = runs.groupBy("key", "doc", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy("key", "doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-def _without(raw, spans):
-    zero = F.struct(F.lit(0).alias("at"), F.lit(b"").alias("out"))
-    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(raw, acc["at"] + 1, s["start"] - acc["at"])).alias("out"))
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(raw, acc["at"] + 1, F.length(raw))))
+def _without(raw: str):
+    """The bytes of column ``raw`` outside its ``spans``, joined once as hexadecimal text."""
+    froms = F.concat(F.array(F.lit(0)), F.col("spans.end"))
+    to = F.concat(F.col("spans.start"), F.array(F.octet_length(raw)))
+    return F.unhex(F.array_join(F.zip_with(froms, to, lambda a, b: F.hex(F.substring(F.col(raw), a + 1, b - a))), ""))
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -285,10 +317,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Ids are whole numbers, and smaller ids are earlier.  Rows of one id and text are one
     document and get the same spans.  Different texts of one id are documents of their own,
     by their digests; so are the texts without an id, which come last.  A null text has no
-    bytes, and one of under LENGTH bytes keeps all."""
+    bytes, and one of under LENGTH bytes keeps all.  Texts of any length are read whole, in
+    time that grows with their bytes and spans; further columns are not read; an empty table
+    gives an empty result."""
     text = _documents(docs, id_col, text_col)
-    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(text))
-    found = scan(text.select("key", "doc", "bytes"), hot)
+    hot = stored(hot_anchors(text), "hot")
+    if hot.count() <= BROADCAST_ANCHORS:
+        names = hot.orderBy("anchor").toPandas()["anchor"].to_numpy(dtype="int64")
+        found = scan(text.select("key", "doc", "bytes"), docs.sparkSession.sparkContext.broadcast(names))
+    else:
+        found = scan(with_own_hot(text, hot))
     apart = F.when(F.col("copy"), F.xxhash64("key", "doc", "start")).otherwise(F.lit(0))
     found = found.withColumn("apart", apart)
     of_anchor, of_segment = Window.partitionBy("anchor", "apart"), Window.partitionBy("anchor", "apart", "digest")
@@ -308,8 +346,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = text.select("key", "doc", "bytes", "id")
     more = sorted_blocks(cut_out(texts.join(todo, ["key", "doc"]).dropDuplicates(["key", "doc"]), 1 + size // BLOCK_BYTES))
     every = marks.where("covered").select("key", "doc", "start", "windows").unionByName(more)
-    by_doc = every.groupBy("key", "doc").agg(F.sort_array(F.collect_set(F.struct("start", "windows"))).alias("runs"))
-    spans = F.when(F.col("runs").isNull(), F.array().cast("array<struct<start:int,end:int>>")).otherwise(_merged(F.col("runs")))
-    done = texts.join(by_doc, ["key", "doc"], "left").select("id", "bytes", spans.alias("spans"))
-    kept = F.when(F.size("spans") == 0, F.col("bytes")).otherwise(_without(F.col("bytes"), F.col("spans")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    done = texts.join(_spans(every), ["key", "doc"], "left").select("id", "bytes", F.coalesce("spans", none).alias("spans"))
+    kept = F.when(F.size("spans") == 0, F.col("bytes")).otherwise(_without("bytes"))
     return done.select(F.col("id").alias(id_col), F.octet_length("bytes").cast("long").alias("n_bytes"), "spans", kept.alias("kept"))

@@ -238,8 +238,9 @@ def covered(rows):
     return out
 
 
-@pytest.mark.parametrize("hot,block", [(4096, 2 << 20), (3, 4000)])
-def test_repeats_equal_brute_force(spark, monkeypatch, hot, block):
+@pytest.mark.parametrize("hot,block,most", [(4096, 2 << 20, 1 << 20), (3, 4000, 1 << 20), (3, 4000, -1)])
+def test_repeats_equal_brute_force(spark, monkeypatch, hot, block, most):
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ANCHORS", most)
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", block)
     random.seed(6)
@@ -272,7 +273,20 @@ def test_repeated_rows_and_null_ids_are_documents(spark, parts):
     assert sorted((str(r[0]), r[1], [tuple(x) for x in r[2]], bytes(r[3])) for r in got) == sorted((str(i), *want[order.index((i, t))]) for i, t in rows)
 
 
-def test_a_passage_of_many_documents_is_not_one_group(spark, monkeypatch):
+def test_a_long_text_of_many_repeats(spark):
+    random.seed(12)
+    word = lambda n: "".join(random.choice("abcdefghé ") for _ in range(n))
+    known = [word(120) for _ in range(150)]
+    text = "".join(word(90) + random.choice(known) for _ in range(5000))
+    rows = [(1, word(50).join(known)), (2, text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: (r[1], [tuple(x) for x in r[2]], bytes(r[3])) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == covered(rows) and len(got[2][1]) == 5000
+
+
+@pytest.mark.parametrize("most", [1 << 20, -1])
+def test_a_passage_of_many_documents_is_not_one_group(spark, monkeypatch, most):
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ANCHORS", most)
     monkeypatch.setattr(substring_dedup, "HOT", 20)
     monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 4000)
     sizes, plain = [], substring_dedup.sorted_blocks
