@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators.positions import with_positions
 
+#: Rounds of items that the stream's log notes together.
+BATCH_ROUNDS = 64
+
 
 def chunked_scatter(spark: SparkSession, source: str, schema, fn: Callable[[DataFrame], DataFrame], work: str, files_per_round: int = 1, fmt: str = "parquet") -> DataFrame:
     """Run ``fn`` on at most ``files_per_round`` files a round until the source is read, and
@@ -40,40 +43,47 @@ def scatter_items(df: DataFrame, order: list, fn: Callable[[DataFrame], DataFram
     ``seq``, which ``fn`` keeps; the result is all rounds' rows in that order with their
     ``batch_id``.  An empty table gives an empty result with its schema.
 
-    The stream is one of positions, so many a micro-batch, and its checkpoint in ``work``
-    tells how far it came: a restart goes on behind the last round that ended, and a round
-    that runs again replaces what it wrote.  The numbered rows are written once, sorted by
-    position, and a round reads only the files and row groups that hold its positions.  The
-    number of items can't change on a restart."""
+    The stream is one of positions, ``BATCH_ROUNDS`` rounds a micro-batch, one after another,
+    and its checkpoint in ``work`` tells how far it came: a restart goes on behind the last
+    round that ended, and a round that runs again replaces what it wrote.  The numbered rows
+    are written once, by micro-batch and position, and a round reads only the files of its
+    micro-batch and of these the row groups that hold its positions, so what a round costs
+    doesn't grow with the table.  The number of items can't change on a restart."""
     if not 0 < items_per_round <= most:
         raise ValueError(f"{items_per_round} items a round: must be 1 to {most}")
-    spark, base = df.sparkSession, os.path.join(work, f"items-{items_per_round}")
+    spark, base = df.sparkSession, os.path.join(work, f"rounds-of-{items_per_round}")
     source, sink = os.path.join(base, "source"), os.path.join(base, "rounds")
     rows = with_positions(df, order)
-    whole = spark._jvm.org.apache.hadoop.fs.Path(source, "_SUCCESS")  # a write that broke off has none and is done anew
-    if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
-        rows.repartitionByRange("seq").sortWithinPartitions("seq").write.mode("overwrite").parquet(source)
-    rows = spark.read.schema(rows.schema).parquet(source)
-    rounds = -(-rows.count() // items_per_round)
-
-    def round_of(batch_id: int) -> DataFrame:
-        start = batch_id * items_per_round
-        items = rows.where(F.col("seq").between(start, start + items_per_round - 1))
-        return fn(items.repartition(tasks, "seq")).withColumn("batch_id", F.lit(batch_id).cast("long"))
-
-    def run(_: DataFrame, batch_id: int) -> None:
-        if batch_id < rounds:
-            round_of(batch_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink)
-
-    schema = round_of(0).schema
-    ended = os.path.join(base, "progress", "commits", str(rounds - 1))
-    path = spark._jvm.org.apache.hadoop.fs.Path(ended)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if rounds and not files.exists(path):
-        stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", items_per_round).option("numPartitions", 1).load()
+
+    def there(path: str, *names: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, *names))
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    if not there(source, "_SUCCESS"):  # a write that broke off has none and is done anew
+        batch = F.floor(F.col("seq") / (items_per_round * BATCH_ROUNDS)).alias("_micro_batch")
+        rows.select("*", batch).repartitionByRange("seq").sortWithinPartitions("seq").write.mode("overwrite").partitionBy("_micro_batch").parquet(source)
+    rounds = -(-spark.read.schema(rows.schema).parquet(source).count() // items_per_round)
+    batches = -(-rounds // BATCH_ROUNDS)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if batch_id >= batches:
+            return
+        own = batch.sparkSession  # the stream's; planning anew within a round costs more than it saves
+        own.conf.set("spark.sql.adaptive.enabled", "false")
+        met = own.read.schema(rows.schema).parquet(os.path.join(source, f"_micro_batch={batch_id}"))
+        for i in range(batch_id * BATCH_ROUNDS, min(rounds, (batch_id + 1) * BATCH_ROUNDS)):
+            path = os.path.join(sink, f"batch_id={i}")
+            if not there(path, "_SUCCESS"):
+                items = met.where(F.col("seq").between(i * items_per_round, (i + 1) * items_per_round - 1))
+                fn(items.repartition(tasks, "seq")).write.mode("overwrite").parquet(path)
+
+    schema = fn(rows.where("false")).withColumn("batch_id", F.lit(0).cast("long")).schema
+    ended = ("progress", "commits", str(batches - 1))
+    if rounds and not there(base, *ended):
+        stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", items_per_round * BATCH_ROUNDS).option("numPartitions", 1).load()
         query = stream.writeStream.foreachBatch(run).option("checkpointLocation", os.path.join(base, "progress")).start()
         while not query.awaitTermination(0.2):  # a round that fails raises here
-            if files.exists(path):
+            if there(base, *ended):
                 query.stop()
                 break
     if not rounds:

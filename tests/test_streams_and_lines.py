@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fanfold.sources import listing, text
@@ -55,6 +56,21 @@ def test_rounds_hold_exactly_n_items_in_several_tasks(spark, tmp_path):
     assert all(len({r.task for r in out if r.batch_id == b}) > 1 for b in range(4))
 
 
+def test_a_round_reads_the_files_of_its_micro_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rounds, "BATCH_ROUNDS", 3)
+    seen = []
+
+    def fn(df):
+        seen.append(len(df.inputFiles()))
+        return df.withColumn("n", F.count("*").over(Window.partitionBy()))
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    out = rounds.scatter_items(spark.range(200), ["id"], fn, str(tmp_path), 5).collect()
+    assert [(r.seq, r.batch_id, r.n) for r in out] == [(i, i // 5, 5) for i in range(200)]
+    assert len(seen) == 41 and max(seen[1:]) <= 2  # of 14 micro-batches; the first call is for the schema
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+
+
 def test_empty_tables_have_no_rounds(spark, tmp_path):
     fn = lambda df: df.withColumn("twice", F.col("id") * 2)
     out = rounds.scatter_items(spark.range(0), ["id"], fn, str(tmp_path / "items"), 5)
