@@ -20,6 +20,8 @@ AXES = ("memory_mb", "disk_gb", "cpu")
 RELEASE, BARRED, TEST, LEAST_MEMORY, LEAST_CPU = "16.04", ("fpga", "hdd"), "test", 3072, 2
 #: Sizes of the steps in which offers without prices are compared.
 MEMORY_STEP, DISK_STEP = 1024, 16
+#: Rows of pairs that a task sorts or groups at once.
+PART_ROWS = 1 << 20
 
 
 def parse_request(requests: DataFrame, memory: str = "memory", disks: str = "disks", cpu: str = "cpu", gpu: str = "gpu") -> DataFrame:
@@ -123,16 +125,25 @@ def cheapest_offer(requests: DataFrame, offers: DataFrame, axes: tuple[str, ...]
     return out.withColumn("offer", F.coalesce("offer", F.raise_error(F.lit("no offer satisfies a request"))))
 
 
-def dominated(pairs: DataFrame, offers: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def dealt(df: DataFrame, n_rows: int, key: str) -> DataFrame:
+    """``df`` in as many parts by ``key`` as ``n_rows`` rows need, so that what a task sorts
+    or groups doesn't grow with the table; as it is where the session's shuffle partitions
+    are enough."""
+    n = n_rows // PART_ROWS + 1
+    return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def dominated(pairs: DataFrame, offers: DataFrame, a: str = "a", b: str = "b", n_pairs: int = 0) -> DataFrame:
     """Add ``leq``: offer ``a`` has at most what offer ``b`` has, on all axes; false for an
-    unknown name."""
+    unknown name.  ``n_pairs``, a bound on the rows of ``pairs``, keeps the tasks of large
+    tables small."""
     left = offers.select(F.col("name").alias(a), *(F.col(x).alias(f"_a_{x}") for x in AXES))
     right = offers.select(F.col("name").alias(b), *(F.col(x).alias(f"_b_{x}") for x in AXES))
     leq = F.lit(True)
     for x in AXES:
         leq = leq & (F.col(f"_a_{x}") <= F.col(f"_b_{x}"))
-    out = pairs.join(left, a, "left").join(right, b, "left").withColumn("leq", F.coalesce(leq, F.lit(False)))
-    return out.select(*pairs.columns, "leq")
+    met = dealt(dealt(pairs, n_pairs, a).join(left, a, "left"), n_pairs, b).join(right, b, "left")
+    return met.withColumn("leq", F.coalesce(leq, F.lit(False))).select(*pairs.columns, "leq")
 
 
 def minimal_offer(requests: DataFrame, offers: DataFrame, mode: str = "fail") -> DataFrame:

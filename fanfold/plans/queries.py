@@ -307,9 +307,9 @@ def group_versions(spark, sf_dir):
 # offers
 
 
-def offer_name():
+def offer_name(key="p_partkey"):
     """The name of a part's offer: every other one is of the second version."""
-    return F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, "_v2").otherwise(""))
+    return F.concat(F.lit("p"), F.col(key).cast("string"), F.when(F.col(key) % 2 == 0, "_v2").otherwise(""))
 
 
 def part_offers(spark, sf_dir) -> DataFrame:
@@ -373,10 +373,15 @@ n AS (SELECT p_partkey, 'p' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '_v
 SELECT a.name AS a, b.name AS b, a.memory_mb <= b.memory_mb AND a.disk_gb <= b.disk_gb AND a.cpu <= b.cpu AS leq
 FROM q JOIN n na ON na.p_partkey = x JOIN n nb ON nb.p_partkey = y JOIN o a ON a.name = na.name JOIN o b ON b.name = nb.name""")
 def dominated(spark, sf_dir):
-    named = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), offer_name().alias("name"))
-    met = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct().join(named, "l_partkey").select("l_orderkey", "name")
-    both = met.withColumnRenamed("name", "a").join(met.withColumnRenamed("name", "b"), "l_orderkey").select("a", "b").distinct()
-    return offers.dominated(both, part_offers(spark, sf_dir))
+    """Pairs are told by the parts' numbers until each is there once, and then get names."""
+    part = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
+    lines = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    met = positions.stored(offers.dealt(lines, lines.count(), "l_partkey").distinct().join(part.distinct(), "l_partkey"), "met")
+    made = met.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+    met = offers.dealt(met, made, "l_orderkey")
+    both = met.withColumnRenamed("l_partkey", "x").join(met.withColumnRenamed("l_partkey", "y"), "l_orderkey").select("x", "y")
+    both = offers.dealt(both, made, "x").distinct().select(offer_name("x").alias("a"), offer_name("y").alias("b"))
+    return offers.dominated(both, part_offers(spark, sf_dir), n_pairs=made)
 
 
 # sets and changes

@@ -6,6 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import rows_of
+
 from fanfold.operators import catalog, filters, gather, merge, offers, pairs, positions, reads, tasks
 from fanfold.plans import graph, sets
 from fanfold.sources import sinks
@@ -349,3 +351,12 @@ def test_rounds_of_items(spark, tmp_path):
     assert out.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 4
     with pytest.raises(ValueError):
         rounds.scatter_items(spark.range(1), ["id"], fn, str(tmp_path / "other"), 1001)
+
+
+def test_large_pairs_are_dealt_to_more_tasks(spark, sf_dir, duck, monkeypatch):
+    from fanfold.plans import queries
+
+    monkeypatch.setattr(offers, "PART_ROWS", 1000)
+    out = queries.dominated(spark, sf_dir)
+    assert rows_of(out.toPandas()) == rows_of(duck.execute(queries.ORACLE_SQL["dominated"]).df())
+    assert out.rdd.getNumPartitions() > 10  # the session has 4 shuffle partitions
