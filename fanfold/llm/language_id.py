@@ -159,7 +159,8 @@ def host_priors(scored: DataFrame, n_languages: int) -> DataFrame:
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang", host_col: str = "source", with_rows: bool = False) -> DataFrame:
     """``(id, doc, language, posterior, text_language, kept)`` per row of ``docs``; ``doc``
     is the digest of the text.  ``with_rows`` adds the row itself as the struct ``row``, so
-    that a verdict needs no join to meet its text.
+    that a verdict needs no join to meet its text; texts are then scored twice and not
+    stored.
 
     A text without letters is not kept, nor one whose best posterior is under
     MIN_POSTERIOR.  A null declaration or one that the model doesn't know says nothing;
@@ -181,8 +182,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     if not k:
         none = F.lit(None).cast("string")
         return base.select(F.col("id").alias(id_col), "doc", none.alias("language"), F.lit(0.0).alias("posterior"), none.alias("text_language"), F.lit(False).alias("kept"), *row)
-    scored = stored(text_evidence(base, model, "t").drop("t"), "evidence")
-    priors = stored(host_priors(scored, k), "priors")
+    if with_rows:
+        # the evidence isn't stored with the rows, as that copy of all texts would stay on disk
+        priors = stored(host_priors(text_evidence(base.drop("row"), model, "t"), k), "priors")
+        scored = text_evidence(base, model, "t").drop("t")
+    else:
+        scored = stored(text_evidence(base, model, "t").drop("t"), "evidence")
+        priors = stored(host_priors(scored, k), "priors")
     # hosts are few as a rule, and then the rows needn't be shuffled to meet them
     priors = F.broadcast(priors) if priors.count() <= BROADCAST_HOSTS else priors
     met = scored.join(priors, F.col("host").eqNullSafe(F.col("p_host")) & F.col("suffix").eqNullSafe(F.col("p_suffix")), "left")

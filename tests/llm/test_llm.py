@@ -184,6 +184,16 @@ def test_posteriors_equal_brute_force(spark, sf_dir, docs):
         assert out[i].language == names[logs.index(max(logs))]
 
 
+def test_verdicts_with_rows_store_no_texts(spark, docs, monkeypatch):
+    model = language_id.fit(docs, "doc_id", "text", "lang")
+    want = rows_of(language_id.identify(docs, model).toPandas())
+    kept, plain = [], language_id.stored
+    monkeypatch.setattr(language_id, "stored", lambda df, label: kept.extend(df.columns) or plain(df, label))
+    got = language_id.identify(docs, model, with_rows=True)
+    assert rows_of(got.drop("row").toPandas()) == want
+    assert not {"row", "t", "text"} & set(kept)
+
+
 def test_a_column_of_too_many_labels_is_refused(spark, monkeypatch):
     rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
     monkeypatch.setattr(language_id, "MAX_LANGUAGES", 5)
