@@ -128,7 +128,8 @@ def text_evidence(df: DataFrame, model: Model, text_col: str) -> DataFrame:
             out.append((len(at), logs[at].sum(axis=0) * min(1.0, TEXT_WEIGHT / max(1, len(at)))))
         return pd.DataFrame({"grams": [x[0] for x in out], "logs": [x[1] for x in out]})
 
-    scored = df.withColumn("_s", F.pandas_udf(score, "grams long, logs array<double>")(F.col(text_col)))
+    # not to be copied into the filters above it: each copy scores the texts anew, in a worker of its own
+    scored = df.withColumn("_s", F.pandas_udf(score, "grams long, logs array<double>").asNondeterministic()(F.col(text_col)))
     return scored.select(*df.columns, F.col("_s.grams").alias("grams"), F.col("_s.logs").alias("text_logs"))
 
 

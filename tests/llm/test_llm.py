@@ -194,6 +194,15 @@ def test_verdicts_with_rows_store_no_texts(spark, docs, monkeypatch):
     assert not {"row", "t", "text"} & set(kept)
 
 
+def test_verdicts_with_rows_score_texts_once_a_pass(spark, docs, monkeypatch):
+    model = language_id.fit(docs, "doc_id", "text", "lang")
+    passes, plain = [], language_id.stored
+    scorers = lambda df: df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+    monkeypatch.setattr(language_id, "stored", lambda df, label: passes.append((label, scorers(df))) or plain(df, label))
+    kept = language_id.identify(docs, model, with_rows=True).where("kept").select("language", "row.text")
+    assert dict(passes)["hosts"] == 1 and scorers(kept) == 1
+
+
 def test_a_column_of_too_many_labels_is_refused(spark, monkeypatch):
     rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
     monkeypatch.setattr(language_id, "MAX_LANGUAGES", 5)
